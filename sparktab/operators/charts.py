@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparktab.functions.scalar import outside
 from sparktab.operators.clean import fences
@@ -99,9 +102,10 @@ def density(
     """Gaussian kernel density on an even grid: by..., column, point, x, density.
 
     Scott's bandwidth; the grid runs from minimum to maximum, extended by ``cut``
-    bandwidths. ``exact`` sums one kernel per row and grid point as plain aggregates, so
-    rows are never multiplied. ``binned`` first reduces each group to ``DENSITY_BINS``
-    counted means, which makes the cost per row independent of the grid.
+    bandwidths. ``exact`` sums one kernel per row and grid point within each Arrow batch,
+    so rows are never multiplied and only sums are shuffled. ``binned`` first reduces each
+    group to ``DENSITY_BINS`` counted means, so the cost per row no longer depends on the
+    grid.
     """
     by = list(by)
     keys = [*by, "column"]
@@ -121,32 +125,49 @@ def density(
     )
     fitted = attach(rows, scale, keys, spread=F.xxhash64("value"))
     shape = ["total", "h", "first", "step"]
-    weight = F.lit(1.0)
     if method == "binned":
         bin_id = bin_of(F.col("value"), F.col("low"), F.col("high"), F.lit(DENSITY_BINS))
-        fitted = fitted.groupBy(*keys, *shape, bin_id.alias("bin")).agg(
+        weighed = fitted.groupBy(*keys, *shape, bin_id.alias("bin")).agg(
             F.avg("value").alias("value"), F.count("*").cast("double").alias("weight")
         )
-        weight = F.col("weight")
-    elif method != "exact":
+    elif method == "exact":
+        weighed = fitted.withColumn("weight", F.lit(1.0))
+    else:
         raise ValueError(method)
 
-    def kernel(i: int) -> Column:
-        u = (F.col("first") + i * F.col("step") - F.col("value")) / F.col("h")
-        return F.sum(weight * F.exp(-0.5 * u * u))
-
-    sums = fitted.groupBy(*keys, *shape).agg(*[kernel(i).alias(f"k{i}") for i in range(points)])
+    needed = weighed.select(*keys, *shape, "value", "weight")
+    kept = [f for f in needed.schema.fields if f.name not in ("value", "weight")]
+    out = T.StructType([*kept, T.StructField("point", T.IntegerType()), T.StructField("mass", T.DoubleType())])
     norm = F.col("total") * F.col("h") * math.sqrt(2 * math.pi)
-    return sums.select(
-        *keys, *shape, F.posexplode(F.array(*[f"k{i}" for i in range(points)])).alias("point", "mass")
-    ).select(
-        *keys,
-        "point",
-        (F.col("first") + F.col("point") * F.col("step")).alias("x"),
-        (F.col("mass") / norm).alias("density"),
+    return (
+        needed.mapInPandas(_kernel_sums([f.name for f in kept], points), out)
+        .groupBy(*keys, *shape, "point")
+        .agg(F.sum("mass").alias("mass"))
+        .select(
+            *keys,
+            "point",
+            (F.col("first") + F.col("point") * F.col("step")).alias("x"),
+            (F.col("mass") / norm).alias("density"),
+        )
     )
 
 
+def _kernel_sums(group: list[str], points: int):
+    """Kernel sums of each batch on its group's grid: one row per group and grid point."""
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steps = np.arange(points, dtype="int32")
+        for batch in batches:
+            for labels, rows in batch.groupby(group, dropna=False, sort=False):
+                named = dict(zip(group, labels))
+                grid = named["first"] + steps * named["step"]
+                u = (grid[:, None] - rows["value"].to_numpy()[None, :]) / named["h"]
+                mass = np.exp(-0.5 * u * u) @ rows["weight"].to_numpy()
+                yield pd.DataFrame({**named, "point": steps, "mass": mass})
+
+    return sums
+
+
 # -------------------------------------------------------------------- boxes, violins
 
 

@@ -158,14 +158,16 @@ def triage(df: DataFrame, threshold: float = 70.0, by: Sequence[str | Column] =
     return with_borderline(df, threshold).groupBy(*by, "prediction", "borderline").agg(F.count("*").alias("n"))
 
 
-def surest_correct(df: DataFrame, key: str, probability: str = "probability") -> DataFrame:
+def surest_correct(df: DataFrame, keys: Sequence[str], probability: str = "probability") -> DataFrame:
     """Per class, the correct row with the highest probability, the lowest key on ties.
 
     A partial aggregate per class, not a sort of the class; classes without a correct
     row do not appear.
     """
     right = df.where(F.col("label") == F.col("prediction"))
-    top = F.min(F.struct((-F.array_max(probability)).alias("p"), F.col(key).alias("k"))).alias("best")
-    return right.groupBy("label").agg(top).select(
-        "label", F.col("best.k").alias(key), (-F.col("best.p")).alias("top_probability")
+    top = F.min(F.struct((-F.array_max(probability)).alias("p"), F.struct(*keys).alias("k"))).alias("best")
+    return (
+        right.groupBy("label")
+        .agg(top)
+        .select("label", "best.k.*", (-F.col("best.p")).alias("top_probability"))
     )

@@ -22,16 +22,6 @@ def dot(values: Column, weights: Sequence[float]) -> Column:
     return total
 
 
-def softmax(margins: Sequence[Column]) -> Column:
-    """Margins to probabilities, shifted by the largest margin against overflow."""
-    top = F.greatest(*margins) if len(margins) > 1 else margins[0]
-    powers = [F.exp(m - top) for m in margins]
-    total = powers[0]
-    for p in powers[1:]:
-        total = total + p
-    return F.array(*[p / total for p in powers])
-
-
 def argmax(values: Column) -> Column:
     """0-based position of the largest element, the first one on ties."""
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")

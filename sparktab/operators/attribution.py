@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import direction, measure, presented
-from sparktab.functions.vectors import argmax, confidence, dot, doubles, name_at, named_map, softmax
+from sparktab.functions.vectors import argmax, confidence, dot, doubles, name_at, named_map
 from sparktab.operators.support import attach, turn
 
 TERMS_PER_PASS = 200
@@ -37,6 +37,7 @@ class LinearModel:
     spread: tuple[float, ...] | None = None
 
     def inputs(self) -> list[Column]:
+        """The features as the weights see them."""
         out = []
         for j, name in enumerate(self.features):
             value = measure(name)
@@ -50,21 +51,33 @@ class LinearModel:
     def base(self, c: int) -> float:
         return self.intercepts[c] + sum(w * m for w, m in zip(self.weights[c], self.means))
 
-    def margins(self) -> list[Column]:
-        """One unscaled score per class."""
-        values = F.array(*self.inputs())
-        return [dot(values, w) + F.lit(b) for w, b in zip(self.weights, self.intercepts)]
-
     def phi(self, c: int, j: int) -> Column:
-        return F.lit(float(self.weights[c][j])) * (self.inputs()[j] - F.lit(float(self.means[j])))
+        """Attribution of feature ``j`` to class ``c``, given the inputs as ``_x``."""
+        return F.lit(float(self.weights[c][j])) * (F.col("_x")[j] - F.lit(float(self.means[j])))
+
+
+def with_inputs(df: DataFrame, model: LinearModel) -> DataFrame:
+    """Adds the inputs once, as ``_x``; expressions on top refer to it instead of
+    repeating how each feature is computed."""
+    return df.withColumn("_x", F.array(*model.inputs()))
 
 
 def with_scores(df: DataFrame, model: LinearModel) -> DataFrame:
     """Adds probability (array), prediction (class name) and confidence (percent)."""
-    scored = df.withColumn("probability", softmax(model.margins()))
-    return scored.withColumn("prediction", name_at(model.classes, argmax(F.col("probability")))).withColumn(
-        "confidence", confidence(F.col("probability"))
-    )
+    margins = [dot(F.col("_x"), w) + F.lit(b) for w, b in zip(model.weights, model.intercepts)]
+    steps = {
+        "_margins": F.array(*margins),
+        "prediction": name_at(model.classes, argmax(F.col("_margins"))),
+        "_top": F.array_max("_margins"),
+        "_powers": F.transform("_margins", lambda m: F.exp(m - F.col("_top"))),
+        "_total": F.aggregate("_powers", F.lit(0.0), lambda acc, p: acc + p),
+        "probability": F.transform("_powers", lambda p: p / F.col("_total")),
+        "confidence": confidence(F.col("probability")),
+    }
+    out = with_inputs(df, model)
+    for name, col in steps.items():
+        out = out.withColumn(name, col)
+    return out.drop("_x", *[n for n in steps if n.startswith("_")])
 
 
 # ---------------------------------------------------------------------- attributions
@@ -76,13 +89,14 @@ def attributions(df: DataFrame, model: LinearModel, keys: Sequence[str]) -> Data
         F.struct(
             F.lit(c).alias("class"),
             F.lit(f).alias("feature"),
-            measure(f).alias("value"),
+            F.col("_raw")[j].alias("value"),
             model.phi(i, j).alias("phi"),
         )
         for i, c in enumerate(model.classes)
         for j, f in enumerate(model.features)
     ]
-    return df.select(*keys, F.inline(F.array(*items)))
+    raw = F.array(*[measure(f) for f in model.features])
+    return with_inputs(df, model).withColumn("_raw", raw).select(*keys, F.inline(F.array(*items)))
 
 
 def importance(df: DataFrame, model: LinearModel) -> DataFrame:
@@ -95,7 +109,7 @@ def importance(df: DataFrame, model: LinearModel) -> DataFrame:
     if len(terms) > TERMS_PER_PASS:
         return attributions(df, model, []).groupBy("class", "feature").agg(F.avg(F.abs("phi")).alias("importance"))
     named = {f"{i}_{j}": (i, j) for i, j in terms}
-    row = df.agg(*[F.avg(F.abs(model.phi(i, j))).alias(f"importance__{n}") for n, (i, j) in named.items()])
+    row = with_inputs(df, model).agg(*[F.avg(F.abs(model.phi(i, j))).alias(f"importance__{n}") for n, (i, j) in named.items()])
     classes, features = names_array(model.classes), names_array(model.features)
     where = F.split("column", "_").cast("array<int>")
     return turn(row, list(named), {"importance": "double"}).select(
@@ -137,24 +151,23 @@ def attribution_summary(df: DataFrame, model: LinearModel, bins: int = 20) -> Da
 # ------------------------------------------------------------- per-row explanations
 
 
-def _chosen_phi(model: LinearModel, code: Column) -> Column:
-    """Attributions for one class of the row, largest magnitude first, ties by feature."""
-    per_class = F.array(
-        *[
-            F.array(
-                *[
-                    F.struct((-F.abs(model.phi(c, j))).alias("rank"), F.lit(f).alias("feature"), model.phi(c, j).alias("phi"))
-                    for j, f in enumerate(model.features)
-                ]
-            )
-            for c in range(len(model.classes))
-        ]
+def _with_ordered(df: DataFrame, model: LinearModel) -> DataFrame:
+    """Adds ``_code`` of the predicted class and ``_ordered``, its attributions: largest
+    magnitude first, ties by feature."""
+    weights = F.element_at(F.array(*[doubles(w) for w in model.weights]), F.col("_code") + 1)
+    names, means = names_array(model.features), doubles(model.means)
+    parts = F.transform(
+        F.zip_with(F.zip_with("_x", means, lambda x, m: x - m), F.col("_weights"), lambda d, w: d * w),
+        lambda phi, j: F.struct((-F.abs(phi)).alias("rank"), F.get(names, j).alias("feature"), phi.alias("phi")),
+    )
+    code = (F.array_position(names_array(model.classes), F.col("prediction")) - 1).cast("int")
+    return (
+        with_inputs(df, model)
+        .withColumn("_code", code)
+        .withColumn("_weights", weights)
+        .withColumn("_ordered", F.array_sort(parts))
+        .drop("_x", "_weights")
     )
-    return F.array_sort(F.element_at(per_class, code + 1))
-
-
-def _code(model: LinearModel) -> Column:
-    return (F.array_position(names_array(model.classes), F.col("prediction")) - 1).cast("int")
 
 
 def with_top_factors(df: DataFrame, model: LinearModel, k: int = 3) -> DataFrame:
@@ -162,28 +175,29 @@ def with_top_factors(df: DataFrame, model: LinearModel, k: int = 3) -> DataFrame
 
     The direction is relative to the predicted class. Sorting happens inside the row.
     """
-    top = F.slice(_chosen_phi(model, _code(model)), 1, k)
+    top = F.slice("_ordered", 1, k)
     shaped = F.transform(
         top,
         lambda t: F.struct(
             t.feature.alias("feature"), direction(t.phi).alias("direction"), F.abs(t.phi).alias("impact")
         ),
     )
-    return df.withColumn("top_factors", shaped)
+    return _with_ordered(df, model).withColumn("top_factors", shaped).drop("_ordered", "_code")
 
 
 def waterfall(df: DataFrame, model: LinearModel, keys: Sequence[str], shown: int = 5) -> DataFrame:
     """keys..., step, feature, phi, running: the path from base value to margin.
 
     The ``shown`` largest contributions, then the rest folded into ``other``; ``running``
-    starts at the base value of the predicted class and ends at its margin.
+    starts at the base value of the predicted class and ends at its margin. The outer
+    explode keeps Spark from inferring a filter on the whole expression, which it would
+    push to the scan and evaluate twice.
     """
-    ordered = _chosen_phi(model, _code(model))
-    base = F.element_at(doubles([model.base(c) for c in range(len(model.classes))]), _code(model) + 1)
-    pairs = F.transform(F.slice("ordered", 1, shown), lambda t: F.struct(t.feature.alias("feature"), t.phi.alias("phi")))
+    base = F.element_at(doubles([model.base(c) for c in range(len(model.classes))]), F.col("_code") + 1)
+    pairs = F.transform(F.slice("_ordered", 1, shown), lambda t: F.struct(t.feature.alias("feature"), t.phi.alias("phi")))
     if len(model.features) > shown:
         rest = F.aggregate(
-            F.slice("ordered", shown + 1, len(model.features)), F.lit(0.0), lambda acc, t: acc + t.phi
+            F.slice("_ordered", shown + 1, len(model.features)), F.lit(0.0), lambda acc, t: acc + t.phi
         )
         pairs = F.concat(pairs, F.array(F.struct(F.lit("other").alias("feature"), rest.alias("phi"))))
     running = F.transform(
@@ -191,10 +205,10 @@ def waterfall(df: DataFrame, model: LinearModel, keys: Sequence[str], shown: int
         lambda _, i: F.aggregate(F.slice("steps", F.lit(1), i + 1), F.col("base"), lambda acc, t: acc + t.phi),
     )
     return (
-        df.select(*keys, ordered.alias("ordered"), base.alias("base"))
-        .select(*keys, "base", pairs.alias("steps"))
+        _with_ordered(df, model)
+        .select(*keys, base.alias("base"), pairs.alias("steps"))
         .withColumn("running", running)
-        .select(*keys, F.posexplode(F.arrays_zip("steps", "running")).alias("step", "part"))
+        .select(*keys, F.posexplode_outer(F.arrays_zip("steps", "running")).alias("step", "part"))
         .select(
             *keys,
             (F.col("step") + 1).alias("step"),

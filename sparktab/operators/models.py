@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -17,17 +18,18 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.vectors import name_at
 from sparktab.operators.attribution import LinearModel
-from sparktab.operators.prepare import class_counts, fit_levels
+from sparktab.operators.prepare import Levels, class_counts, fit_levels
 from sparktab.operators.stages import CategoryColumns, ClassScores, FourierFeatures, GatherFeatures, ScaleColumns
 
 SEED = 54
+ROWS_PER_PARTITION = 100_000
 
 
 @dataclass(frozen=True)
@@ -85,7 +87,7 @@ def _kernel_svm(shape: Shape, p: Mapping) -> list:
     svm = LinearSVC(
         regParam=1.0 / (p.get("C", 1.0) * max(shape.rows, 1)), maxIter=p.get("max_iter", 100), standardization=False
     )
-    return [*stages, OneVsRest(classifier=svm, featuresCol=features, rawPredictionCol="raw")]
+    return [*stages, OneVsRest(classifier=svm, featuresCol=features)]
 
 
 def _bayes(shape: Shape, p: Mapping) -> list:
@@ -107,7 +109,7 @@ def _boosted(defaults: Mapping) -> Callable[[Shape, Mapping], list]:
             minInfoGain=p.get("min_gain", 0.0),
             seed=p.get("seed", SEED),
         )
-        return [OneVsRest(classifier=gbt, rawPredictionCol="raw")]
+        return [OneVsRest(classifier=gbt)]
 
     return build
 
@@ -145,7 +147,7 @@ def stages_for(
         head.append(CategoryColumns(inputCols=list(categories)))
     head.append(GatherFeatures(numeric=list(numeric), categories=list(categories)))
     source = (
-        ClassScores(source="raw", calibrated=False, steepness=_RAW_SCORES[name])
+        ClassScores(source="rawPrediction", calibrated=False, steepness=_RAW_SCORES[name])
         if name in _RAW_SCORES
         else ClassScores()
     )
@@ -197,15 +199,17 @@ class TrainedModel:
 def training_frame(df: DataFrame, keys: Sequence[str], target: str, partitions: int | None = None) -> tuple[DataFrame, tuple]:
     """Rows with a numeric ``label`` in a repeatable layout, cached for iterative fits.
 
-    Seeded learners sample per partition, so rows are placed and ordered by key. Call
+    Seeded learners sample per partition, so rows are placed and ordered by key, in
+    partitions of a size that grows neither with the cluster nor with the table. Call
     ``unpersist`` on the frame when the fits are done.
     """
-    levels = fit_levels(df, target)
-    count = partitions or df.sparkSession.sparkContext.defaultParallelism
+    counts = class_counts(df, target)
+    levels = Levels(target, tuple(counts))
+    pieces = partitions or max(1, math.ceil(sum(counts.values()) / ROWS_PER_PARTITION))
     ready = (
         df.where(F.col(target).isNotNull())
         .withColumn("label", levels.encode(F.col(target)).cast("double"))
-        .repartition(count, *keys)
+        .repartition(pieces, *keys)
         .sortWithinPartitions(*keys)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )

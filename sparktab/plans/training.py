@@ -47,7 +47,7 @@ def _trained(spark, sf_dir, name, params=None, categories=CATEGORIES):
 
 @query("train_lr")
 def train_lr(spark, sf_dir):
-    return _trained(spark, sf_dir, "logistic", {"C": 100.0})
+    return _trained(spark, sf_dir, "logistic", {"C": 100.0, "max_iter": 100})
 
 
 @query("train_rf")
@@ -87,7 +87,7 @@ def explain_trained(spark, sf_dir):
 
     cached, classes, train, test = _prepared(spark, sf_dir)
     shape = models.shape_of(train, NUMERIC, (), classes)
-    fitted = models.train("logistic", train, classes, NUMERIC, (), {"C": 100.0}, shape)
+    fitted = models.train("logistic", train, classes, NUMERIC, (), {"C": 100.0, "max_iter": 100}, shape)
     cached.unpersist()
     return score(test, fitted.linear(), ["doc_id"], k=3)
 
@@ -106,7 +106,7 @@ def tune_grid(spark, sf_dir):
     """Every combination, three folds."""
 
     def run(rows, classes):
-        grid = tuning.grid_of({"C": [0.1, 100.0]})
+        grid = tuning.grid_of({"C": [0.1, 100.0], "max_iter": [50]})
         return tuning.search("logistic", grid, rows, classes, NUMERIC, CATEGORIES, folds=3).table(spark)
 
     return _searched(spark, sf_dir, run)
@@ -133,7 +133,7 @@ def train_many(spark, sf_dir):
     """Several models on one cached frame: test accuracy, fold mean and deviation, best first."""
     cached, classes, train, test = _prepared(spark, sf_dir)
     folded = prepare.stratified_folds(train, ["doc_id"], "label", 3).persist()
-    wanted = {"logistic": {}, "bayes": {}, "tree": {"max_depth": 5}}
+    wanted = {"logistic": {"max_iter": 50}, "bayes": {}, "tree": {"max_depth": 5}}
     results = tuning.train_many(wanted, folded, classes, NUMERIC, CATEGORIES, folds=3)
     out = None
     for name, found in results.items():

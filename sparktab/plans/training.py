@@ -75,6 +75,16 @@ def train_gbt(spark, sf_dir):
     return _trained(spark, sf_dir, "boosted_level", {"rounds": 5, "max_depth": 4})
 
 
+@query("train_gbt_leaf")
+def train_gbt_leaf(spark, sf_dir):
+    return _trained(spark, sf_dir, "boosted_leaf", {"rounds": 5, "max_depth": 3})
+
+
+@query("train_gbt_symmetric")
+def train_gbt_symmetric(spark, sf_dir):
+    return _trained(spark, sf_dir, "boosted_symmetric", {"rounds": 5, "max_depth": 2, "rate": 0.1})
+
+
 @query("train_mlp")
 def train_mlp(spark, sf_dir):
     return _trained(spark, sf_dir, "perceptron", {"hidden": (16,), "max_iter": 100})

@@ -10,7 +10,7 @@ from sparktab.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, app="tests", spark__sql__shuffle__partitions="4")
+    session = local_session(4, app="tests", spark__sql__shuffle__partitions="2")
     yield session
     session.stop()
 

@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import direction, measure, presented
 from sparktab.functions.vectors import argmax, confidence, dot, doubles, name_at, named_map
-from sparktab.operators.support import attach, turn
-
-TERMS_PER_PASS = 200
 
 
 @dataclass(frozen=True)
@@ -99,21 +96,28 @@ def attributions(df: DataFrame, model: LinearModel, keys: Sequence[str]) -> Data
     return with_inputs(df, model).withColumn("_raw", raw).select(*keys, F.inline(F.array(*items)))
 
 
+def _per_class(model: LinearModel) -> Column:
+    """Every class with its weight on the row's feature, as an array to unfold."""
+    weights = F.create_map(*[x for c, w in zip(model.classes, model.weights) for x in (F.lit(c), doubles(w))])
+    return F.transform(
+        F.map_entries(weights), lambda e: F.struct(e.key.alias("class"), F.get(e.value, F.col("j")).alias("w"))
+    )
+
+
 def importance(df: DataFrame, model: LinearModel) -> DataFrame:
     """class, feature, importance: the mean absolute attribution.
 
-    Few terms are separate aggregates over the row, so rows are not multiplied; many
-    terms are exploded and combined before the shuffle.
+    The attribution is linear, so the mean is ``|weight| * mean |value - mean|``: one
+    aggregate per feature whatever the number of classes, and no row is multiplied.
     """
-    terms = [(i, j) for i in range(len(model.classes)) for j in range(len(model.features))]
-    if len(terms) > TERMS_PER_PASS:
-        return attributions(df, model, []).groupBy("class", "feature").agg(F.avg(F.abs("phi")).alias("importance"))
-    named = {f"{i}_{j}": (i, j) for i, j in terms}
-    row = with_inputs(df, model).agg(*[F.avg(F.abs(model.phi(i, j))).alias(f"importance__{n}") for n, (i, j) in named.items()])
-    classes, features = names_array(model.classes), names_array(model.features)
-    where = F.split("column", "_").cast("array<int>")
-    return turn(row, list(named), {"importance": "double"}).select(
-        classes[where[0]].alias("class"), features[where[1]].alias("feature"), "importance"
+    away = [F.avg(F.abs(F.col("_x")[j] - F.lit(float(m)))).alias(f"away__{j}") for j, m in enumerate(model.means)]
+    items = [
+        F.struct(F.lit(j).alias("j"), F.lit(f).alias("feature"), F.col(f"away__{j}").alias("away"))
+        for j, f in enumerate(model.features)
+    ]
+    per_feature = with_inputs(df, model).agg(*away).select(F.inline(F.array(*items)))
+    return per_feature.select("feature", "away", F.inline(_per_class(model))).select(
+        "class", "feature", (F.abs("w") * F.col("away")).alias("importance")
     )
 
 
@@ -129,25 +133,46 @@ def ranked_importance(df: DataFrame, model: LinearModel) -> DataFrame:
 def attribution_summary(df: DataFrame, model: LinearModel, bins: int = 20) -> DataFrame:
     """What a summary plot shows, as counts: per class, feature and value bin the rows and
     the mean, lowest and highest attribution. Bins split each feature's range evenly.
+
+    Rows are binned per feature; the classes' attributions follow from each bin's lowest,
+    mean and highest input, so classes multiply the bins and not the rows.
     """
-    rows = attributions(df, model, [])
     span = df.agg(*[f(measure(c)).alias(f"{n}__{c}") for c in model.features for n, f in (("lo", F.min), ("hi", F.max))])
-    edges = turn(span, list(model.features), {"lo": "double", "hi": "double"}).withColumnRenamed("column", "feature")
-    width = (F.col("hi") - F.col("lo")) / bins
-    place = F.least(F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(0)), F.lit(bins - 1))
-    return (
-        attach(rows, edges, ["feature"])
-        .where("value IS NOT NULL")
-        .groupBy("class", "feature", place.cast("int").alias("bin"))
-        .agg(
-            F.count("*").alias("n"),
-            F.avg("phi").alias("mean_phi"),
-            F.min("phi").alias("low_phi"),
-            F.max("phi").alias("high_phi"),
+    edges = span.first()
+    items = [
+        F.struct(
+            F.lit(j).alias("j"),
+            F.lit(f).alias("feature"),
+            _even_bin(measure(f), edges[f"lo__{f}"], edges[f"hi__{f}"], bins).alias("bin"),
+            (F.col("_x")[j] - F.lit(float(model.means[j]))).alias("away"),
         )
+        for j, f in enumerate(model.features)
+    ]
+    binned = (
+        with_inputs(df, model)
+        .select(F.inline(F.array(*items)))
+        .where("away IS NOT NULL")
+        .groupBy("j", "feature", "bin")
+        .agg(F.count("*").alias("n"), F.avg("away").alias("mean"), F.min("away").alias("low"), F.max("away").alias("high"))
+    )
+    ends = [F.col("w") * F.col("low"), F.col("w") * F.col("high")]
+    return binned.select("feature", "bin", "n", "mean", "low", "high", F.inline(_per_class(model))).select(
+        "class",
+        "feature",
+        "bin",
+        "n",
+        (F.col("w") * F.col("mean")).alias("mean_phi"),
+        F.least(*ends).alias("low_phi"),
+        F.greatest(*ends).alias("high_phi"),
     )
 
 
+def _even_bin(value: Column, low: float | None, high: float | None, bins: int) -> Column:
+    if low is None or high <= low:
+        return F.lit(0)
+    return F.least(F.floor((value - F.lit(low)) / F.lit((high - low) / bins)), F.lit(bins - 1)).cast("int")
+
+
 # ------------------------------------------------------------- per-row explanations
 
 

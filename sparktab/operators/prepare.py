@@ -15,7 +15,7 @@ from sparktab.operators.clean import Moments, fit_moments
 from sparktab.operators.support import SALTS, bounded_rows
 
 INLINE_LEVELS = 64
-ROWS_PER_BUCKET = 1 << 20
+ROWS_PER_BUCKET = 1 << 16
 
 # ------------------------------------------------------------------ category codes
 

@@ -56,9 +56,8 @@ def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
         F.count("*").alias("n"), F.percentile_approx("value", grid, ACCURACY).alias("cuts")
     )
     spread = F.xxhash64("value")
-    tagged = attach(rows, cuts, keys, spread=spread).withColumn(
-        "cell", F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    )
+    cell = sum((F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
+    tagged = attach(rows, cuts, keys, spread=spread).withColumn("cell", cell)
 
     before = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     counted = (
@@ -81,18 +80,21 @@ def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
         .agg(F.collect_set(F.struct("ask.i", "ask.position", "rank")).alias("asks"))
     )
 
-    in_cell = Window.partitionBy(*keys, "n", "cell", "start", "asks").orderBy("value")
+    in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
     upto = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valued = (
-        attach(tagged.drop("n", "cuts"), wanted, [*keys, "cell"], spread=spread)
-        .groupBy(*keys, "n", "cell", "start", "asks", "value")
+    held = attach(tagged.select(*keys, "cell", "value"), wanted.select(*keys, "cell", "start"), [*keys, "cell"], spread=spread)
+    placed = (
+        held.groupBy(*keys, "cell", "start", "value")
         .agg(F.count("*").alias("copies"))
         .withColumn("stop", F.col("start") + F.sum("copies").over(upto))
-        .withColumn("hit", F.filter("asks", lambda a: (a.rank < F.col("stop")) & (a.rank >= F.col("stop") - F.col("copies"))))
-        .where(F.size("hit") > 0)
+        .drop("start")
+    )
+    valued = attach(placed, wanted, [*keys, "cell"], spread=spread).withColumn(
+        "hit", F.filter("asks", lambda a: (a.rank < F.col("stop")) & (a.rank >= F.col("stop") - F.col("copies")))
     )
     ends = (
-        valued.select(*keys, "n", "value", F.inline("hit"))
+        valued.where(F.size("hit") > 0)
+        .select(*keys, "n", "value", F.inline("hit"))
         .groupBy(*keys, "n", "i", "position")
         .agg(
             F.min_by("value", "rank").alias("low"),

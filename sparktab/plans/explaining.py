@@ -13,6 +13,7 @@ from sparktab.operators import attribution, charts, clean, evaluate
 from sparktab.operators.attribution import LinearModel
 from sparktab.plans.profiling import LINE_KEY, MEASURES
 from sparktab.plans.registry import fixed, fx, query, table
+from sparktab.session import settled
 
 # Classes, weights and intercepts of the two models of this module.
 LINE_CLASSES = ("A", "N", "R")
@@ -58,12 +59,13 @@ def text_measures(docs):
         (_counted("\n") + 1).cast("bigint").alias("n_lines"),
         _counted(".").cast("bigint").alias("n_stops"),
         _counted(",").cast("bigint").alias("n_commas"),
-        (F.length("text") - F.length(F.translate("text", "0123456789", ""))).cast("bigint").alias("n_digits"),
+        F.regexp_count("text", F.lit("[0-9]")).cast("bigint").alias("n_digits"),
     )
 
 
 def _texts(spark, sf_dir):
-    return text_measures(table(spark, sf_dir, "documents"))
+    """Read by the fit of the means and by the query, so the texts are measured once."""
+    return settled(text_measures(table(spark, sf_dir, "documents")))
 
 
 def _text_model(rows) -> LinearModel:
@@ -249,11 +251,11 @@ def phi_adds_up(spark, sf_dir):
 
 @query(
     "importance",
-    f"WITH {LINE_SCORED}, {LINE_PHI} SELECT class, feature, {fx('avg(abs(phi))', 9)} AS importance FROM phi GROUP BY ALL",
+    f"WITH {LINE_SCORED}, {LINE_PHI} SELECT class, feature, {fx('avg(abs(phi))', 5)} AS importance FROM phi GROUP BY ALL",
 )
 def importance(spark, sf_dir):
     lines = _lines(spark, sf_dir)
-    return attribution.ranked_importance(lines, _line_model(lines)).withColumn("importance", fixed("importance", 9))
+    return attribution.ranked_importance(lines, _line_model(lines)).withColumn("importance", fixed("importance", 5))
 
 
 @query(
@@ -262,14 +264,14 @@ def importance(spark, sf_dir):
     WITH {LINE_SCORED}, {LINE_PHI},
     e AS (SELECT feature, min(v) AS lo, max(v) AS hi FROM phi GROUP BY feature)
     SELECT class, feature, CAST(least(floor((v - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin,
-           CAST(count(*) AS BIGINT) AS n, {fx('avg(phi)', 9)} AS mean_phi, {fx('min(phi)', 9)} AS low_phi, {fx('max(phi)', 9)} AS high_phi
+           CAST(count(*) AS BIGINT) AS n, {fx('avg(phi)', 5)} AS mean_phi, {fx('min(phi)', 5)} AS low_phi, {fx('max(phi)', 5)} AS high_phi
     FROM phi JOIN e USING (feature) GROUP BY ALL
     """,
 )
 def phi_summary(spark, sf_dir):
     lines = _lines(spark, sf_dir)
     out = attribution.attribution_summary(lines, _line_model(lines))
-    return out.withColumns({c: fixed(c, 9) for c in ("mean_phi", "low_phi", "high_phi")})
+    return out.withColumns({c: fixed(c, 5) for c in ("mean_phi", "low_phi", "high_phi")})
 
 
 RANKED_PHI = """

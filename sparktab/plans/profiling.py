@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators import clean, profile, validate
 from sparktab.plans.registry import fixed, fx, query, table
+from sparktab.session import settled
 from sparktab.spec import infer_spec
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -26,7 +27,7 @@ def clean_profile(spark, sf_dir):
     """Drop the key, drop repeats, drop outliers, then average by category."""
     docs = table(spark, sf_dir, "documents")
     spec = infer_spec(docs, keys=["doc_id"], target="lang")
-    rows = clean.distinct_rows(docs, spec.keys, keep=["lang", *spec.outlier_columns])
+    rows = settled(clean.distinct_rows(docs, spec.keys, keep=["lang", *spec.outlier_columns]))
     kept = clean.zscore_filter(rows, spec.outlier_columns)
     return kept.groupBy("lang").agg(
         F.count("*").alias("n_rows"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -49,3 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Writes a narrow result that several passes will read, and reads it back.
+
+    What it was computed from is then read once, and losing an executor costs a read of
+    the written files, not the computation.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -56,10 +56,11 @@ def test_waterfall_folds_the_rest_and_ends_at_the_margin(points):
     assert math.isclose(third[-1]["running"], margin)
 
 
-def test_importance_both_ways(points, monkeypatch):
+def test_importance_is_the_mean_absolute_attribution(points):
     few = {(r["class"], r["feature"]): r["importance"] for r in attribution.importance(points, MODEL).collect()}
-    monkeypatch.setattr(attribution, "TERMS_PER_PASS", 1)
-    many = {(r["class"], r["feature"]): r["importance"] for r in attribution.importance(points, MODEL).collect()}
+    long = attribution.attributions(points, MODEL, ["key"])
+    mean = long.groupBy("class", "feature").agg(F.avg(F.abs("phi")).alias("importance"))
+    many = {(r["class"], r["feature"]): r["importance"] for r in mean.collect()}
     assert few.keys() == many.keys() and all(math.isclose(few[k], many[k]) for k in few)
     assert few[("low", "y")] == 2.0 * (0 + 1 + 4 + 0.5) / 4
 

@@ -41,8 +41,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], content: Sequence[str] | None
     nor a heavily repeated row travels; the survivors are then picked by key.
     """
     content = list(content) if content is not None else without(df.columns, keys)
-    low = F.min(F.struct(*keys)).alias("_low")
-    kept = df.groupBy(row_digest(df, content).alias("_digest")).agg(low).select("_low.*")
+    digests = df.groupBy(row_digest(df, content).alias("_digest"))
+    if len(keys) == 1:
+        kept = digests.agg(F.min(keys[0]).alias(keys[0])).drop("_digest")
+    else:
+        kept = digests.agg(F.min(F.struct(*keys)).alias("_low")).select("_low.*")
     return df.join(kept, on=list(keys), how="left_semi")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import share_where
 from sparktab.functions.vectors import confidence
-from sparktab.operators.support import bounded_rows
+from sparktab.operators.support import attach, bounded_rows
 
 # ----------------------------------------------------------------- predicted classes
 
@@ -161,13 +161,17 @@ def triage(df: DataFrame, threshold: float = 70.0, by: Sequence[str | Column] =
 def surest_correct(df: DataFrame, keys: Sequence[str], probability: str = "probability") -> DataFrame:
     """Per class, the correct row with the highest probability, the lowest key on ties.
 
-    A partial aggregate per class, not a sort of the class; classes without a correct
+    First the top probability of each class, a hash aggregate combined before the
+    shuffle; then the lowest key among the rows that reach it. Classes without a correct
     row do not appear.
     """
-    right = df.where(F.col("label") == F.col("prediction"))
-    top = F.min(F.struct((-F.array_max(probability)).alias("p"), F.struct(*keys).alias("k"))).alias("best")
+    right = df.where(F.col("label") == F.col("prediction")).select(
+        "label", *keys, F.array_max(probability).alias("top_probability")
+    )
+    tops = right.groupBy("label").agg(F.max("top_probability").alias("_top"))
+    reached = attach(right, tops, ["label"]).where(F.col("top_probability") == F.col("_top"))
     return (
-        right.groupBy("label")
-        .agg(top)
-        .select("label", "best.k.*", (-F.col("best.p")).alias("top_probability"))
+        reached.groupBy("label", "top_probability")
+        .agg(F.min(F.struct(*keys)).alias("k"))
+        .select("label", "k.*", "top_probability")
     )

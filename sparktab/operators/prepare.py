@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sparktab.functions.hashing import digest_prefix, key_digest
 from sparktab.functions.scalar import indicator, measure
 from sparktab.operators.clean import Moments, fit_moments
-from sparktab.operators.support import SALTS, bounded_rows
+from sparktab.operators.support import bounded_rows, spread_join
 
 INLINE_LEVELS = 64
 ROWS_PER_BUCKET = 1 << 16
@@ -59,18 +59,10 @@ def code_table(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_joined(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Adds the sorted-order code by a join, for categories of unbounded size.
-
-    Level rows are copied over salts, so a level holding much of the table is spread.
-    """
-    codes = code_table(df, column).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS)).cast("int")
-    return (
-        df.withColumn("_salt", salt)
-        .join(codes, [column, "_salt"], "left")
-        .drop("_salt")
-        .withColumnRenamed("code", out)
-    )
+    """Adds the sorted-order code by a join, for categories of unbounded size; levels
+    holding much of the table are spread."""
+    codes = code_table(df, column).withColumnRenamed("code", out)
+    return spread_join(df, codes, [column], "left")
 
 
 def ordinal(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -209,7 +201,7 @@ def stratified_folds(
     folds: int,
     seed: int = 54,
     out: str = "fold",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int = 1 << 20,
 ) -> DataFrame:
     """Adds a fold id: the row's rank by key digest within its class, modulo ``folds``.
 

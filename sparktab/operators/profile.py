@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import measure
@@ -58,7 +58,7 @@ def summary(
     order = ["column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"]
     split = [F.col("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
 
-    if exact and plan_bytes(df) > small_bytes:
+    if exact and plan_bytes(df.select(*columns)) > small_bytes:
         moments = turn(df.agg(*cells(columns, make)), columns, kinds)
         cuts = quantiles(df, columns, QUARTILES, small_bytes=small_bytes).select("column", *split)
         return moments.join(F.broadcast(cuts), "column", "left").select(*order)
@@ -92,7 +92,12 @@ def by_frequency(counts: DataFrame) -> DataFrame:
 
 
 def category_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Adds each value's percentage of its column's present values."""
+    """Adds each value's percentage of its column's present values.
+
+    The totals are one row per column, which bounds the broadcast.
+    """
     counts = category_counts(df, columns)
-    total = F.sum("n").over(Window.partitionBy("column"))
-    return counts.withColumn("pct", F.col("n") * 100.0 / total)
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(totals), "column").select(
+        "column", "value", "n", (F.col("n") * 100.0 / F.col("total")).alias("pct")
+    )

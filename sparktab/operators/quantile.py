@@ -5,7 +5,8 @@ of a group in one map, so larger inputs go through selection instead:
 
 1. sketch cut points close to the wanted ranks (tiny map-side sketches),
 2. count the rows between neighbouring cut points (one aggregation),
-3. value-count only the few intervals that hold a wanted rank.
+3. repeat within the few intervals that hold a wanted rank while one of them still has
+   more distinct values than a task should order, then count those values.
 
 The counts in 2 are exact whatever the sketch says, hence so is the result; the
 sketch only decides how many rows step 3 has to look at. Repeated values are
@@ -16,15 +17,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import measure
 from sparktab.functions.vectors import doubles
-from sparktab.operators.support import SMALL_BYTES, attach, cells, melt, plan_bytes, turn
+from sparktab.operators.support import SMALL_BYTES, cells, lookup, melt, pinned, plan_bytes, turn
 
 ACCURACY = 10_000
 MARGINS = (-4e-4, -1e-4, 1e-4, 4e-4)
+EVEN_GRID = tuple(i / 64 for i in range(1, 64))
+VALUES_PER_TASK = 1 << 20
+MAX_LEVELS = 8
 
 
 def quantiles(
@@ -37,7 +41,7 @@ def quantiles(
 ) -> DataFrame:
     """One row per group and column: by..., column, n, q (array aligned with ``probs``)."""
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    if exact and plan_bytes(df) > small_bytes:
+    if exact and plan_bytes(df.select(*by, *columns)) > small_bytes:
         return _selected(melt(df, columns, by), probs, by)
     make = {
         "n": lambda c: F.count(measure(c)),
@@ -49,57 +53,69 @@ def quantiles(
     return turn(wide, columns, {"n": "bigint", "q": "array<double>"}, by).where("n > 0")
 
 
+def _asked(probs: list[float]) -> Column:
+    """The two ranks next to each wanted position, given the group size ``n``."""
+    items = []
+    for i, p in enumerate(probs):
+        position = F.lit(p) * (F.col("n") - 1)
+        for rank in (F.floor(position), F.ceil(position)):
+            items.append(F.struct(F.lit(i).alias("i"), "n", position.alias("position"), rank.alias("rank")))
+    return F.array_distinct(F.array(*items))
+
+
 def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
-    keys = [*by, "column"]
-    grid = sorted({min(max(p + m, 0.0), 1.0) for p in probs for m in MARGINS})
-    cuts = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile_approx("value", grid, ACCURACY).alias("cuts")
-    )
+    keys = [*by, "column", "path"]
     spread = F.xxhash64("value")
-    cell = sum((F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
-    tagged = attach(rows, cuts, keys, spread=spread).withColumn("cell", cell)
-
-    before = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    counted = (
-        tagged.groupBy(*keys, "n", "cell")
-        .agg(F.count("*").alias("size"))
-        .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    )
-    asked = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("n") - 1)).alias("position"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    sides = F.array(F.floor("ask.position"), F.ceil("ask.position"))
-    wanted = (
-        counted.withColumn("ask", F.explode(asked))
-        .withColumn("rank", F.explode(sides))
-        .where("rank >= start AND rank < start + size")
-        .groupBy(*keys, "n", "cell", "start")
-        .agg(F.collect_set(F.struct("ask.i", "ask.position", "rank")).alias("asks"))
-    )
+    rows = rows.withColumn("path", F.lit(""))
+    grid = sorted({min(max(p + m, 0.0), 1.0) for p in probs for m in MARGINS})
+    asks, few = None, True
+    for _ in range(MAX_LEVELS):
+        found = rows.groupBy(*keys).agg(
+            F.count("*").alias("n"), F.percentile_approx("value", list(grid), ACCURACY).alias("cuts")
+        )
+        found = found.withColumn("asks", _asked(probs)) if asks is None else lookup(found, asks, keys, few)
+        groups, few = pinned(found)
 
-    in_cell = Window.partitionBy(*keys, "cell").orderBy("value")
-    upto = in_cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = attach(tagged.select(*keys, "cell", "value"), wanted.select(*keys, "cell", "start"), [*keys, "cell"], spread=spread)
-    placed = (
-        held.groupBy(*keys, "cell", "start", "value")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("stop", F.col("start") + F.sum("copies").over(upto))
-        .drop("start")
-    )
-    valued = attach(placed, wanted, [*keys, "cell"], spread=spread).withColumn(
-        "hit", F.filter("asks", lambda a: (a.rank < F.col("stop")) & (a.rank >= F.col("stop") - F.col("copies")))
-    )
-    ends = (
-        valued.where(F.size("hit") > 0)
-        .select(*keys, "n", "value", F.inline("hit"))
-        .groupBy(*keys, "n", "i", "position")
-        .agg(
-            F.min_by("value", "rank").alias("low"),
-            F.max_by("value", "rank").alias("high"),
+        cell = sum((F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
+        tagged = lookup(rows, groups.select(*keys, "cuts"), keys, few, spread=spread).select(
+            *keys, cell.alias("cell"), "value"
+        )
+        before = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        counted = (
+            tagged.groupBy(*keys, "cell")
+            .agg(F.count("*").alias("size"), F.approx_count_distinct("value").alias("kinds"))
+            .withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
         )
+        inside = F.filter("asks", lambda a: (a.rank >= F.col("start")) & (a.rank < F.col("start") + F.col("size")))
+        shifted = F.transform(inside, lambda a: a.withField("rank", a.rank - F.col("start")))
+        wanted, few = pinned(
+            lookup(counted, groups.select(*keys, "asks"), keys, few)
+            .withColumn("asks", shifted)
+            .where(F.size("asks") > 0)
+            .select(*keys, "cell", "kinds", "asks")
+        )
+        held = lookup(tagged, wanted.select(*keys, "cell"), [*keys, "cell"], few, spread=spread)
+        path = F.concat_ws("/", "path", F.col("cell").cast("string"))
+        rows = held.select(*by, "column", path.alias("path"), "value")
+        asks = wanted.select(*by, "column", path.alias("path"), "asks")
+        if (wanted.agg(F.max("kinds")).first()[0] or 0) <= VALUES_PER_TASK:
+            break
+        grid = EVEN_GRID
+    return _counted_out(rows, asks, few, keys, by)
+
+
+def _counted_out(rows: DataFrame, asks: DataFrame, few: bool, keys: list[str], by: list[str]) -> DataFrame:
+    """The values at the asked ranks of each interval, put together per group."""
+    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.groupBy(*keys, "value").agg(F.count("*").alias("copies")).withColumn("stop", F.sum("copies").over(upto))
+    hit = F.filter("asks", lambda a: (a.rank < F.col("stop")) & (a.rank >= F.col("stop") - F.col("copies")))
+    ends = (
+        lookup(placed, asks, keys, few)
+        .withColumn("hit", hit)
+        .where(F.size("hit") > 0)
+        .select(*by, "column", "value", F.inline("hit"))
+        .groupBy(*by, "column", "n", "i", "position")
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
     )
     part = F.col("position") - F.floor("position")
     point = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
@@ -107,7 +123,7 @@ def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
     )
     return (
         ends.withColumn("point", point)
-        .groupBy(*keys, "n")
+        .groupBy(*by, "column", "n")
         .agg(F.array_sort(F.collect_list(F.struct("i", "point"))).alias("points"))
-        .select(*keys, "n", F.col("points.point").alias("q"))
+        .select(*by, "column", "n", F.col("points.point").alias("q"))
     )

@@ -11,8 +11,9 @@ from sparktab.functions.scalar import measure
 from sparktab.session import shared_dir
 
 SMALL_ROWS = 10_000
-SMALL_BYTES = 64 << 20
+SMALL_BYTES = 16 << 20
 SALTS = 32
+HOT_PARTS = 1000
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -26,30 +27,53 @@ def bounded_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
+def pinned(stats: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """Statistics computed once, so that all later passes see the same values, and
+    whether they are few: few are held as local rows, others are checkpointed."""
+    rows = bounded_rows(stats, limit)
+    if rows is not None:
+        return stats.sparkSession.createDataFrame(rows, stats.schema), True
+    shared_dir(stats.sparkSession)
+    return stats.checkpoint(), False
+
+
+def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], small: bool, how: str = "inner", spread: Column | None = None) -> DataFrame:
+    """Join rows with a table of one row per key: broadcast if small, else spread."""
+    on = list(on)
+    if small:
+        return df.join(F.broadcast(table), on=on, how=how)
+    return spread_join(df, table, on, how, spread)
+
+
 def attach(
     df: DataFrame, stats: DataFrame, on: Sequence[str], limit: int = SMALL_ROWS, spread: Column | None = None
 ) -> DataFrame:
-    """Join rows with per-group statistics, one statistics row per group.
+    """Join rows with per-group statistics, one statistics row per group."""
+    table, small = pinned(stats, limit)
+    return lookup(df, table, on, small, "inner", spread)
+
+
+def spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", spread: Column | None = None) -> DataFrame:
+    """Equi-join in which keys holding much of ``df`` are spread over ``SALTS`` tasks.
 
-    Statistics proven to be small are broadcast. Otherwise they are checkpointed,
-    so both later passes see the same values, and copied over ``SALTS`` salts so
-    that a group holding much of the table is spread over as many tasks.
+    At most ``HOT_PARTS`` keys can hold more than that part of the rows; only their rows
+    are salted and only their rows of ``table`` are copied.
     """
     on = list(on)
-    rows = bounded_rows(stats, limit)
-    if rows is not None:
-        small = df.sparkSession.createDataFrame(rows, stats.schema)
-        return df.join(F.broadcast(small), on=on, how="inner")
-    shared_dir(df.sparkSession)
-    fixed = stats.checkpoint()
-    salted = fixed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = df.groupBy(*on).agg(F.count("*").alias("n"))
+    total = df.count()
+    hot = counts.where(F.col("n") > max(total // HOT_PARTS, 1)).drop("n").dropna().collect()
+    if not hot:
+        return df.join(table, on=on, how=how)
+    kinds = df.select(*on).schema
+    marks = F.broadcast(df.sparkSession.createDataFrame(hot, kinds).withColumn("_hot", F.lit(True)))
     if spread is None:
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (
-        df.withColumn("_salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
-        .join(salted, on=[*on, "_salt"], how="inner")
-        .drop("_salt")
-    )
+    salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = df.join(marks, on=on, how="left").withColumn("_salt", salt).drop("_hot")
+    right = table.join(marks, on=on, how="left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right, on=[*on, "_salt"], how=how).drop("_salt")
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -13,20 +13,6 @@ def doubles(values: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def dot(values: Column, weights: Sequence[float]) -> Column:
-    """Inner product with fixed weights; unrolled, so it stays in generated code."""
-    terms = [values[i] * F.lit(float(w)) for i, w in enumerate(weights)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def argmax(values: Column) -> Column:
-    """0-based position of the largest element, the first one on ties."""
-    return (F.array_position(values, F.array_max(values)) - 1).cast("int")
-
-
 def confidence(probabilities: Column) -> Column:
     """The highest probability in percent."""
     return F.array_max(probabilities) * 100.0

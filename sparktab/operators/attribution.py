@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import direction, measure, presented
-from sparktab.functions.vectors import argmax, confidence, dot, doubles, name_at, named_map
+from sparktab.functions.vectors import doubles, named_map
 
 
 @dataclass(frozen=True)
@@ -49,32 +49,46 @@ class LinearModel:
         return self.intercepts[c] + sum(w * m for w, m in zip(self.weights[c], self.means))
 
     def phi(self, c: int, j: int) -> Column:
-        """Attribution of feature ``j`` to class ``c``, given the inputs as ``_x``."""
-        return F.lit(float(self.weights[c][j])) * (F.col("_x")[j] - F.lit(float(self.means[j])))
+        """Attribution of feature ``j`` to class ``c``, given the inputs as ``_x0``..."""
+        return F.lit(float(self.weights[c][j])) * (F.col(f"_x{j}") - F.lit(float(self.means[j])))
 
 
 def with_inputs(df: DataFrame, model: LinearModel) -> DataFrame:
-    """Adds the inputs once, as ``_x``; expressions on top refer to it instead of
-    repeating how each feature is computed."""
-    return df.withColumn("_x", F.array(*model.inputs()))
+    """Adds each input once, as ``_x0``...; expressions on top refer to them instead of
+    repeating how a feature is computed."""
+    return df.withColumns({f"_x{j}": x for j, x in enumerate(model.inputs())})
 
 
 def with_scores(df: DataFrame, model: LinearModel) -> DataFrame:
-    """Adds probability (array), prediction (class name) and confidence (percent)."""
-    margins = [dot(F.col("_x"), w) + F.lit(b) for w, b in zip(model.weights, model.intercepts)]
-    steps = {
-        "_margins": F.array(*margins),
-        "prediction": name_at(model.classes, argmax(F.col("_margins"))),
-        "_top": F.array_max("_margins"),
-        "_powers": F.transform("_margins", lambda m: F.exp(m - F.col("_top"))),
-        "_total": F.aggregate("_powers", F.lit(0.0), lambda acc, p: acc + p),
-        "probability": F.transform("_powers", lambda p: p / F.col("_total")),
-        "confidence": confidence(F.col("probability")),
+    """Adds probability (array), prediction (class name) and confidence (percent).
+
+    A softmax shifted by the largest margin, step by step in plain columns: all of it is
+    arithmetic in generated code. The first class wins ties.
+    """
+    classes = range(len(model.classes))
+    margins = {
+        f"_m{c}": sum((F.col(f"_x{j}") * F.lit(float(w)) for j, w in enumerate(model.weights[c])), F.lit(0.0))
+        + F.lit(float(model.intercepts[c]))
+        for c in classes
     }
-    out = with_inputs(df, model)
-    for name, col in steps.items():
-        out = out.withColumn(name, col)
-    return out.drop("_x", *[n for n in steps if n.startswith("_")])
+    prediction = F.when(F.lit(False), F.lit(model.classes[0]))
+    for c in classes:
+        prediction = prediction.when(F.col(f"_m{c}") == F.col("_top"), F.lit(model.classes[c]))
+    total = sum((F.col(f"_e{c}") for c in classes), F.lit(0.0))
+    scored = (
+        with_inputs(df, model)
+        .withColumns(margins)
+        .withColumn("_top", F.greatest(*margins))
+        .withColumns({"prediction": prediction, **{f"_e{c}": F.exp(F.col(f"_m{c}") - F.col("_top")) for c in classes}})
+        .withColumn("_total", total)
+        .withColumns(
+            {
+                "probability": F.array(*[F.col(f"_e{c}") / F.col("_total") for c in classes]),
+                "confidence": F.lit(1.0) / F.col("_total") * 100.0,
+            }
+        )
+    )
+    return scored.drop("_top", "_total", *[f"_x{j}" for j in range(len(model.features))], *margins, *[f"_e{c}" for c in classes])
 
 
 # ---------------------------------------------------------------------- attributions
@@ -110,7 +124,7 @@ def importance(df: DataFrame, model: LinearModel) -> DataFrame:
     The attribution is linear, so the mean is ``|weight| * mean |value - mean|``: one
     aggregate per feature whatever the number of classes, and no row is multiplied.
     """
-    away = [F.avg(F.abs(F.col("_x")[j] - F.lit(float(m)))).alias(f"away__{j}") for j, m in enumerate(model.means)]
+    away = [F.avg(F.abs(F.col(f"_x{j}") - F.lit(float(m)))).alias(f"away__{j}") for j, m in enumerate(model.means)]
     items = [
         F.struct(F.lit(j).alias("j"), F.lit(f).alias("feature"), F.col(f"away__{j}").alias("away"))
         for j, f in enumerate(model.features)
@@ -144,7 +158,7 @@ def attribution_summary(df: DataFrame, model: LinearModel, bins: int = 20) -> Da
             F.lit(j).alias("j"),
             F.lit(f).alias("feature"),
             _even_bin(measure(f), edges[f"lo__{f}"], edges[f"hi__{f}"], bins).alias("bin"),
-            (F.col("_x")[j] - F.lit(float(model.means[j]))).alias("away"),
+            (F.col(f"_x{j}") - F.lit(float(model.means[j]))).alias("away"),
         )
         for j, f in enumerate(model.features)
     ]
@@ -182,16 +196,15 @@ def _with_ordered(df: DataFrame, model: LinearModel) -> DataFrame:
     weights = F.element_at(F.array(*[doubles(w) for w in model.weights]), F.col("_code") + 1)
     names, means = names_array(model.features), doubles(model.means)
     parts = F.transform(
-        F.zip_with(F.zip_with("_x", means, lambda x, m: x - m), F.col("_weights"), lambda d, w: d * w),
+        F.zip_with(F.zip_with("_inputs", means, lambda x, m: x - m), F.col("_weights"), lambda d, w: d * w),
         lambda phi, j: F.struct((-F.abs(phi)).alias("rank"), F.get(names, j).alias("feature"), phi.alias("phi")),
     )
     code = (F.array_position(names_array(model.classes), F.col("prediction")) - 1).cast("int")
     return (
-        with_inputs(df, model)
-        .withColumn("_code", code)
+        df.withColumns({"_code": code, "_inputs": F.array(*model.inputs())})
         .withColumn("_weights", weights)
         .withColumn("_ordered", F.array_sort(parts))
-        .drop("_x", "_weights")
+        .drop("_inputs", "_weights")
     )
 
 

@@ -163,13 +163,16 @@ def surest_correct(df: DataFrame, keys: Sequence[str], probability: str = "proba
 
     First the top probability of each class, a hash aggregate combined before the
     shuffle; then the lowest key among the rows that reach it. Classes without a correct
-    row do not appear.
+    row do not appear. Correctness is part of the value, not a filter: a filter would be
+    pushed below the scoring, which would then be computed twice per row.
     """
-    right = df.where(F.col("label") == F.col("prediction")).select(
-        "label", *keys, F.array_max(probability).alias("top_probability")
+    rows = df.select(
+        "label",
+        *keys,
+        F.when(F.col("label") == F.col("prediction"), F.array_max(probability)).alias("top_probability"),
     )
-    tops = right.groupBy("label").agg(F.max("top_probability").alias("_top"))
-    reached = attach(right, tops, ["label"]).where(F.col("top_probability") == F.col("_top"))
+    tops = rows.groupBy("label").agg(F.max("top_probability").alias("_top"))
+    reached = attach(rows, tops, ["label"]).where(F.col("top_probability") >= F.col("_top"))
     return (
         reached.groupBy("label", "top_probability")
         .agg(F.min(F.struct(*keys)).alias("k"))

@@ -130,8 +130,8 @@ class StratifiedSplit:
 def fit_split(df: DataFrame, keys: Sequence[str], label: str, share: float = 0.3, seed: int = 54) -> StratifiedSplit:
     """Find each class's last test digest by counting digest prefixes.
 
-    The prefix in which a quota ends holds about one 65536th of a class. Only there are
-    rows ordered; if that is still too many the next four hex digits are counted first.
+    Prefixes are as long as it takes for the one in which a quota ends to hold few rows,
+    at most four hex digits at a time; only there are rows ordered.
     """
     keys = tuple(keys)
     body = df.where(F.col(label).isNotNull()).select(label, key_digest(keys, seed).alias("digest"))
@@ -142,7 +142,7 @@ def fit_split(df: DataFrame, keys: Sequence[str], label: str, share: float = 0.3
     state = {c: s for c, s in state.items() if last[c] != "g"}
     width, size = 0, max(counts.values(), default=0)
     while state and size > ROWS_PER_BUCKET and width < 28:
-        width += 4
+        width += min(4, max(1, math.ceil(math.log(size / ROWS_PER_BUCKET, 16))))
         state, size = _narrow(body, label, state, width)
     if state:
         last.update(_nth_digest(body, label, state, width))

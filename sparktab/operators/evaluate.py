@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import share_where
 from sparktab.functions.vectors import confidence
-from sparktab.operators.support import attach, bounded_rows
+from sparktab.operators.support import bounded_rows
 
 # ----------------------------------------------------------------- predicted classes
 
@@ -161,20 +161,11 @@ def triage(df: DataFrame, threshold: float = 70.0, by: Sequence[str | Column] =
 def surest_correct(df: DataFrame, keys: Sequence[str], probability: str = "probability") -> DataFrame:
     """Per class, the correct row with the highest probability, the lowest key on ties.
 
-    First the top probability of each class, a hash aggregate combined before the
-    shuffle; then the lowest key among the rows that reach it. Classes without a correct
-    row do not appear. Correctness is part of the value, not a filter: a filter would be
-    pushed below the scoring, which would then be computed twice per row.
+    One pass with a partial aggregate, so each task sends one row per class. Correctness
+    is part of the value, not a filter: a filter would be pushed below the scoring, which
+    would then be computed twice per row. Classes without a correct row do not appear.
     """
-    rows = df.select(
-        "label",
-        *keys,
-        F.when(F.col("label") == F.col("prediction"), F.array_max(probability)).alias("top_probability"),
-    )
-    tops = rows.groupBy("label").agg(F.max("top_probability").alias("_top"))
-    reached = attach(rows, tops, ["label"]).where(F.col("top_probability") >= F.col("_top"))
-    return (
-        reached.groupBy("label", "top_probability")
-        .agg(F.min(F.struct(*keys)).alias("k"))
-        .select("label", "k.*", "top_probability")
-    )
+    worth = F.when(F.col("label") == F.col("prediction"), -F.array_max(probability))
+    best = F.min(F.when(worth.isNotNull(), F.struct(worth.alias("p"), F.struct(*keys).alias("k")))).alias("best")
+    found = df.groupBy("label").agg(best).where("best IS NOT NULL")
+    return found.select("label", "best.k.*", (-F.col("best.p")).alias("top_probability"))

@@ -139,26 +139,25 @@ def nearest(
     out = f"asked {dict(visits.dtypes)['asked']}, neighbour {kinds['neighbour']}, vote {kinds['vote']}, distance2 double"
 
     def scan(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found: list[pd.DataFrame] = []
-        if len(rows) and len(asked):
-            rows = rows.sort_values("neighbour", kind="stable")
-            points = _matrix(rows["x"])
-            for who, x in zip(asked["asked"], asked["x"]):
-                d = ((points - np.asarray(x)) ** 2).sum(1)
-                best = np.argsort(d, kind="stable")[:k]
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "asked": who,
-                            "neighbour": rows["neighbour"].to_numpy()[best],
-                            "vote": rows["vote"].to_numpy()[best],
-                            "distance2": d[best],
-                        }
-                    )
-                )
-        if not found:
+        if not len(rows) or not len(asked):
             return pd.DataFrame({"asked": [], "neighbour": [], "vote": [], "distance2": []})
-        return pd.concat(found, ignore_index=True)
+        rows = rows.sort_values("neighbour", kind="stable")
+        points = _matrix(rows["x"])
+        places, squares = [], []
+        for x in asked["x"]:
+            d = ((points - np.asarray(x)) ** 2).sum(1)
+            best = np.argsort(d, kind="stable")[:k]
+            places.append(best)
+            squares.append(d[best])
+        taken = np.concatenate(places)
+        return pd.DataFrame(
+            {
+                "asked": np.repeat(asked["asked"].to_numpy(), [len(p) for p in places]),
+                "neighbour": rows["neighbour"].to_numpy()[taken],
+                "vote": rows["vote"].to_numpy()[taken],
+                "distance2": np.concatenate(squares),
+            }
+        )
 
     where = ["cell", "tb", "qb"]
     candidates = left.groupBy(*where).cogroup(right.groupBy(*where)).applyInPandas(scan, out)

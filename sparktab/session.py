@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -46,6 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, for those of its
+    functions that run in tasks. Clusters that install it can do without."""
+    context = spark.sparkContext
+    if getattr(context, "_sparktab_shipped", None):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="sparktab-package-"), "sparktab")
+    context.addPyFile(shutil.make_archive(archive, "zip", root, "sparktab"))
+    context._sparktab_shipped = True
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -63,6 +63,13 @@ def _asked(probs: list[float]) -> Column:
     return F.array_distinct(F.array(*items))
 
 
+def _interval(value: Column, cuts: Column, count: int) -> Column:
+    """Number of the open interval between cut points, or of the cut point itself: a value
+    that fills many cut points is alone in its interval, and its neighbours are apart."""
+    below = [F.when(cuts[i] < value, 1).otherwise(0) + F.when(cuts[i] <= value, 1).otherwise(0) for i in range(count)]
+    return sum(below, F.lit(0))
+
+
 def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
     keys = [*by, "column", "path"]
     spread = F.xxhash64("value")
@@ -76,7 +83,7 @@ def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
         found = found.withColumn("asks", _asked(probs)) if asks is None else lookup(found, asks, keys, few)
         groups, few = pinned(found)
 
-        cell = sum((F.when(F.col("cuts")[i] < F.col("value"), 1).otherwise(0) for i in range(len(grid))), F.lit(0))
+        cell = _interval(F.col("value"), F.col("cuts"), len(grid))
         tagged = lookup(rows, groups.select(*keys, "cuts"), keys, few, spread=spread).select(
             *keys, cell.alias("cell"), "value"
         )

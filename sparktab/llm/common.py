@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sparktab.session import settled, ship_package
@@ -77,11 +76,13 @@ def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordB
         yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
-def arrow(schema: str) -> pa.Schema:
-    """The Arrow form of a DDL schema."""
-    from pyspark.sql.pandas.types import to_arrow_schema
+KINDS = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+KINDS |= {"bigint": KINDS["long"]} | {f"array<{k}>": pa.list_(v) for k, v in KINDS.items()}
+
 
-    return to_arrow_schema(T._parse_datatype_string(schema) if isinstance(schema, str) else schema)
+def arrow(schema: str) -> pa.Schema:
+    """The Arrow form of a DDL schema of plain types and arrays of them."""
+    return pa.schema([(name, KINDS[kind]) for name, kind in (field.split() for field in schema.split(","))])
 
 
 def driver_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

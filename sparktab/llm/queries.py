@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktab.llm import mixing, shards
+from sparktab.llm import mixing, shards, simhash, toxicity
 from sparktab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,20 @@ def op2_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(documents(spark, sf_dir), shards=8, scan=True)
 
 
+def op6_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, bits=2, scan=True)
+
+
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in the order of a mix with source weights of their counts to the power 0.7."""
     return mixing.mix_table(documents(spark, sf_dir), scan=True)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hypergeometric_shards, op8_pfair_mix)}
+def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.toxicity_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hypergeometric_shards, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -55,7 +55,8 @@ def fingerprinted(rows: DataFrame, shingle: int = 3) -> DataFrame:
     """Adds ``fp`` (long) to the columns of ``rows``, whose column ``text`` goes. NULL is the empty text."""
     keep = [c for c in rows.columns if c != "text"]
     plain = rows.select(*keep, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    schema = arrow(plain.drop("text").withColumn("fp", F.lit(0).cast("long")).schema)
+    kinds = ", ".join(f"{c} {k}" for c, k in plain.drop("text").dtypes) + ", fp long"
+    schema = arrow(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +66,7 @@ def fingerprinted(rows: DataFrame, shingle: int = 3) -> DataFrame:
             found = pa.array(np.array(fps, dtype="<u8").view("<i8"))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], found], schema=schema)
 
-    return plain.mapInArrow(run, plain.drop("text").withColumn("fp", F.lit(0).cast("long")).schema)
+    return plain.mapInArrow(run, kinds)
 
 
 class Tree:

@@ -8,7 +8,7 @@ don't break it. The kernel is normalised by both words' own values.
 Learning: documents labelled toxic are bags in which some words are at fault. Words that
 occur in far more toxic documents than chance gives are positive examples, as are copies
 of them with inserted characters; words of clean documents are negative ones, and after a
-first fit those that it wrongly takes for toxic. ``landmarks`` words span the Nystrom
+first fit those that it takes for toxic most. ``landmarks`` words span the Nystrom
 features, in which a linear machine is trained by hinge loss. A document's score is a
 logistic function of its three highest word margins, fitted on labelled documents.
 
@@ -19,20 +19,24 @@ into one table of a weight per subsequence, which is looked up for all words at
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import arrow, crc_mod, logistic, text_slices
+from sparktab.llm.common import SLICE, arrow, crc_mod, logistic, text_slices
 from sparktab.session import settled
 
 #: A word's margin is told exactly above this, and as this below.
 FLOOR = -1.0
+#: Letters that, beside the digits, are symbols of their own; with them a machine's table has about 29 MB.
+ALPHABET = 39
 #: Longer words are read in overlapping windows of so many characters.
 WINDOW = 16
 #: Words that a task remembers the margins of.
@@ -151,9 +155,20 @@ def words_of(text: str) -> set[str]:
     return words
 
 
-def sentences_of(text: str) -> list[str]:
-    """The sentences and lines of a text."""
-    return [s for s in re.split(r"(?<=[.!?])\s+|\n", text.lower()) if s.strip()]
+def contexts(text: str) -> set[tuple[str, str]]:
+    """The distinct (word before, word) pairs of a text's sentences, words as in ``words_of``.
+
+    A pair that many copies of a text share is one piece of evidence, not many.
+    """
+    found = set()
+    for sentence in text.lower().split("\n"):
+        words = [w.strip(EDGE) for w in sentence.split()]
+        for before, word in zip(["", *words], words):
+            if len(word) <= WINDOW:
+                found.add((before, word))
+            else:
+                found.update((before, word[i : i + WINDOW]) for i in range(0, len(word) - WINDOW // 2, WINDOW // 2))
+    return {x for x in found if x[1]}
 
 
 class Reader:
@@ -179,7 +194,7 @@ class Reader:
         return out
 
 
-def hinge(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 60) -> tuple[np.ndarray, float]:
+def hinge(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: float = 2.0, rounds: int = 60) -> tuple[np.ndarray, float]:
     """A linear machine by dual coordinate ascent; the bias is a feature held at 1."""
     x = np.c_[features, np.ones(len(features))]
     rng, alpha, w = np.random.default_rng(7), np.zeros(len(x)), np.zeros(x.shape[1])
@@ -202,22 +217,23 @@ def with_insertions(word: str, rng: np.random.Generator) -> str:
     return word[:at] + mark + word[at:]
 
 
-def train(positive: list[str], negative: list[str], landmarks: int = 96) -> Machine:
+def train(positive: list[str], negative: list[str], landmarks: int = 256) -> Machine:
     """A machine from example words. Without examples of both kinds it calls nothing toxic."""
     rng = np.random.default_rng(11)
-    letters = [c for c, _ in Counter("".join(positive + negative)).most_common() if c not in "^$"]
-    kernel = StringKernel("".join(letters[:40]))
+    letters = [c for c, _ in Counter("".join(positive * 2 + negative)).most_common() if c.isalpha()]
+    kernel = StringKernel("".join(letters[:ALPHABET]) + "0123456789")
     if not positive or not negative:
         return Machine(kernel, [], np.empty(0), FLOOR)
     gapped = [with_insertions(w, rng) for w in positive for _ in range(2)]
     broken = [with_insertions(w, rng) for w in negative[: len(gapped)]]
     spread = lambda xs, n: [xs[i] for i in np.linspace(0, len(xs) - 1, min(n, len(xs))).astype(int)]
-    chosen = list(dict.fromkeys(spread(positive, landmarks * 2 // 3) + spread(negative, landmarks // 3)))
+    toxic = spread(positive, landmarks * 2 // 3)
+    chosen = list(dict.fromkeys(toxic + spread(negative, landmarks - len(toxic))))
     words = positive + gapped + negative + broken
     sign = np.r_[np.ones(len(positive) + len(gapped)), -np.ones(len(negative) + len(broken))]
     share = np.where(sign > 0, len(sign) / (2 * (sign > 0).sum()), len(sign) / (2 * (sign < 0).sum()))
     values, vectors = np.linalg.eigh(kernel.against(chosen, chosen))
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-6))) @ vectors.T
+    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     w, bias = hinge(kernel.against(words, chosen) @ root, sign, share)
     return Machine(kernel, chosen, root @ w, bias)
 
@@ -237,3 +253,116 @@ def calibrate(machine: Machine, tops: np.ndarray, labels: np.ndarray) -> None:
         if np.abs(step).max() < 1e-8:
             break
     machine.calibration = theta
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = arrow("before string, word string, clean boolean")
+    for batch in batches:
+        for part, texts in text_slices(batch, "text"):
+            rows = {(*x, not y) for t, y in zip(texts, part.column("label").to_pylist()) for x in contexts(t)}
+            before, word, clean = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip((before, word, clean), kinds)], schema=kinds)
+
+
+def fit(labelled: DataFrame, examples: int = 1_500) -> Machine:
+    """Trains on rows (text, label). The caller bounds their number; every one is read whole.
+
+    Word counts are made by Spark over all the rows; ``examples`` words of each kind (often
+    and by chance clean, wrongly toxic, toxic) reach the driver.
+    """
+    pairs = labelled.mapInArrow(_contexts, "before string, word string, clean boolean")
+    by_pair = pairs.groupBy("before", "word").agg(F.max("clean").alias("clean"))
+    words = settled(by_pair.groupBy("word").agg(F.count_if(~F.col("clean")).alias("bad"), F.count_if("clean").alias("good")), "words")
+    sums = words.agg(F.sum("bad"), F.sum("good"), F.count_if(F.col("bad") > 0)).first()
+    bad, good, kinds = (x or 0 for x in sums)
+    if not bad or not good:
+        return train([], [])
+    # a word of so many toxic contexts and no clean one is not expected once by chance
+    least = max(3, math.ceil(math.log(kinds + 1) / -math.log(bad / (bad + good))))
+    first = lambda df, *by: [r["word"] for r in df.orderBy(*by, "word").limit(examples).collect()]
+    toxic = first(words.where((F.col("bad") >= least) & (F.col("good") * 50 <= F.col("bad"))), F.desc("bad"))
+    seen_clean = words.where("good > 0")
+    clean = list(dict.fromkeys(first(seen_clean, F.desc("good")) + first(seen_clean, F.xxhash64("word"))))
+    machine = train(toxic, clean)
+    if toxic:
+        margin = _per_batch(labelled, machine, lambda m, ws: m.margins(ws), "double")
+        clean += first(seen_clean.withColumn("margin", margin(F.col("word"))).where(F.col("margin") > FLOOR), F.desc("margin"))
+        machine = train(toxic, list(dict.fromkeys(clean)))
+    tops = labelled.select(F.col("label"), top_margins(labelled, machine)(F.col("text")).alias("tops")).collect()
+    calibrate(machine, np.array([r["tops"] for r in tops]).reshape(-1, 3), np.array([r["label"] for r in tops], dtype=float))
+    return machine
+
+
+def _per_batch(df: DataFrame, machine: Machine, values, kind: str):
+    """A pandas UDF of ``values(machine, strings)``. The machine's table has a fixed size (about 29 MB)."""
+    held = df.sparkSession.sparkContext.broadcast(machine)
+
+    @F.pandas_udf(kind)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series(list(values(held.value, part.fillna("").tolist())), index=part.index, dtype=object if kind != "double" else float)
+
+    return run
+
+
+def top_margins(df: DataFrame, machine: Machine):
+    """A pandas UDF: text -> its three highest word margins."""
+    held = df.sparkSession.sparkContext.broadcast(machine)
+
+    @F.pandas_udf("array<double>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader(held.value)
+        for part in parts:
+            texts = part.fillna("").tolist()
+            yield pd.Series([row for at in range(0, len(texts), SLICE) for row in reader.tops(texts[at : at + SLICE])])
+
+    return run
+
+
+def toxicity(df: DataFrame, machine: Machine, text: str = "text") -> Column:
+    """The score (0 to 1) of a text column. NULL counts as the empty text, which has the score of no insult."""
+    held = df.sparkSession.sparkContext.broadcast(machine)
+
+    @F.pandas_udf("double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader(held.value)
+        for part in parts:
+            texts = part.fillna("").tolist()
+            scores = [held.value.score(reader.tops(texts[at : at + SLICE])) for at in range(0, len(texts), SLICE)]
+            yield pd.Series(np.concatenate(scores) if scores else np.empty(0))
+
+    return run(F.col(text))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, most: int) -> DataFrame:
+    """(text, label) of at most ``most`` labelled documents for which ``learn`` holds, by hash of doc_id.
+
+    A document labelled twice has the higher label; rows without a doc_id or label don't count.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
+    one = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).alias("label"))
+    some = settled(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "labels")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return settled(slim.join(F.broadcast(some), "doc_id").select("text", "label"), "labelled")  # at most `most` rows
+
+
+def trained(docs: DataFrame, labels: DataFrame, most: int = 12_000) -> Machine:
+    """A machine from the labelled documents that aren't held out (crc32 of doc_id mod 4 is 2)."""
+    return fit(labelled_sample(docs, labels, "toxic", crc_mod("doc_id", 4) != 2, most))
+
+
+def toxicity_table(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document.
+
+    NULL and empty texts have the score of a text without insults; a NULL doc_id is not
+    held out; repeated rows get equal scores. Without labels of both kinds all scores are low.
+    """
+    machine = trained(docs, labels)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "text")
+    scored = slim.withColumn("score", toxicity(docs, machine)).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose score is under ``threshold``, with all their columns."""
+    return docs.where(toxicity(docs, trained(docs, labels)) < threshold)

@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktab.llm import mixing, shards, simhash, toxicity
+from sparktab.llm import decontaminate, mixing, shards, simhash, toxicity
 from sparktab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bm25_wand_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document leaks."""
+    return decontaminate.leak_table(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 def op2_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents into 8 shards of equal row counts, uniformly shuffled."""
     return shards.shard_table(documents(spark, sf_dir), shards=8, scan=True)
@@ -32,5 +37,5 @@ def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_hypergeometric_shards, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_bm25_wand_decontamination, op2_hypergeometric_shards, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -218,14 +218,17 @@ def leaked(docs: DataFrame, items: DataFrame, text: str = "text", threshold: flo
     found = F.array().cast(LEAKS)
     for index in indexes(items, index_items):
         held = docs.sparkSession.sparkContext.broadcast(index)
+        found = F.concat(found, _leaks_of(held, threshold, overlap)(F.col(text)))
+    return found
 
-        @F.pandas_udf(LEAKS)
-        def run(parts: Iterator[pd.Series], held=held) -> Iterator[pd.Series]:
-            for part in parts:
-                yield pd.Series([held.value.leaks(t, threshold, overlap) for t in part.fillna("").tolist()], dtype=object)
 
-        found = F.concat(found, run(F.col(text)))
-    return found
+def _leaks_of(held, threshold: float, overlap: float):
+    @F.pandas_udf(LEAKS)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([held.value.leaks(t, threshold, overlap) for t in part.fillna("").tolist()], dtype=object)
+
+    return run
 
 
 def leak_table(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktab.llm import decontaminate, mixing, shards, simhash, toxicity
+from sparktab.llm import decontaminate, mixing, shards, simhash, token_planes, toxicity
 from sparktab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def op2_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_table(documents(spark, sf_dir), shards=8, scan=True)
 
 
+def op3_byte_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, written as shuffled byte planes and read back."""
+    import public_tokenizers
+
+    return token_planes.token_table(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), scan=True)
+
+
 def op6_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, bits=2, scan=True)
@@ -37,5 +44,5 @@ def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_bm25_wand_decontamination, op2_hypergeometric_shards, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_bm25_wand_decontamination, op2_hypergeometric_shards, op3_byte_plane_ids, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
 ORACLES: dict[str, str] = {}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktab.llm import decontaminate, mixing, shards, simhash, token_planes, toxicity
+from sparktab.llm import decontaminate, language, mixing, pu_quality, shards, simhash, spans, token_planes, toxicity, weak_rules
 from sparktab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,20 +29,53 @@ def op3_byte_plane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.token_table(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), scan=True)
 
 
+def op4_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule votes of all documents, weighed by the accuracies that EM estimates."""
+    return weak_rules.rule_table(documents(spark, sf_dir))
+
+
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from good labels and unlabelled text."""
+    return pu_quality.quality_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op6_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: 3-word shingles, at most 2 differing bits."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, bits=2, scan=True)
 
 
+def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of sentences that all documents repeat: 3 sentences and 13 words or more."""
+    return spans.repeat_table(documents(spark, sf_dir), scan=True)
+
+
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in the order of a mix with source weights of their counts to the power 0.7."""
     return mixing.mix_table(documents(spark, sf_dir), scan=True)
 
 
+def op9_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The languages of all documents."""
+    return language.language_table(documents(spark, sf_dir))
+
+
 def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity.toxicity_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_bm25_wand_decontamination, op2_hypergeometric_shards, op3_byte_plane_ids, op6_simhash_bktree, op8_pfair_mix, op10_string_kernel_toxicity)}
+ALL = (
+    op1_bm25_wand_decontamination,
+    op2_hypergeometric_shards,
+    op3_byte_plane_ids,
+    op4_weak_supervision,
+    op5_pu_quality,
+    op6_simhash_bktree,
+    op7_sentence_spans,
+    op8_pfair_mix,
+    op9_centroid_language,
+    op10_string_kernel_toxicity,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in ALL}
+#: Models, draws, components and file formats have no SQL form; tests/llm holds them against brute force.
 ORACLES: dict[str, str] = {}

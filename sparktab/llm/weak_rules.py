@@ -19,7 +19,7 @@ from sparktab.session import settled
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MORE = ("n_upper", "n_exclaim", "n_lines", "n_distinct")
+MORE = ("n_upper", "n_exclaim", "n_letters", "n_marked", "n_lines", "n_distinct")
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -53,6 +53,8 @@ def _measured(docs: DataFrame) -> DataFrame:
             "n_lines": F.size("__lines").cast("long"),
             "n_upper": F.length(F.regexp_replace("__joined", "[^A-Z\\p{Lu}]+", F.lit(""))).cast("long"),
             "n_exclaim": (F.length("__joined") - F.length(F.replace("__joined", F.lit("!"), F.lit("")))).cast("long"),
+            "n_letters": F.length(F.regexp_replace("__joined", "[^\\p{L}]+", F.lit(""))).cast("long"),
+            "n_marked": F.regexp_count("__trim", F.lit("[#*$%&|<>!]{2}(?![^\\x20\\x09-\\x0D])")).cast("long"),
             "n_distinct": F.size(F.array_distinct("__words")).cast("long"),
             "__hashes": F.when(n >= 3, windows).otherwise(F.array().cast("array<bigint>")),
             "__low": (F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.ceil(F.log2(n + 1)), F.lit(1)).cast("int")) - 1),
@@ -93,9 +95,11 @@ def votes() -> dict[str, Column]:
 
     symbols, repeats, length = per("n_symbols", "n_words"), per("n_repeat_words", "n_words"), per("word_chars", "n_words")
     upper, calls, lines = per("n_upper", "word_chars"), per("n_exclaim", "n_words"), per("n_dup_lines", "n_lines")
-    variety = per("n_distinct", "n_words")
+    variety, letters, marked = per("n_distinct", "n_words"), per("n_letters", "word_chars"), per("n_marked", "n_words")
     return {
         "symbols": rule(symbols, symbols > 0.10, symbols < 0.02),
+        "letters": rule(letters, letters < 0.80, letters > 0.92),
+        "marked_words": rule(marked, marked > 0.10, marked < 0.02),
         "repeated_words": rule(repeats, repeats > 0.30, repeats < 0.10),
         "word_length": rule(length, (length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         "capitals": rule(upper, upper > 0.30, upper < 0.12),
@@ -105,31 +109,41 @@ def votes() -> dict[str, Column]:
     }
 
 
-def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """The share of good documents and each rule's (P(vote | good), P(vote | bad)).
+def expectation_maximisation(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> tuple[float, list[tuple[float, float]]]:
+    """The share of good documents and each rule's (P(good vote | good), P(good vote | bad)) when it votes.
 
     Bad votes are for clear signs, so it starts from the belief that a document with any is
     rather bad, the more so the more it has. It ends when the share stands still. Counts
-    are smoothed by one document per vote and class. Without documents all is even.
+    are smoothed by one document per vote and class. An abstention tells nothing. Without
+    documents all is even.
     """
     rules = len(patterns[0][0]) if patterns else 0
     belief = [0.95 if -1 not in v else max(0.05, 0.4 - 0.1 * v.count(-1)) for v, _ in patterns]
     share, tables = 0.5, []
     for _ in range(rounds):
-        total = sum(n for _, n in patterns)
         good = sum(b * n for b, (_, n) in zip(belief, patterns))
-        before, share = share, (good + 1) / (total + 2)
+        before, share = share, (good + 1) / (sum(n for _, n in patterns) + 2)
         tables = []
         for r in range(rules):
-            seen = {vote: (sum(b * n for b, (v, n) in zip(belief, patterns) if v[r] == vote) + 1, sum((1 - b) * n for b, (v, n) in zip(belief, patterns) if v[r] == vote) + 1) for vote in (-1, 0, 1)}
-            tables.append({vote: (g / (good + 3), b / (total - good + 3)) for vote, (g, b) in seen.items()})
-        odds = [math.log(share / (1 - share)) + sum(math.log(t[x][0] / t[x][1]) for t, x in zip(tables, v)) for v, _ in patterns]
+            seen = [[1.0, 1.0], [1.0, 1.0]]  # by class, then by vote
+            for b, (v, n) in zip(belief, patterns):
+                if v[r]:
+                    seen[0][v[r] < 0] += b * n
+                    seen[1][v[r] < 0] += (1 - b) * n
+            tables.append((seen[0][0] / sum(seen[0]), seen[1][0] / sum(seen[1])))
+        odds = [math.log(share / (1 - share)) + sum(weight(t, x) for t, x in zip(tables, v)) for v, _ in patterns]
         belief = [1 / (1 + math.exp(-min(max(o, -500), 500))) for o in odds]
         if abs(share - before) < 1e-10:
             break
     return share, tables
 
 
+def weight(table: tuple[float, float], vote: int) -> float:
+    """What a vote adds to the log-odds of good."""
+    good, bad = table
+    return 0.0 if vote == 0 else math.log(good / bad) if vote > 0 else math.log((1 - good) / (1 - bad))
+
+
 def judged(counts: DataFrame) -> DataFrame:
     """Adds ``posterior`` (double) to rows with COUNTS and MORE. ``counts`` is read twice: write it first."""
     rules = votes()
@@ -139,10 +153,7 @@ def judged(counts: DataFrame) -> DataFrame:
     share, tables = expectation_maximisation([(tuple(r[c] for c in names), r["count"]) for r in found])
     odds = F.lit(math.log(share / (1 - share)))
     for name, table in zip(names, tables):
-        weigh = F.lit(math.log(table[0][0] / table[0][1]))
-        for vote in (-1, 1):
-            weigh = F.when(F.col(name) == vote, math.log(table[vote][0] / table[vote][1])).otherwise(weigh)
-        odds = odds + weigh
+        odds = odds + F.when(F.col(name) > 0, weight(table, 1)).when(F.col(name) < 0, weight(table, -1)).otherwise(0.0)
     return marked.withColumn("posterior", 1 / (1 + F.exp(-odds))).drop(*names)
 
 

@@ -18,9 +18,18 @@ SPACE = " \t\n\x0b\x0c\r"
 SLICE = 256
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
-    """A whole table of the given folder. Python workers get this package first."""
+    """A whole table of the given folder.
+
+    Python workers get this package first, and texts in batches of about 8 MB, unless the
+    session has its own setting: long texts would make batches of any number of rows large.
+    """
     ship_package(spark)
+    if spark.conf.get(BATCH_BYTES, "") in ("", "67108864b"):  # the default
+        spark.conf.set(BATCH_BYTES, "8m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -40,7 +40,7 @@ ALPHABET = 39
 #: Longer words are read in overlapping windows of so many characters.
 WINDOW = 16
 #: Words that a task remembers the margins of.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 SPACED = re.compile(r"(?<!\S)\w(?:[^\S\n]\w){2,}(?!\S)")
 EDGE = "\"'.,;:!?()[]{}<>|/\\#*$%&-_~`^+="
 

@@ -19,7 +19,7 @@ from sparktab.session import settled
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MORE = ("n_upper", "n_exclaim", "n_letters", "n_marked", "n_lines", "n_distinct")
+MORE = ("n_upper", "n_exclaim", "n_letters", "n_marked", "n_bars", "n_lines", "n_distinct")
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -53,6 +53,7 @@ def _measured(docs: DataFrame) -> DataFrame:
             "n_lines": F.size("__lines").cast("long"),
             "n_upper": F.length(F.regexp_replace("__joined", "[^A-Z\\p{Lu}]+", F.lit(""))).cast("long"),
             "n_exclaim": (F.length("__joined") - F.length(F.replace("__joined", F.lit("!"), F.lit("")))).cast("long"),
+            "n_bars": (F.length("__joined") - F.length(F.replace("__joined", F.lit("|"), F.lit("")))).cast("long"),
             "n_letters": F.length(F.regexp_replace("__joined", "[^\\p{L}]+", F.lit(""))).cast("long"),
             "n_marked": F.regexp_count("__trim", F.lit("[#*$%&|<>!]{2}(?![^\\x20\\x09-\\x0D])")).cast("long"),
             "n_distinct": F.size(F.array_distinct("__words")).cast("long"),
@@ -96,10 +97,12 @@ def votes() -> dict[str, Column]:
     symbols, repeats, length = per("n_symbols", "n_words"), per("n_repeat_words", "n_words"), per("word_chars", "n_words")
     upper, calls, lines = per("n_upper", "word_chars"), per("n_exclaim", "n_words"), per("n_dup_lines", "n_lines")
     variety, letters, marked = per("n_distinct", "n_words"), per("n_letters", "word_chars"), per("n_marked", "n_words")
+    bars = per("n_bars", "n_words")
     return {
         "symbols": rule(symbols, symbols > 0.10, symbols < 0.02),
         "letters": rule(letters, letters < 0.80, letters > 0.92),
         "marked_words": rule(marked, marked > 0.10, marked < 0.02),
+        "table_bars": rule(bars, bars > 0.08, bars < 0.02),
         "repeated_words": rule(repeats, repeats > 0.30, repeats < 0.10),
         "word_length": rule(length, (length < 2.5) | (length > 12), (length >= 3.5) & (length <= 9)),
         "capitals": rule(upper, upper > 0.30, upper < 0.12),

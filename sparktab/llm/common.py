@@ -28,7 +28,7 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     session has its own setting: long texts would make batches of any number of rows large.
     """
     ship_package(spark)
-    if spark.conf.get(BATCH_BYTES, "") in ("", "67108864b"):  # the default
+    if spark.conf.get(BATCH_BYTES) == "67108864b":  # the default
         spark.conf.set(BATCH_BYTES, "8m")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

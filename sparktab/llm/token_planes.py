@@ -17,12 +17,14 @@ documents and their numbers of ids. Lost tasks are run again by Spark's own writ
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,8 +39,14 @@ BLOCK = 65_536
 HEAD, ENTRY = struct.Struct("<III"), struct.Struct("<QI4I")
 SEGMENT = "part int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
-SLICE = 64
+REMEMBERED = 500_000
+#: Pieces that are encoded as one text.
+TOGETHER = 256
+#: Texts that are encoded together.
+SLICE = 2_048
+#: Letters with or without ASCII marks behind them. No apostrophe, which tokenizers may treat
+#: apart, no special token and no letter that has a mark of its own in lower case.
+PIECES = re.compile(r"([^\W\d_\u0130]+)((?:[!-&(-/:;=?@\[-`{}~]|[|<>](?!\|))*)").fullmatch
 
 
 def pack(ids: np.ndarray, level: int = 1) -> bytes:
@@ -86,35 +94,68 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        marks = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if not t.single_word and not t.normalized}
-        self.mark, self.mark_id = next(iter(marks.items()), (None, -1))
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
-        """Remembers the ids of new words: many are encoded as one text with a special token between."""
-        if self.mark is None:
-            joined, alone = [], words
-        else:
-            joined, alone = [w for w in words if "<" not in w], [w for w in words if "<" in w]
-        groups = [joined[i : i + 64] for i in range(0, len(joined), 64)]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            if len(ends) != len(group) - 1:
-                alone = alone + group
-                continue
-            data, cuts = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-            self.known.update((w, data[4 * (a + 1) : 4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
-        for word, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+        """Remembers the ids of new words.
+
+        Letters are one piece and the marks behind them another, so a word's ids are those of
+        both. Letters and marks not seen yet are encoded many at a time; a piece's last
+        id is one that ends a word, which tells the pieces apart. If they don't add up, they
+        are encoded alone, as are all other words.
+        """
+        cut, alone, pieces = {}, [], {}
+        for w in words:
+            if match := PIECES(w):
+                cut[w] = two = match.groups()
+                pieces.update((x, None) for x in two if x not in self.known)
+            else:
+                alone.append(w)
+        fresh = list(pieces)
+        for k in range(0, len(fresh), TOGETHER * 64):
+            groups = [fresh[i : i + TOGETHER] for i in range(k, min(k + TOGETHER * 64, len(fresh)), TOGETHER)]
+            for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(found.ids, dtype="<u4")
+                until = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+                if len(until) != len(group) or until[-1] != 4 * len(ids):
+                    self._each(group)
+                    continue
+                data = ids.tobytes()
+                self.known.update((w, data[a:b]) for w, a, b in zip(group, [0, *until], until))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items() if b)
+        self._each(alone)
+
+    def _each(self, words: list[str]) -> None:
+        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian uint32."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        self.learn(list(set().union(*words).difference(self.known)))
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids end.
+
+        A batch's words are made distinct by Arrow; only those are looked up one by one.
+        """
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if len(self.known) > REMEMBERED:  # words not met again in the next so many are forgotten
+            self.known, self.older = {"": b""}, self.known
+        new = [w for w in words if w not in self.known]
+        self.known.update((w, self.older[w]) for w in new if w in self.older)
+        self.learn([w for w in new if w not in self.older])
+        found = [self.known[w] for w in words]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        table, index = np.frombuffer(b"".join(found), dtype="<u4"), coded.indices.to_numpy()
+        count = size[index]
+        ends = np.cumsum(count)
+        where = np.repeat((np.cumsum(size) - size)[index] - ends + count, count)
+        where += np.arange(len(where))
+        tokens = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return table[where], np.r_[0, ends][tokens]
 
 
 @functools.lru_cache(maxsize=1)
@@ -123,29 +164,31 @@ def encoder(path: str) -> WordEncoder:
 
 
 def _segments(path: str, end_id: int, segment_ids: int):
-    kinds, end = arrow(SEGMENT), np.array([end_id], dtype="<u4").tobytes()
+    kinds, end = arrow(SEGMENT), np.array([end_id], dtype="<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encode = TaskContext.get().partitionId(), encoder(path).encode
         names: list = []
-        made: list[bytes] = []
+        lengths: list[int] = []
+        made: list[np.ndarray] = []
         number, held = 0, 0
 
         def row() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(made), dtype="<u4")
-            cells = [part, number, len(ids), list(names), [len(m) // 4 for m in made], pack(ids)]
+            cells = [part, number, held, names, lengths, pack(np.concatenate(made))]
             return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(cells, kinds)], schema=kinds)
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 some = batch.slice(at, SLICE)
-                for name, ids in zip(some.column("doc_id").to_pylist(), encode([t or "" for t in some.column("text").to_pylist()])):
+                ids, ends = encode(pc.fill_null(some.column("text"), ""))
+                for name, a, b in zip(some.column("doc_id").to_pylist(), [0, *ends.tolist()], ends.tolist()):
                     names.append(name)
-                    made.append(ids + end)
-                    held += len(made[-1]) // 4
+                    lengths.append(b - a + 1)
+                    made += [ids[a:b], end]
+                    held += lengths[-1]
                     if held >= segment_ids:
                         yield row()
-                        names, made, number, held = [], [], number + 1, 0
+                        names, lengths, made, number, held = [], [], [], number + 1, 0
         if names:
             yield row()
 

@@ -106,13 +106,13 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = arrow("lang string, counts array<float>")
+    kinds = arrow("lang string, counts binary")
     for batch in batches:
         for part, texts in text_slices(batch, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([counts(t) for t in texts], type=kinds.field(1).type)], schema=kinds)
+            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([counts(t).tobytes() for t in texts], type=pa.binary())], schema=kinds)
 
 
-def fit(training: DataFrame, sample: int = 3_000, centroids: int = 4) -> Languages:
+def fit(training: DataFrame, sample: int = 2_000, centroids: int = 4) -> Languages:
     """Centroids from (text, lang, key) rows; rows with a NULL text or lang don't count.
 
     Document frequencies and language counts cover all rows. About ``sample`` rows, evenly
@@ -128,11 +128,11 @@ def fit(training: DataFrame, sample: int = 3_000, centroids: int = 4) -> Languag
     each = max(20, sample // len(sizes))
     share = F.create_map(*[x for lang, size in sizes.items() for x in (F.lit(lang), F.lit(each / size))])
     even = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 20)) / float(1 << 20)
-    some = rows.where(even < share[F.col("lang")]).select("lang", "text").mapInArrow(_counted, "lang string, counts array<float>").collect()
+    some = rows.where(even < share[F.col("lang")]).select("lang", "text").mapInArrow(_counted, "lang string, counts binary").collect()
     model = Languages(weights, [], np.zeros((0, BINS)), np.zeros(0))
     centres, limits = [], []
     for lang in sorted({r["lang"] for r in some}):
-        found = model.vectors(np.array([r["counts"] for r in some if r["lang"] == lang], dtype=np.float32))
+        found = model.vectors(np.stack([np.frombuffer(r["counts"], dtype=np.float32) for r in some if r["lang"] == lang]))
         found = found[np.lexsort(found.T[:8])]  # the order that rows arrive in must not matter
         c, limit = clusters(found, centroids)
         centres.append(c)

@@ -5,10 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from llm_fixtures import prose  # noqa: E402
-
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-
+from llm_fixtures import SCHEMA, prose  # noqa: E402
 
 @pytest.fixture(scope="session")
 def odd_rows():

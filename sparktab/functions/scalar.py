@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 
 def measure(name: str | Column) -> Column:
-    """A numeric column as double with NaN turned into NULL.
+    """A numeric column as double with NaN and infinities turned into NULL.
 
-    Spark orders NaN above every number, so it would otherwise pass ``x > high``.
+    Spark orders NaN above every number, so it would otherwise pass ``x > high``; one
+    infinite value would make means, deviations and bin widths useless.
     """
-    col = F.col(name) if isinstance(name, str) else name
-    return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
+    col = (F.col(name) if isinstance(name, str) else name).cast("double")
+    return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
 def title_label(col: Column) -> Column:
@@ -27,10 +28,6 @@ def file_label(col: Column) -> Column:
     return F.lower(F.regexp_replace(col, "[^A-Za-z0-9]+", "_"))
 
 
-def percent(col: Column) -> Column:
-    return col * F.lit(100.0)
-
-
 def share_percent(part: Column, whole: Column) -> Column:
     """``part`` in percent of ``whole``; NULL when there is no whole."""
     return F.try_divide(part.cast("double") * 100.0, whole.cast("double"))

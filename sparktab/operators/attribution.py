@@ -192,7 +192,8 @@ def _even_bin(value: Column, low: float | None, high: float | None, bins: int) -
 
 def _with_ordered(df: DataFrame, model: LinearModel) -> DataFrame:
     """Adds ``_code`` of the predicted class and ``_ordered``, its attributions: largest
-    magnitude first, ties by feature."""
+    magnitude first, ties by feature. Both are NULL and empty where a missing feature
+    leaves a row without a prediction."""
     weights = F.element_at(F.array(*[doubles(w) for w in model.weights]), F.col("_code") + 1)
     names, means = names_array(model.features), doubles(model.means)
     parts = F.transform(
@@ -200,10 +201,11 @@ def _with_ordered(df: DataFrame, model: LinearModel) -> DataFrame:
         lambda phi, j: F.struct((-F.abs(phi)).alias("rank"), F.get(names, j).alias("feature"), phi.alias("phi")),
     )
     code = (F.array_position(names_array(model.classes), F.col("prediction")) - 1).cast("int")
+    nothing = F.array().cast("array<struct<rank:double,feature:string,phi:double>>")
     return (
         df.withColumns({"_code": code, "_inputs": F.array(*model.inputs())})
         .withColumn("_weights", weights)
-        .withColumn("_ordered", F.array_sort(parts))
+        .withColumn("_ordered", F.when(F.col("_code").isNotNull(), F.array_sort(parts)).otherwise(nothing))
         .drop("_inputs", "_weights")
     )
 
@@ -229,7 +231,7 @@ def waterfall(df: DataFrame, model: LinearModel, keys: Sequence[str], shown: int
     The ``shown`` largest contributions, then the rest folded into ``other``; ``running``
     starts at the base value of the predicted class and ends at its margin. The outer
     explode keeps Spark from inferring a filter on the whole expression, which it would
-    push to the scan and evaluate twice.
+    push to the scan and evaluate twice. A row without a prediction has one row of NULLs.
     """
     base = F.element_at(doubles([model.base(c) for c in range(len(model.classes))]), F.col("_code") + 1)
     pairs = F.transform(F.slice("_ordered", 1, shown), lambda t: F.struct(t.feature.alias("feature"), t.phi.alias("phi")))
@@ -237,7 +239,9 @@ def waterfall(df: DataFrame, model: LinearModel, keys: Sequence[str], shown: int
         rest = F.aggregate(
             F.slice("_ordered", shown + 1, len(model.features)), F.lit(0.0), lambda acc, t: acc + t.phi
         )
-        pairs = F.concat(pairs, F.array(F.struct(F.lit("other").alias("feature"), rest.alias("phi"))))
+        pairs = F.when(F.size("_ordered") == 0, pairs).otherwise(
+            F.concat(pairs, F.array(F.struct(F.lit("other").alias("feature"), rest.alias("phi"))))
+        )
     running = F.transform(
         "steps",
         lambda _, i: F.aggregate(F.slice("steps", F.lit(1), i + 1), F.col("base"), lambda acc, t: acc + t.phi),

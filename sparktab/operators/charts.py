@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from sparktab.functions.scalar import outside
 from sparktab.operators.clean import fences
 from sparktab.operators.quantile import quantiles
-from sparktab.operators.support import SMALL_BYTES, attach, melt
+from sparktab.operators.support import SMALL_BYTES, attach, melt, null_safe_join
 
-MAX_BINS = 1000
+LISTED_BINS = 10_000
 DENSITY_BINS = 4096
 
 # ---------------------------------------------------------------------- histograms
@@ -29,7 +29,7 @@ def auto_bin_count(n: Column, low: Column, high: Column, iqr: Column) -> Column:
     freedman = 2.0 * iqr * F.pow(n.cast("double"), F.lit(-1.0 / 3.0))
     width = F.when(freedman > 0, F.least(sturges, freedman)).otherwise(sturges)
     wanted = F.ceil(F.try_divide(spread, width))
-    return F.when(spread > 0, F.least(wanted, F.lit(MAX_BINS))).otherwise(F.lit(1)).cast("int")
+    return F.when(spread > 0, wanted).otherwise(F.lit(1)).cast("bigint")
 
 
 def bin_edges(
@@ -39,7 +39,7 @@ def bin_edges(
     by: Sequence[str] = (),
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """by..., column, low, high, bins. Each group spans its own range."""
+    """by..., column, low, high, bins. Each group, NULL too, spans its own range."""
     if bins == "auto":
         q = quantiles(df, columns, [0.0, 0.25, 0.75, 1.0], by, small_bytes=small_bytes)
         low, q1, q3, high = (F.col("q")[i] for i in range(4))
@@ -49,14 +49,14 @@ def bin_edges(
         melt(df, columns, by)
         .groupBy(*by, "column")
         .agg(F.min("value").alias("low"), F.max("value").alias("high"))
-        .withColumn("bins", F.when(F.col("high") > F.col("low"), F.lit(int(bins))).otherwise(F.lit(1)))
+        .withColumn("bins", F.when(F.col("high") > F.col("low"), F.lit(int(bins))).otherwise(F.lit(1)).cast("bigint"))
     )
 
 
 def bin_of(value: Column, low: Column, high: Column, bins: Column) -> Column:
     """Position of a value's bin; the last bin is closed on the right."""
     width = (high - low) / bins
-    return F.least(F.coalesce(F.floor(F.try_divide(value - low, width)), F.lit(0)), bins - 1).cast("int")
+    return F.least(F.coalesce(F.floor(F.try_divide(value - low, width)), F.lit(0)), bins - 1).cast("bigint")
 
 
 def histogram(
@@ -65,8 +65,13 @@ def histogram(
     bins: int | str = "auto",
     by: Sequence[str] = (),
     small_bytes: int = SMALL_BYTES,
+    listed_bins: int = LISTED_BINS,
 ) -> DataFrame:
-    """by..., column, bin, left, right, n; empty bins are listed with n = 0."""
+    """by..., column, bin, left, right, n.
+
+    There is no limit to the bins. Empty ones are listed with n = 0 where a group has at
+    most ``listed_bins``; of longer tails only the bins with rows are given.
+    """
     by = list(by)
     edges = bin_edges(df, columns, bins, by, small_bytes)
     shape = ["low", "high", "bins"]
@@ -74,17 +79,22 @@ def histogram(
     counted = placed.groupBy(*by, "column", *shape, bin_of(F.col("value"), *map(F.col, shape)).alias("bin")).agg(
         F.count("*").alias("n")
     )
-    filled = counted.groupBy(*by, "column", *shape).agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts")
-    )
+    some = counted.groupBy(*by, "column", *shape).agg(F.min("bin").alias("_any"))
+    every = some.where(F.col("bins") <= listed_bins).withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)))
+    listed = every.select(*by, "column", *shape, "bin", F.lit(0).cast("bigint").alias("n"))
     width = (F.col("high") - F.col("low")) / F.col("bins")
-    return filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("bins") - 1))).select(
-        *by,
-        "column",
-        "bin",
-        (F.col("low") + F.col("bin") * width).alias("left"),
-        (F.col("low") + (F.col("bin") + 1) * width).alias("right"),
-        F.coalesce(F.try_element_at("counts", "bin"), F.lit(0)).cast("bigint").alias("n"),
+    return (
+        counted.unionByName(listed)
+        .groupBy(*by, "column", *shape, "bin")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            *by,
+            "column",
+            "bin",
+            (F.col("low") + F.col("bin") * width).alias("left"),
+            (F.col("low") + (F.col("bin") + 1) * width).alias("right"),
+            "n",
+        )
     )
 
 
@@ -98,14 +108,15 @@ def density(
     by: Sequence[str] = (),
     cut: float = 0.0,
     method: str = "exact",
+    density_bins: int = DENSITY_BINS,
 ) -> DataFrame:
     """Gaussian kernel density on an even grid: by..., column, point, x, density.
 
     Scott's bandwidth; the grid runs from minimum to maximum, extended by ``cut``
     bandwidths. ``exact`` sums one kernel per row and grid point within each Arrow batch,
     so rows are never multiplied and only sums are shuffled. ``binned`` first reduces each
-    group to ``DENSITY_BINS`` counted means, so the cost per row no longer depends on the
-    grid.
+    group to ``density_bins`` counted means, so the cost per row no longer depends on the
+    grid. A group of equal values or one row has no curve.
     """
     by = list(by)
     keys = [*by, "column"]
@@ -126,7 +137,7 @@ def density(
     fitted = attach(rows, scale, keys, spread=F.xxhash64("value"))
     shape = ["total", "h", "first", "step"]
     if method == "binned":
-        bin_id = bin_of(F.col("value"), F.col("low"), F.col("high"), F.lit(DENSITY_BINS))
+        bin_id = bin_of(F.col("value"), F.col("low"), F.col("high"), F.lit(density_bins))
         weighed = fitted.groupBy(*keys, *shape, bin_id.alias("bin")).agg(
             F.avg("value").alias("value"), F.count("*").cast("double").alias("weight")
         )
@@ -195,8 +206,7 @@ def compare_boxes(before: DataFrame, after: DataFrame, by: Sequence[str] = ()) -
         return df.select(*keys, *[F.col(c).alias(f"{c}_{tag}") for c in stats])
 
     return (
-        tagged(before, "before")
-        .join(tagged(after, "after"), keys, "inner")
+        null_safe_join(tagged(before, "before"), tagged(after, "after"), keys)
         .withColumn("rows_removed", F.col("n_before") - F.col("n_after"))
         .withColumn(
             "iqr_change",
@@ -214,9 +224,13 @@ def violin(
     method: str = "exact",
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Density per category, two bandwidths beyond the data, with the three quartiles."""
+    """Density per category, two bandwidths beyond the data, with the three quartiles.
+
+    A category without a curve keeps its quartiles in one row with a NULL point.
+    """
     curve = density(df, columns, points, by, cut=2.0, method=method)
     inner = quantiles(df, columns, [0.25, 0.5, 0.75], by, small_bytes=small_bytes).select(
         *by, "column", *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
     )
-    return curve.join(inner, [*by, "column"], "inner")
+    keys = [*by, "column"]
+    return null_safe_join(inner, curve, keys, "left").select(*keys, "point", "x", "density", "q1", "median", "q3")

@@ -25,28 +25,30 @@ from sparktab.spec import without
 def distinct_rows(df: DataFrame, ignore: Sequence[str] = (), keep: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows once the identifying columns are gone; NULLs equal each other.
 
-    With ``keep`` only those columns come out: rows are then told apart by a digest, so
-    wide columns that nobody reads later are hashed where they lie and never shuffled.
+    Rows are told apart by a digest. Copies are combined before the shuffle, which then
+    carries one row per digest and task. With ``keep`` only those columns come out: wide
+    columns that nobody reads later are hashed where they lie and never shuffled.
     """
     body = df.drop(*ignore)
-    if keep is None:
-        return body.dropDuplicates()
-    return body.select(row_digest(body, body.columns).alias("_digest"), *keep).distinct().drop("_digest")
+    if not body.columns:
+        return body.limit(1)
+    kept = body.columns if keep is None else list(keep)
+    marked = body.select(row_digest(body, body.columns).alias("_digest"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"))
+    return marked.groupBy("_digest").agg(F.any_value("_row").alias("_row")).select("_row.*")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], content: Sequence[str] | None = None) -> DataFrame:
     """One row per distinct content: the one with the lowest key.
 
-    Only digests and keys are grouped, with map-side combining, so neither wide text
-    nor a heavily repeated row travels; the survivors are then picked by key.
+    Rows are grouped by a digest of their content. Copies are combined before the shuffle,
+    which carries one row per digest and task; there is no join. Rows of one content
+    and key come out once.
     """
     content = list(content) if content is not None else without(df.columns, keys)
-    digests = df.groupBy(row_digest(df, content).alias("_digest"))
-    if len(keys) == 1:
-        kept = digests.agg(F.min(keys[0]).alias(keys[0])).drop("_digest")
-    else:
-        kept = digests.agg(F.min(F.struct(*keys)).alias("_low")).select("_low.*")
-    return df.join(kept, on=list(keys), how="left_semi")
+    key = F.struct(*[F.col(f"`{k}`") for k in keys])
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.select(row_digest(df, content).alias("_digest"), key.alias("_key"), whole.alias("_row"))
+    return marked.groupBy("_digest").agg(F.min_by("_row", "_key").alias("_row")).select("_row.*")
 
 
 def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:

@@ -40,14 +40,17 @@ def fold_summary(df: DataFrame, fold: str, label: str = "label", prediction: str
 
 
 def confusion(df: DataFrame, classes: Sequence, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """label, prediction, n for every pair of classes; pairs that never occur have 0."""
+    """label, prediction, n for every pair of classes; pairs that never occur have 0.
+
+    The driver holds the classes; their pairs are made on the cluster.
+    """
     counted = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
         F.count("*").alias("n")
     )
     kinds = dict(counted.dtypes)
-    every = df.sparkSession.createDataFrame(
-        [(a, b) for a in classes for b in classes], f"label {kinds['label']}, prediction {kinds['prediction']}"
-    )
+    rows = df.sparkSession.createDataFrame([(c,) for c in classes], f"label {kinds['label']}")
+    listed = F.array(*[F.lit(c) for c in classes]).cast(f"array<{kinds['prediction']}>")
+    every = rows.withColumn("prediction", F.explode(listed))
     return every.join(counted, ["label", "prediction"], "left").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )

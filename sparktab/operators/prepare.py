@@ -13,8 +13,11 @@ from sparktab.functions.hashing import digest_prefix, key_digest
 from sparktab.functions.scalar import indicator, measure
 from sparktab.operators.clean import Moments, fit_moments
 from sparktab.operators.support import bounded_rows, spread_join
+from sparktab.session import settled
 
 INLINE_LEVELS = 64
+#: A split keeps one digest per class on the driver and compares it in an expression.
+CLASSES = 10_000
 ROWS_PER_BUCKET = 1 << 16
 
 # ------------------------------------------------------------------ category codes
@@ -51,11 +54,20 @@ def fit_levels(df: DataFrame, column: str) -> Levels:
 
 
 def code_table(df: DataFrame, column: str) -> DataFrame:
-    """value, code for any number of levels: a distributed sort with running positions."""
-    ordered = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    kind = dict(df.dtypes)[column]
-    return df.sparkSession.createDataFrame(numbered, f"`{column}` {kind}, code bigint")
+    """value, code for any number of levels: a distributed sort, numbered on the JVM.
+
+    Each range's levels are numbered in order where they lie and written; a range's first
+    code is the number of levels in the ranges before, of which there is one row each.
+    """
+    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
+    ordered = levels.repartitionByRange(column).sortWithinPartitions(column)
+    marked = settled(ordered.select(column, F.monotonically_increasing_id().alias("_id")), "codes")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = marked.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    starts = starts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = marked.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return numbered.select(column, (F.col("_start") + place).alias("code"))
 
 
 def encode_joined(df: DataFrame, column: str, out: str) -> DataFrame:
@@ -75,19 +87,31 @@ def ordinal(df: DataFrame, column: str, out: str) -> DataFrame:
 
 
 def one_hot(df: DataFrame, column: str, levels: Levels | None = None) -> DataFrame:
-    """Replaces a category by its indicators, appended at the end."""
+    """Replaces a category by its indicators, appended at the end. For many levels see ``one_hot_sparse``."""
     levels = levels or fit_levels(df, column)
     kept = [c for c in df.columns if c != column]
     return df.select(*kept, *[c.alias(n) for n, c in levels.indicators().items()])
 
 
+def one_hot_sparse(df: DataFrame, column: str) -> DataFrame:
+    """Replaces a category of any number of levels by ``<column>_index`` and ``<column>_width``.
+
+    They are the sparse form of its indicators: where the only 1 is (NULL for a gap: all
+    zero) and how many indicators there are.
+    """
+    coded = encode_joined(df, column, f"{column}_index")
+    width = df.agg(F.count_distinct(column).alias("n")).first()["n"]
+    kept = [c for c in df.columns if c != column]
+    return coded.select(*kept, f"{column}_index", F.lit(width).cast("bigint").alias(f"{column}_width"))
+
+
 # ------------------------------------------------------------------ splits and folds
 
 
 def class_counts(df: DataFrame, label: str) -> dict:
-    rows = bounded_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")))
+    rows = bounded_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), CLASSES)
     if rows is None:
-        raise ValueError(f"{label} is not a class label: too many values")
+        raise ValueError(f"{label} is not a class label: over {CLASSES} values")
     return {r[0]: r["n"] for r in sorted(rows, key=lambda r: r[0])}
 
 
@@ -209,7 +233,7 @@ def stratified_folds(
     rank = rows in earlier buckets + position in the own bucket.
     """
     counts = class_counts(df, label)
-    digits = 1
+    digits = 2
     while max(counts.values(), default=0) >> (4 * digits) > rows_per_bucket and digits < 7:
         digits += 1
     rows = df.where(F.col(label).isNotNull()).withColumn("_digest", key_digest(keys, seed))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparktab.functions.scalar import measure
 from sparktab.functions.vectors import doubles
 from sparktab.operators.quantile import quantiles
-from sparktab.operators.support import SMALL_BYTES, cells, plan_bytes, turn
+from sparktab.operators.support import SMALL_BYTES, cells, measured_bytes, turn
 from sparktab.spec import numeric_columns, text_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -58,7 +58,7 @@ def summary(
     order = ["column", "n", "mean", "std", "min", "q25", "q50", "q75", "max"]
     split = [F.col("q")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
 
-    if exact and plan_bytes(df.select(*columns)) > small_bytes:
+    if exact and measured_bytes(df, columns) > small_bytes:
         moments = turn(df.agg(*cells(columns, make)), columns, kinds)
         cuts = quantiles(df, columns, QUARTILES, small_bytes=small_bytes).select("column", *split)
         return moments.join(F.broadcast(cuts), "column", "left").select(*order)

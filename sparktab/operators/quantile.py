@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import measure
 from sparktab.functions.vectors import doubles
-from sparktab.operators.support import SMALL_BYTES, cells, lookup, melt, pinned, plan_bytes, turn
+from sparktab.operators.support import SMALL_BYTES, cells, lookup, melt, pinned, measured_bytes, turn
 
 ACCURACY = 10_000
 MARGINS = (-4e-4, -1e-4, 1e-4, 4e-4)
@@ -39,9 +39,13 @@ def quantiles(
     exact: bool = True,
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """One row per group and column: by..., column, n, q (array aligned with ``probs``)."""
+    """One row per group and column: by..., column, n, q (array aligned with ``probs``).
+
+    NULL is a group of its own; a group without a finite value has no row. Both ways give
+    the same rows: ``small_bytes`` (0: always select) only chooses how they are found.
+    """
     by, columns, probs = list(by), list(columns), [float(p) for p in probs]
-    if exact and plan_bytes(df.select(*by, *columns)) > small_bytes:
+    if exact and measured_bytes(df, [*by, *columns]) > small_bytes:
         return _selected(melt(df, columns, by), probs, by)
     make = {
         "n": lambda c: F.count(measure(c)),
@@ -76,7 +80,9 @@ def _selected(rows: DataFrame, probs: list[float], by: list[str]) -> DataFrame:
     rows = rows.withColumn("path", F.lit(""))
     grid = sorted({min(max(p + m, 0.0), 1.0) for p in probs for m in MARGINS})
     asks, few = None, True
-    for _ in range(MAX_LEVELS):
+    for level in range(MAX_LEVELS + 1):
+        if level == MAX_LEVELS:
+            raise RuntimeError(f"an interval still has over {VALUES_PER_TASK} values after {MAX_LEVELS} cuts")
         found = rows.groupBy(*keys).agg(
             F.count("*").alias("n"), F.percentile_approx("value", list(grid), ACCURACY).alias("cuts")
         )

@@ -86,16 +86,18 @@ def scaled_group_means(df: DataFrame, columns: Sequence[str], by: str) -> DataFr
     )
 
 
-def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
-    """a, b, n, pct of the row of ``a``; pairs that never occur are listed with 0.
+def crosstab(df: DataFrame, a: str, b: str, listed_levels: int = 1_000) -> DataFrame:
+    """a, b, n, pct of the row of ``a``.
 
-    The levels of ``b`` are columns of the tabulation, hence bounded; only the counts per
-    pair are shuffled.
+    Pairs that never occur are listed with 0 as long as ``b`` has at most ``listed_levels``
+    levels; a larger table is long and sparse, with the pairs that occur. Only the counts
+    per pair are shuffled.
     """
     pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("n"))
-    levels = bounded_rows(pairs.select(b).distinct())
+    levels = bounded_rows(pairs.select(b).distinct(), listed_levels)
     if levels is None:
-        raise ValueError(f"{b} has too many levels to tabulate")
+        totals = pairs.groupBy(a).agg(F.sum("n").alias("total"))
+        return pairs.join(totals, a).select(a, b, F.col("n").cast("bigint").alias("n"), (F.col("n") * 100.0 / F.col("total")).alias("pct"))
     kind = dict(df.dtypes)[b]
     listed = F.array(*[F.lit(r[0]) for r in sorted(levels)]).cast(f"array<{kind}>")
     lines = pairs.groupBy(a).agg(

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparktab.functions.scalar import measure
-from sparktab.session import shared_dir
+from sparktab.session import settled, shared_dir
 
 SMALL_ROWS = 10_000
 SMALL_BYTES = 16 << 20
@@ -16,9 +17,9 @@ SALTS = 32
 HOT_PARTS = 1000
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate. Unknown sources report a huge value, i.e. not small."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def measured_bytes(df: DataFrame, columns: Sequence[str]) -> int:
+    """What the given columns take as numbers: rows, which are counted, times eight bytes."""
+    return df.count() * len(columns) * 8
 
 
 def bounded_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
@@ -38,13 +39,22 @@ def pinned(stats: DataFrame, limit: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], small: bool, how: str = "inner", spread: Column | None = None) -> DataFrame:
-    """Join rows with a table of one row per key: broadcast if small, else spread."""
+    """Join rows with a table of one row per key: broadcast if small, else spread. NULL keys match each other."""
     on = list(on)
     if small:
-        return df.join(F.broadcast(table), on=on, how=how)
+        return null_safe_join(df, F.broadcast(table), on, how)
     return spread_join(df, table, on, how, spread)
 
 
+def null_safe_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL equals NULL; the columns of ``df``, then the others of ``table``."""
+    renamed = table.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`_on_{c}`"))
+    return df.join(renamed, same, how).drop(*[f"_on_{c}" for c in on])
+
+
 def attach(
     df: DataFrame, stats: DataFrame, on: Sequence[str], limit: int = SMALL_ROWS, spread: Column | None = None
 ) -> DataFrame:
@@ -57,23 +67,24 @@ def spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "
     """Equi-join in which keys holding much of ``df`` are spread over ``SALTS`` tasks.
 
     At most ``HOT_PARTS`` keys can hold more than that part of the rows; only their rows
-    are salted and only their rows of ``table`` are copied.
+    are salted and only their rows of ``table`` are copied. NULL is a key like any other:
+    it may be hot, and it matches NULL. The keys are counted once; the total is their sum.
     """
     on = list(on)
-    counts = df.groupBy(*on).agg(F.count("*").alias("n"))
-    total = df.count()
-    hot = counts.where(F.col("n") > max(total // HOT_PARTS, 1)).drop("n").dropna().collect()
+    counts = settled(df.groupBy(*on).agg(F.count("*").alias("n")), "key-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where(F.col("n") > max(total // HOT_PARTS, 1)).drop("n").collect()
     if not hot:
-        return df.join(table, on=on, how=how)
+        return null_safe_join(df, table, on, how)
     kinds = df.select(*on).schema
-    marks = F.broadcast(df.sparkSession.createDataFrame(hot, kinds).withColumn("_hot", F.lit(True)))
+    marks = F.broadcast(df.sparkSession.createDataFrame(hot, T.StructType([T.StructField(f.name, f.dataType) for f in kinds])).withColumn("_hot", F.lit(True)))
     if spread is None:
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
     salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    left = df.join(marks, on=on, how="left").withColumn("_salt", salt).drop("_hot")
-    right = table.join(marks, on=on, how="left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    return left.join(right, on=[*on, "_salt"], how=how).drop("_salt")
+    left = null_safe_join(df, marks, on, "left").withColumn("_salt", salt).drop("_hot")
+    right = null_safe_join(table, marks, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return null_safe_join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

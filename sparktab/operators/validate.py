@@ -64,8 +64,10 @@ def with_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """rule, n_rows, n_violations; one pass for all rules."""
+    """rule, n_rows, n_violations; one pass for all rules. No rows without an applicable rule."""
     usable = applicable(df, rules)
+    if not usable:
+        return df.sparkSession.createDataFrame([], "rule string, n_rows bigint, n_violations bigint")
     row = df.agg(F.count("*").alias("n"), *[F.count_if(_broken(r)).alias(f"r{i}") for i, r in enumerate(usable)])
     items = [
         F.struct(F.lit(r.name).alias("rule"), F.col("n").alias("n_rows"), F.col(f"r{i}").alias("n_violations"))

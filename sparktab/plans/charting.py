@@ -24,9 +24,9 @@ def _histogram_sql(edges: str, group: str | None = None) -> str:
     WITH e AS ({edges}),
     c AS (
         SELECT {g}CAST(least(CASE WHEN high > low THEN floor((value - low) / ((high - low) / bins)) ELSE 0 END,
-                        bins - 1) AS INTEGER) AS bin, count(*) AS n
+                        bins - 1) AS BIGINT) AS bin, count(*) AS n
         FROM events JOIN e {on} GROUP BY ALL),
-    b AS (SELECT e.*, CAST(unnest(generate_series(0, bins - 1)) AS INTEGER) AS bin FROM e)
+    b AS (SELECT e.*, CAST(unnest(generate_series(0, CAST(bins - 1 AS BIGINT))) AS BIGINT) AS bin FROM e)
     SELECT {g}'value' AS "column", b.bin, {fx('low + b.bin * ((high - low) / bins)')} AS "left",
            {fx('low + (b.bin + 1) * ((high - low) / bins)')} AS "right",
            CAST(coalesce(c.n, 0) AS BIGINT) AS n
@@ -42,10 +42,10 @@ def _shown(df):
     "hist_auto",
     _histogram_sql(
         """
-        SELECT low, high, CAST(CASE WHEN high > low THEN least(1000, ceil((high - low) / CASE
+        SELECT low, high, CAST(CASE WHEN high > low THEN ceil((high - low) / CASE
                    WHEN 2.0 * iqr * pow(n, CAST(-1 AS DOUBLE) / 3) > 0
                    THEN least((high - low) / (log2(n) + 1), CAST(2 AS DOUBLE) * iqr * pow(n, CAST(-1 AS DOUBLE) / 3))
-                   ELSE (high - low) / (log2(n) + 1) END)) ELSE 1 END AS INTEGER) AS bins
+                   ELSE (high - low) / (log2(n) + 1) END) ELSE 1 END AS BIGINT) AS bins
         FROM (SELECT count(value) AS n, min(value) AS low, max(value) AS high,
                      quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr FROM events)
         """

@@ -189,9 +189,9 @@ def confidence_summary(spark, sf_dir):
     WITH {LINE_SCORED},
     w AS (SELECT prediction, floor(confidence * 1e9 + 0.5) / 1e9 AS confidence FROM s),
     e AS (SELECT prediction, min(confidence) AS low, max(confidence) AS high, 20 AS bins FROM w GROUP BY prediction),
-    c AS (SELECT prediction, CAST(least(floor((confidence - low) / ((high - low) / bins)), bins - 1) AS INTEGER) AS bin,
+    c AS (SELECT prediction, CAST(least(floor((confidence - low) / ((high - low) / bins)), bins - 1) AS BIGINT) AS bin,
                  count(*) AS n FROM w JOIN e USING (prediction) GROUP BY ALL),
-    b AS (SELECT e.*, CAST(unnest(generate_series(0, bins - 1)) AS INTEGER) AS bin FROM e)
+    b AS (SELECT e.*, CAST(unnest(generate_series(0, bins - 1)) AS BIGINT) AS bin FROM e)
     SELECT prediction, 'confidence' AS "column", bin, {fx('low + bin * ((high - low) / bins)')} AS "left",
            {fx('low + (bin + 1) * ((high - low) / bins)')} AS "right", CAST(coalesce(n, 0) AS BIGINT) AS n
     FROM b LEFT JOIN c USING (prediction, bin)

@@ -17,7 +17,6 @@ documents and their numbers of ids. Lost tasks are run again by Spark's own writ
 from __future__ import annotations
 
 import functools
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -39,14 +38,15 @@ BLOCK = 65_536
 HEAD, ENTRY = struct.Struct("<III"), struct.Struct("<QI4I")
 SEGMENT = "part int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 #: Words whose ids a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_200_000
 #: Pieces that are encoded as one text.
 TOGETHER = 256
 #: Texts that are encoded together.
-SLICE = 2_048
+SLICE = 8_192
+TEXT_BYTES = 16 << 20
 #: Letters with or without ASCII marks behind them. No apostrophe, which tokenizers may treat
-#: apart, no special token and no letter that has a mark of its own in lower case.
-PIECES = re.compile(r"([^\W\d_\u0130]+)((?:[!-&(-/:;=?@\[-`{}~]|[|<>](?!\|))*)").fullmatch
+#: apart, and nothing that special tokens have.
+PIECES = r"^(?P<letters>\p{L}+)(?P<marks>[!-&(-/:;=?@\[-`{}~|]*)$"
 
 
 def pack(ids: np.ndarray, level: int = 1) -> bytes:
@@ -79,6 +79,21 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return np.concatenate(out) if out else np.empty(0, dtype="<u4")
 
 
+class WordTable:
+    """The ids of words one after the other, and how many each has."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids, self.sizes, self.starts = ids, sizes, np.cumsum(sizes) - sizes
+
+    def gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at ``index`` one after the other, and where each one's end."""
+        count = self.sizes[index]
+        ends = np.cumsum(count)
+        where = np.repeat(self.starts[index] - ends + count, count)
+        where += np.arange(len(where))
+        return self.ids[where], ends
+
+
 class WordEncoder:
     """Encodes texts word by word, with the ids of words seen before.
 
@@ -98,64 +113,79 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.batch = 0
+        self._hold(pa.array([""], type=pa.string()), np.empty(0, dtype="<u4"), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))
+
+    def _hold(self, words: pa.Array, ids: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> None:
+        """The words known, their ids, and the batch in which each was last met."""
+        self.words, self.table, self.last = words, WordTable(ids, sizes), last
 
-    def learn(self, words: list[str]) -> None:
+    def _forget(self) -> None:
+        """Keeps the words of the latest batches, at most half of what may be remembered."""
+        order = np.sort(self.last)
+        kept = np.union1d([0], np.flatnonzero(self.last > order[-(REMEMBERED // 2)]))
+        ids, _ = self.table.gather(kept)
+        self._hold(self.words.take(pa.array(kept)), ids, self.table.sizes[kept], self.last[kept])
+
+    def _learn(self, words: pa.Array) -> None:
         """Remembers the ids of new words.
 
         Letters are one piece and the marks behind them another, so a word's ids are those of
-        both. Letters and marks not seen yet are encoded many at a time; a piece's last
-        id is one that ends a word, which tells the pieces apart. If they don't add up, they
-        are encoded alone, as are all other words.
+        both; all other words are pieces whole. Only distinct pieces are encoded.
         """
-        cut, alone, pieces = {}, [], {}
-        for w in words:
-            if match := PIECES(w):
-                cut[w] = two = match.groups()
-                pieces.update((x, None) for x in two if x not in self.known)
-            else:
-                alone.append(w)
-        fresh = list(pieces)
-        for k in range(0, len(fresh), TOGETHER * 64):
-            groups = [fresh[i : i + TOGETHER] for i in range(k, min(k + TOGETHER * 64, len(fresh)), TOGETHER)]
-            for group, found in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
-                ids = np.array(found.ids, dtype="<u4")
-                until = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-                if len(until) != len(group) or until[-1] != 4 * len(ids):
-                    self._each(group)
-                    continue
-                data = ids.tobytes()
-                self.known.update((w, data[a:b]) for w, a, b in zip(group, [0, *until], until))
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items() if b)
-        self._each(alone)
-
-    def _each(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        cut = pc.extract_regex(words, PIECES)
+        core, marks = pc.struct_field(cut, 0), pc.struct_field(cut, 1)
+        odd = pc.or_kleene(pc.is_null(core), pc.match_substring(words, "\u0130"))
+        letters = pc.if_else(odd, "", core).dictionary_encode()
+        behind = pc.if_else(odd, words, marks).dictionary_encode()
+        ids, sizes = self._encoded(letters.dictionary.to_pylist())
+        more, more_sizes = self._alone(behind.dictionary.to_pylist())
+        parts = np.stack([letters.indices.to_numpy(), behind.indices.to_numpy() + len(sizes)], axis=1).ravel()
+        pieces = WordTable(np.concatenate([ids, more]), np.concatenate([sizes, more_sizes]))
+        made, ends = pieces.gather(parts)
+        size = np.diff(np.r_[0, ends[1::2]])
+        last = np.concatenate([self.last, np.full(len(size), self.batch)])
+        self._hold(pa.concat_arrays([self.words, words]), np.concatenate([self.table.ids, made]), np.concatenate([self.table.sizes, size]), last)
+
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs of letters, many encoded as one text: a piece's last id is one that
+        ends a word, which tells them apart. Where they don't add up, each is encoded alone."""
+        parts, sizes = [np.empty(0, dtype="<u4")], [np.empty(0, dtype=np.int64)]
+        for k in range(0, len(pieces), TOGETHER * 64):
+            groups = [pieces[i : i + TOGETHER] for i in range(k, min(k + TOGETHER * 64, len(pieces)), TOGETHER)]
+            for group, tokens in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+                ids = np.array(tokens.ids, dtype="<u4")
+                size = np.diff(np.r_[-1, np.flatnonzero(self.ends[ids])])
+                if len(size) != len(group) or size.sum() != len(ids):
+                    ids, size = self._alone(group)
+                parts.append(ids)
+                sizes.append(size)
+        return np.concatenate(parts), np.concatenate(sizes)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for x in found for i in x], dtype="<u4"), np.array([len(x) for x in found], dtype=np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's ids end.
 
-        A batch's words are made distinct by Arrow; only those are looked up one by one.
+        Arrow finds the words among those known; only new words are handled one by one.
         """
+        self.batch += 1
+        if len(self.words) > REMEMBERED:
+            self._forget()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:  # words not met again in the next so many are forgotten
-            self.known, self.older = {"": b""}, self.known
-        new = [w for w in words if w not in self.known]
-        self.known.update((w, self.older[w]) for w in new if w in self.older)
-        self.learn([w for w in new if w not in self.older])
-        found = [self.known[w] for w in words]
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        table, index = np.frombuffer(b"".join(found), dtype="<u4"), coded.indices.to_numpy()
-        count = size[index]
-        ends = np.cumsum(count)
-        where = np.repeat((np.cumsum(size) - size)[index] - ends + count, count)
-        where += np.arange(len(where))
-        tokens = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        return table[where], np.r_[0, ends][tokens]
+        tokens = lists.flatten()
+        index = pc.fill_null(pc.index_in(tokens, value_set=self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(index < 0)
+        if len(new):
+            coded, base = tokens.take(pa.array(new)).dictionary_encode(), len(self.words)
+            self._learn(coded.dictionary)
+            index[new] = base + coded.indices.to_numpy()
+        self.last[index] = self.batch
+        ids, ends = self.table.gather(index)
+        count = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return ids, np.r_[0, ends][count]
 
 
 @functools.lru_cache(maxsize=1)
@@ -163,6 +193,19 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Batches put together up to about ``size`` bytes."""
+    held, bytes_held = [], 0
+    for batch in batches:
+        held.append(batch)
+        bytes_held += batch.nbytes
+        if bytes_held >= size:
+            yield pa.Table.from_batches(held)
+            held, bytes_held = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _segments(path: str, end_id: int, segment_ids: int):
     kinds, end = arrow(SEGMENT), np.array([end_id], dtype="<u4")
 
@@ -177,11 +220,11 @@ def _segments(path: str, end_id: int, segment_ids: int):
             cells = [part, number, held, names, lengths, pack(np.concatenate(made))]
             return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(cells, kinds)], schema=kinds)
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                some = batch.slice(at, SLICE)
-                ids, ends = encode(pc.fill_null(some.column("text"), ""))
-                for name, a, b in zip(some.column("doc_id").to_pylist(), [0, *ends.tolist()], ends.tolist()):
+        for some in _gathered(batches, TEXT_BYTES):
+            for at in range(0, some.num_rows, SLICE):
+                rows = some.slice(at, SLICE)
+                ids, ends = encode(pc.fill_null(rows.column("text").combine_chunks(), ""))
+                for name, a, b in zip(rows.column("doc_id").to_pylist(), [0, *ends.tolist()], ends.tolist()):
                     names.append(name)
                     lengths.append(b - a + 1)
                     made += [ids[a:b], end]

@@ -30,10 +30,13 @@ def split(ids, ends):
     return [ids[a:b].tolist() for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
-def test_words_encode_as_their_text():
+def test_words_encode_as_their_text(monkeypatch):
     texts = ["", " ", "a\x1cb c\x85d", "É é ́x\n\nit's ### 12345", "<|startoftext|> a<|endoftext|>b < <|", "ΑΣ Σ\tq İ ǅ ﬁ", "日本語 😀😀", "a" * 3000, "İstanbul plain İ. x", "e\u0301. o\u0308 x², ½ Ⅷ. \u1100\u1161. a|b| c<| d|> e<>| word*** w### <\u0338 x_. y`", "don't. (it) x.y a.. ..a ª² ǅ, été!"]
     encoder = t.WordEncoder(PATH)
-    for _ in range(2):  # new words, then words seen before
+    for _ in range(3):  # new words, words seen before, words forgotten in between
+        if _ == 2:
+            monkeypatch.setattr(t, "REMEMBERED", 6)
+            assert encoder.encode(pa.array(["plain words w*** plain"]))[0].tolist() == whole("plain words w*** plain")
         assert split(*encoder.encode(pa.array(texts))) == [whole(x) for x in texts]
 
 

@@ -22,7 +22,10 @@ from sparktab.functions.vectors import doubles, named_map
 class LinearModel:
     """Weights per class over features. ``centre`` and ``spread`` are what the features
     were standardised with before the weights apply; ``means`` are the training means of
-    the features as the weights see them.
+    the features as the weights see them. ``missing`` says what a missing feature does:
+    ``null`` leaves the row without a prediction, ``mean`` counts it as 0 after scaling,
+    which is the training mean, as trained pipelines do. ``formulas`` are features that are
+    computed, such as the indicators of a category.
     """
 
     features: tuple[str, ...]
@@ -32,17 +35,25 @@ class LinearModel:
     means: tuple[float, ...]
     centre: tuple[float, ...] | None = None
     spread: tuple[float, ...] | None = None
+    formulas: tuple[tuple[str, str], ...] = ()
+    missing: str = "null"
+
+    def raw(self, j: int) -> Column:
+        """A feature's own value: a column, or what its formula (SQL text) makes of columns."""
+        name = self.features[j]
+        formula = dict(self.formulas).get(name)
+        return measure(name if formula is None else F.expr(formula))
 
     def inputs(self) -> list[Column]:
         """The features as the weights see them."""
         out = []
-        for j, name in enumerate(self.features):
-            value = measure(name)
+        for j in range(len(self.features)):
+            value = self.raw(j)
             if self.centre is not None:
                 value = value - F.lit(self.centre[j])
             if self.spread is not None and self.spread[j]:
                 value = value / F.lit(self.spread[j])
-            out.append(value)
+            out.append(F.coalesce(value, F.lit(0.0)) if self.missing == "mean" else value)
         return out
 
     def base(self, c: int) -> float:
@@ -106,7 +117,7 @@ def attributions(df: DataFrame, model: LinearModel, keys: Sequence[str]) -> Data
         for i, c in enumerate(model.classes)
         for j, f in enumerate(model.features)
     ]
-    raw = F.array(*[measure(f) for f in model.features])
+    raw = F.array(*[model.raw(j) for j in range(len(model.features))])
     return with_inputs(df, model).withColumn("_raw", raw).select(*keys, F.inline(F.array(*items)))
 
 
@@ -151,13 +162,13 @@ def attribution_summary(df: DataFrame, model: LinearModel, bins: int = 20) -> Da
     Rows are binned per feature; the classes' attributions follow from each bin's lowest,
     mean and highest input, so classes multiply the bins and not the rows.
     """
-    span = df.agg(*[f(measure(c)).alias(f"{n}__{c}") for c in model.features for n, f in (("lo", F.min), ("hi", F.max))])
+    span = df.agg(*[f(model.raw(j)).alias(f"{n}__{j}") for j in range(len(model.features)) for n, f in (("lo", F.min), ("hi", F.max))])
     edges = span.first()
     items = [
         F.struct(
             F.lit(j).alias("j"),
             F.lit(f).alias("feature"),
-            _even_bin(measure(f), edges[f"lo__{f}"], edges[f"hi__{f}"], bins).alias("bin"),
+            _even_bin(model.raw(j), edges[f"lo__{j}"], edges[f"hi__{j}"], bins).alias("bin"),
             (F.col(f"_x{j}") - F.lit(float(model.means[j]))).alias("away"),
         )
         for j, f in enumerate(model.features)

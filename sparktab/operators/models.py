@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -39,6 +40,7 @@ class Shape:
     rows: int
     inputs: int
     classes: int
+    levels: Mapping[str, tuple] = field(default_factory=dict)
 
 
 def _logistic(shape: Shape, p: Mapping) -> list:
@@ -58,7 +60,7 @@ def _forest(shape: Shape, p: Mapping) -> list:
     return [
         RandomForestClassifier(
             numTrees=p.get("trees", 100),
-            maxDepth=p.get("max_depth") or 15,
+            maxDepth=p.get("max_depth") or 30,
             minInstancesPerNode=p.get("min_leaf", 1),
             featureSubsetStrategy=p.get("max_features", "sqrt"),
             seed=p.get("seed", SEED),
@@ -95,7 +97,8 @@ def _bayes(shape: Shape, p: Mapping) -> list:
 
 
 def _boosted(defaults: Mapping) -> Callable[[Shape, Mapping], list]:
-    """Boosted trees are binary in Spark, so there is one ensemble per class."""
+    """Boosted trees, level-wise. They are binary in Spark: two classes take one ensemble,
+    more take one per class."""
 
     def build(shape: Shape, given: Mapping) -> list:
         p = {**defaults, **given}
@@ -109,7 +112,7 @@ def _boosted(defaults: Mapping) -> Callable[[Shape, Mapping], list]:
             minInfoGain=p.get("min_gain", 0.0),
             seed=p.get("seed", SEED),
         )
-        return [OneVsRest(classifier=gbt)]
+        return [gbt if shape.classes == 2 else OneVsRest(classifier=gbt)]
 
     return build
 
@@ -144,7 +147,8 @@ def stages_for(
     """Preparation, classifier and a common output, as one list of pipeline stages."""
     head: list = [ScaleColumns(inputCols=list(numeric))]
     if categories:
-        head.append(CategoryColumns(inputCols=list(categories)))
+        levels = json.dumps({c: list(v) for c, v in shape.levels.items()})
+        head.append(CategoryColumns(inputCols=list(categories), levels=levels))
     head.append(GatherFeatures(numeric=list(numeric), categories=list(categories)))
     source = (
         ClassScores(source="rawPrediction", calibrated=False, steepness=_RAW_SCORES[name])
@@ -175,26 +179,52 @@ class TrainedModel:
             (F.array_max("scores") * 100.0).alias("confidence"),
         )
 
-    def linear(self) -> LinearModel:
+    def linear(self, train_rows: DataFrame | None = None) -> LinearModel:
         """The logistic model as weights over raw columns, for attribution and scoring.
 
-        Only for all-numeric features: category columns have no raw counterpart.
+        Encoded categories become formulas over their columns; ``train_rows`` gives their
+        means, which attributions are measured from. A missing feature counts as its
+        mean, as in the pipeline.
         """
-        if self.categories or self.name != "logistic":
-            raise ValueError("needs a logistic model of numeric features")
+        if self.name != "logistic":
+            raise ValueError("needs a logistic model")
+        if self.categories and train_rows is None:
+            raise ValueError("needs the training rows for the means of encoded categories")
         scaler = self.pipeline.stages[0].standardiser()
         fitted = self.pipeline.stages[-2]
         matrix = fitted.coefficientMatrix.toArray()
+        formulas = self._formulas()
+        means = [0.0] * len(self.numeric)
+        if formulas:
+            row = train_rows.agg(*[F.avg(F.expr(f)).alias(f"m{i}") for i, (_, f) in enumerate(formulas)]).first()
+            means += [float(row[f"m{i}"] or 0.0) for i in range(len(formulas))]
+        plain = len(formulas)
         return LinearModel(
-            features=self.numeric,
+            features=(*self.numeric, *(n for n, _ in formulas)),
             classes=self.classes,
             weights=tuple(tuple(float(v) for v in row) for row in matrix),
             intercepts=tuple(float(v) for v in fitted.interceptVector),
-            means=tuple(0.0 for _ in self.numeric),
-            centre=tuple(scaler.fitted[c].mean for c in self.numeric),
-            spread=tuple(scaler.fitted[c].deviation or 0.0 for c in self.numeric),
+            means=tuple(means),
+            centre=(*(scaler.fitted[c].mean for c in self.numeric), *[0.0] * plain),
+            spread=(*(scaler.fitted[c].deviation or 0.0 for c in self.numeric), *[0.0] * plain),
+            formulas=formulas,
+            missing="mean",
         )
 
+    def _formulas(self) -> tuple[tuple[str, str], ...]:
+        """The encoded category columns in the order of the feature vector, as SQL text."""
+        if not self.categories:
+            return ()
+        levels = self.pipeline.stages[1].value()
+        text = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        out = []
+        for c in self.categories:
+            if len(levels[c]) <= 2:
+                out.append((f"{c}_code", f"CASE WHEN `{c}` = {text(levels[c][-1])} THEN {float(len(levels[c]) - 1)}D ELSE 0.0D END"))
+            else:
+                out += [(f"{c}_{v}", f"CASE WHEN `{c}` = {text(v)} THEN 1.0D ELSE 0.0D END") for v in sorted(levels[c], key=lambda v: f"_cat:{c}:{v}")]
+        return tuple(out)
+
 
 def training_frame(df: DataFrame, keys: Sequence[str], target: str, partitions: int | None = None) -> tuple[DataFrame, tuple]:
     """Rows with a numeric ``label`` in a repeatable layout, cached for iterative fits.
@@ -217,11 +247,9 @@ def training_frame(df: DataFrame, keys: Sequence[str], target: str, partitions:
 
 
 def shape_of(train: DataFrame, numeric: Sequence[str], categories: Sequence[str], classes: Sequence) -> Shape:
-    wide = 0
-    for c in categories:
-        levels = len(fit_levels(train, c).values)
-        wide += 1 if levels <= 2 else levels
-    return Shape(rows=sum(class_counts(train, "label").values()), inputs=len(numeric) + wide, classes=len(classes))
+    levels = {c: fit_levels(train, c).values for c in categories}
+    wide = sum(1 if len(v) <= 2 else len(v) for v in levels.values())
+    return Shape(sum(class_counts(train, "label").values()), len(numeric) + wide, len(classes), levels)
 
 
 def train(

@@ -51,15 +51,23 @@ class ScaleColumnsModel(Model, HasInputCols, _HasFitted, DefaultParamsReadable,
 
 
 class CategoryColumns(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Turns categories into numbers: two levels into a code, more into indicators."""
+    """Turns categories into numbers: two levels into a code, more into indicators.
+
+    ``levels`` (JSON text) names the levels of all training rows, so that every fold has the
+    same columns even if it lacks a level; without it they are those of the fitted rows.
+    """
+
+    levels = Param(Params._dummy(), "levels", "levels per column as JSON text", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCols=None):
+    def __init__(self, *, inputCols=None, levels="{}"):
         super().__init__()
+        self._setDefault(levels="{}")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> CategoryColumnsModel:
-        levels = {c: list(fit_levels(dataset, c).values) for c in self.getInputCols()}
+        known = json.loads(self.getOrDefault(self.levels))
+        levels = {c: known.get(c) or list(fit_levels(dataset, c).values) for c in self.getInputCols()}
         return CategoryColumnsModel()._set(inputCols=self.getInputCols(), fitted=json.dumps(levels))
 
 

@@ -1,18 +1,21 @@
 """Catalogue: trained classifiers and searches.
 
-Documents are described by counts over their whole text; the label is their language or
-their quality. Training is seeded but not closed-form, so these have no SQL counterpart.
+Documents are described by counts over their whole text; the label is their quality. Models
+are trained with the registry's own settings, saved and loaded. Predictions have no SQL
+form, so each query gives what must hold of them: the test rows of each class, how many of
+these have valid probabilities, and how many the loaded model predicts as the fitted one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparktab.operators import evaluate, models, prepare, tuning
+from sparktab.operators import attribution, evaluate, models, prepare, tuning
 from sparktab.plans.explaining import text_measures
 from sparktab.plans.registry import query, table
-from sparktab.session import fresh_path
+from sparktab.session import fresh_path, settled
 from sparktab.sources import artifacts
+from sparktab.streaming import flows
 
 NUMERIC = ("n_chars", "n_spaces", "n_lines", "n_stops", "n_commas", "n_digits")
 CATEGORIES = ("lang",)
@@ -32,129 +35,286 @@ def _prepared(spark, sf_dir, target="quality"):
     return rows, classes, marked.where(~F.col("is_test")), marked.where("is_test")
 
 
+LABELLED = """
+    l AS (SELECT doc_id, CAST(quality AS VARCHAR) AS label FROM documents JOIN labels USING (doc_id)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('54|' || CAST(doc_id AS VARCHAR))) AS rn FROM l),
+    c AS (SELECT label, count(*) AS n, CAST(ceil(CAST(0.3 AS DOUBLE) * sum(count(*)) OVER ()) AS BIGINT) AS wanted,
+                 CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM l GROUP BY label),
+    f AS (SELECT label, n * wanted // total AS base, wanted,
+                 row_number() OVER (ORDER BY n * wanted % total DESC, label) AS place FROM c),
+    q AS (SELECT label, base + CASE WHEN place <= wanted - sum(base) OVER () THEN 1 ELSE 0 END AS quota FROM f),
+    s AS (SELECT r.*, rn <= quota AS is_test FROM r JOIN q USING (label))
+"""
+TRAINED = f"""
+    WITH {LABELLED}
+    SELECT label, CAST(count(*) AS BIGINT) AS n_test, CAST(count(*) AS BIGINT) AS n_valid,
+           CAST(count(*) AS BIGINT) AS n_same_when_loaded
+    FROM s WHERE is_test GROUP BY label
+"""
+
+
+def _checks(test, loaded, fitted, classes):
+    """Per class: test rows, rows whose probabilities are valid and name the prediction, rows predicted alike."""
+    again = fitted.predict(test).select("doc_id", F.col("prediction").alias("fitted"))
+    rows = models.with_label_name(loaded.predict(test), classes).join(again, "doc_id")
+    total = F.aggregate("probability", F.lit(0.0), lambda acc, p: acc + p)
+    named = F.get(F.array(*[F.lit(c) for c in classes]), (F.array_position("probability", F.array_max("probability")) - 1).cast("int"))
+    valid = (F.abs(total - 1.0) < 1e-9) & F.forall("probability", lambda p: (p >= 0) & (p <= 1)) & (F.abs(F.col("confidence") - 100 * F.array_max("probability")) < 1e-9)
+    return rows.groupBy("label").agg(
+        F.count("*").alias("n_test"),
+        F.count_if(valid & named.isNotNull()).alias("n_valid"),
+        F.count_if(F.col("prediction") == F.col("fitted")).alias("n_same_when_loaded"),
+    )
+
+
 def _trained(spark, sf_dir, name, params=None, categories=CATEGORIES):
-    """Fit on train rows, save, load again, predict the test rows."""
+    """Fit on train rows, save, load again, check the predictions of the test rows."""
     cached, classes, train, test = _prepared(spark, sf_dir)
     shape = models.shape_of(train, NUMERIC, categories, classes)
     fitted = models.train(name, train, classes, NUMERIC, categories, params, shape)
     loaded = artifacts.load_model(spark, artifacts.save_model(spark, fitted, fresh_path(spark, f"model-{name}")))
-    out = models.with_label_name(loaded.predict(test), classes).select(
-        "doc_id", "label", "prediction", "probability", "confidence"
-    )
+    out = settled(_checks(test, loaded, fitted, classes))
     cached.unpersist()
     return out
 
 
-@query("train_lr")
+@query("train_lr", TRAINED)
 def train_lr(spark, sf_dir):
-    return _trained(spark, sf_dir, "logistic", {"C": 100.0, "max_iter": 100})
+    """C = 100 and up to 1,000 iterations, as the final model."""
+    return _trained(spark, sf_dir, "logistic", {"C": 100.0})
+
+
+@query(
+    "train_lr_shares",
+    f"""
+    WITH {LABELLED}
+    SELECT label, CAST(count(*) AS BIGINT) AS n_train, true AS mean_probability_is_share FROM s WHERE NOT is_test GROUP BY label
+    """,
+)
+def train_lr_shares(spark, sf_dir):
+    """A free intercept makes the mean predicted probability of a class its share of the train rows."""
+    cached, classes, train, _ = _prepared(spark, sf_dir)
+    fitted = models.train("logistic", train, classes, NUMERIC, CATEGORIES, {"C": 100.0})
+    n = train.count()
+    rows = fitted.predict(train.withColumn("doc_label", F.col("label")))
+    means = rows.agg(*[F.avg(F.get("probability", F.lit(i))).alias(f"m{i}") for i in range(len(classes))]).first()
+    counts = models.with_label_name(train, classes).groupBy("label").agg(F.count("*").alias("n_train"))
+    mean = F.coalesce(*[F.when(F.col("label") == c, F.lit(means[f"m{i}"])) for i, c in enumerate(classes)])
+    out = settled(counts.select("label", "n_train", (F.abs(mean - F.col("n_train") / n) < 1e-3).alias("mean_probability_is_share")))
+    cached.unpersist()
+    return out
 
 
-@query("train_rf")
+@query("train_rf", TRAINED)
 def train_rf(spark, sf_dir):
-    return _trained(spark, sf_dir, "forest", {"trees": 20, "max_depth": 8})
+    """100 trees, as deep as Spark allows (30)."""
+    return _trained(spark, sf_dir, "forest")
 
 
-@query("train_svm_rff")
+@query("train_svm_rff", TRAINED)
 def train_svm_rff(spark, sf_dir):
-    return _trained(spark, sf_dir, "kernel_svm", {"components": 50, "max_iter": 20})
+    """100 random Fourier features, 100 iterations."""
+    return _trained(spark, sf_dir, "kernel_svm")
 
 
-@query("train_nb")
+@query("train_nb", TRAINED)
 def train_nb(spark, sf_dir):
     return _trained(spark, sf_dir, "bayes")
 
 
-@query("train_dt")
+@query("train_dt", TRAINED)
 def train_dt(spark, sf_dir):
-    return _trained(spark, sf_dir, "tree", {"max_depth": 10})
+    """Depth up to 30."""
+    return _trained(spark, sf_dir, "tree")
 
 
-@query("train_gbt")
+@query("train_gbt", TRAINED)
 def train_gbt(spark, sf_dir):
-    return _trained(spark, sf_dir, "boosted_level", {"rounds": 5, "max_depth": 4})
-
-
-@query("train_gbt_leaf")
-def train_gbt_leaf(spark, sf_dir):
-    return _trained(spark, sf_dir, "boosted_leaf", {"rounds": 5, "max_depth": 3})
-
-
-@query("train_gbt_symmetric")
-def train_gbt_symmetric(spark, sf_dir):
-    return _trained(spark, sf_dir, "boosted_symmetric", {"rounds": 5, "max_depth": 2, "rate": 0.1})
+    """100 rounds of depth 6 at rate 0.3."""
+    return _trained(spark, sf_dir, "boosted_level")
 
 
-@query("train_mlp")
+@query("train_mlp", TRAINED)
 def train_mlp(spark, sf_dir):
-    return _trained(spark, sf_dir, "perceptron", {"hidden": (16,), "max_iter": 100})
+    """100 hidden units, up to 500 iterations."""
+    return _trained(spark, sf_dir, "perceptron")
 
 
-@query("explain_trained")
-def explain_trained(spark, sf_dir):
-    """A trained logistic model, scored and explained by its own weights."""
-    from sparktab.operators.attribution import score
-
+def _linear(spark, sf_dir):
+    """The final logistic model over numbers and encoded categories, as weights, saved and loaded; its test rows."""
     cached, classes, train, test = _prepared(spark, sf_dir)
-    shape = models.shape_of(train, NUMERIC, (), classes)
-    fitted = models.train("logistic", train, classes, NUMERIC, (), {"C": 100.0, "max_iter": 100}, shape)
+    fitted = models.train("logistic", train, classes, NUMERIC, CATEGORIES, {"C": 100.0})
+    path = artifacts.save_linear(spark, fitted.linear(train), fresh_path(spark, "linear"))
+    kept = settled(test)
+    same = settled(fitted.predict(kept).select("doc_id", F.col("probability").alias("trained")))
     cached.unpersist()
-    return score(test, fitted.linear(), ["doc_id"], k=3)
+    return artifacts.load_linear(spark, path), kept, same
+
+
+def _result_checks(rows, model):
+    """Does a scoring result hold together: probabilities, confidence, factors."""
+    r = F.col("result")
+    total = F.aggregate(F.map_values(r.probabilities), F.lit(0.0), lambda acc, p: acc + p)
+    return {
+        "n_probabilities": F.size(r.probabilities),
+        "sums_to_one": F.abs(total - 1.0) < 1e-9,
+        "confidence_is_top": F.abs(r.confidence - 100.0 * F.array_max(F.map_values(r.probabilities))) < 1e-9,
+        "n_factors": F.size(r.top_factors),
+    }
+
+
+@query(
+    "explain_trained",
+    f"""
+    WITH {LABELLED}
+    SELECT doc_id, 2 AS n_probabilities, true AS sums_to_one, true AS confidence_is_top, 3 AS n_factors,
+           true AS as_the_pipeline, true AS adds_up
+    FROM s WHERE is_test
+    """,
+)
+def explain_trained(spark, sf_dir):
+    """A trained, saved and loaded logistic model with encoded categories: it scores as its
+    pipeline does, and base value and attributions add up to the margins."""
+    model, test, same = _linear(spark, sf_dir)
+    scored = attribution.score(test, model, ["doc_id"], k=3)
+    phi = attribution.attributions(test, model, ["doc_id"]).groupBy("doc_id", "class").agg(F.sum("phi").alias("phi"))
+    base = F.coalesce(*[F.when(F.col("class") == c, F.lit(model.base(i))) for i, c in enumerate(model.classes)])
+    weight = F.exp(base + F.col("phi"))
+    shares = phi.select("doc_id", "class", weight.alias("w")).groupBy("doc_id").agg(
+        F.sum("w").alias("all"), F.map_from_entries(F.collect_list(F.struct("class", "w"))).alias("by_class")
+    )
+    rows = scored.join(same, "doc_id").join(shares, "doc_id")
+    r = F.col("result")
+    near = lambda i, c: F.abs(r.probabilities[c] - F.get("trained", F.lit(i))) < 1e-6
+    adds = lambda c: F.abs(r.probabilities[c] - F.col("by_class")[c] / F.col("all")) < 1e-6
+    return rows.select(
+        "doc_id",
+        *[v.alias(k) for k, v in _result_checks(rows, model).items()],
+        F.array_min(F.array(*[near(i, c) for i, c in enumerate(model.classes)])).alias("as_the_pipeline"),
+        F.array_min(F.array(*[adds(c) for c in model.classes])).alias("adds_up"),
+    )
 
 
-def _searched(spark, sf_dir, run):
-    cached, classes, train, _ = _prepared(spark, sf_dir)
-    folded = prepare.stratified_folds(train, ["doc_id"], "label", 3).persist()
-    out = run(folded, classes)
+@query(
+    "stream_score_saved",
+    """
+    SELECT doc_id, 2 AS n_probabilities, true AS sums_to_one, true AS confidence_is_top, 3 AS n_factors, true AS as_in_batch
+    FROM documents
+    """,
+)
+def stream_score_saved(spark, sf_dir):
+    """A stream of all documents scored by the saved model, against the batch scores."""
+    model, _, _ = _linear(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    stream = text_measures(flows.read_stream(spark, sf_dir, docs.schema, "documents.parquet"))
+    out = fresh_path(spark, "scored")
+    flows.write_tables(flows.score_stream(stream, model, ["doc_id"]), out, fresh_path(spark, "progress")).awaitTermination()
+    batch = attribution.score(text_measures(docs), model, ["doc_id"]).select("doc_id", F.col("result").alias("batch"))
+    rows = spark.read.parquet(out).join(batch, "doc_id")
+    same = (F.col("result.prediction") == F.col("batch.prediction")) & (F.abs(F.col("result.confidence") - F.col("batch.confidence")) < 1e-9)
+    return rows.select("doc_id", *[v.alias(k) for k, v in _result_checks(rows, model).items()], same.alias("as_in_batch"))
+
+
+def _searched(spark, sf_dir, run, folds=5):
+    cached, classes, train, test = _prepared(spark, sf_dir)
+    folded = prepare.stratified_folds(train, ["doc_id"], "label", folds).persist()
+    out = settled(run(folded, classes, test))
     folded.unpersist()
     cached.unpersist()
     return out
 
 
-@query("tune_grid")
-def tune_grid(spark, sf_dir):
-    """Every combination, three folds."""
+def _search_line(found, test, classes, spark):
+    """What must hold of a search: candidates, scores that are shares, one best candidate
+    that no other beats, and the test accuracy of the refitted best."""
+    judged = evaluate.accuracy(models.with_label_name(found.model.predict(test), classes)).first()
+    lines = found.table(spark)
+    return lines.groupBy("model").agg(
+        F.count("*").alias("n_candidates"),
+        F.count_if(F.col("cv_mean").between(0, 1) & (F.col("cv_std") >= 0) & (F.col("search_seconds") > 0)).alias("n_scored"),
+        F.count_if("is_best").alias("n_best"),
+        (F.max("cv_mean") == F.max(F.when(F.col("is_best"), F.col("cv_mean")))).alias("best_is_highest"),
+        F.lit(judged["n"]).cast("bigint").alias("n_test"),
+        F.lit(0 <= judged["accuracy"] <= 1).alias("accuracy_is_share"),
+    )
 
-    def run(rows, classes):
-        grid = tuning.grid_of({"C": [0.1, 100.0], "max_iter": [50]})
-        return tuning.search("logistic", grid, rows, classes, NUMERIC, CATEGORIES, folds=3).table(spark)
 
-    return _searched(spark, sf_dir, run)
+def _search_sql(model: str, n: int) -> str:
+    return f"""
+    WITH {LABELLED}
+    SELECT '{model}' AS model, CAST({n} AS BIGINT) AS n_candidates, CAST({n} AS BIGINT) AS n_scored, CAST(1 AS BIGINT) AS n_best,
+           true AS best_is_highest, CAST(count(*) AS BIGINT) AS n_test, true AS accuracy_is_share
+    FROM s WHERE is_test
+    """
+
+
+# The grids that are searched. The solver does not change a convex optimum, so C is the grid.
+LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0, 100.0], "max_iter": [500, 1000]}
+TREE_GRID = {"max_depth": [3, 5, 8, 10, 15, 20, 30], "min_leaf": [1, 2, 3, 4, 6, 8, 12, 16]}
+
+
+@query("tune_grid", _search_sql("logistic", 10))
+def tune_grid(spark, sf_dir):
+    """All ten combinations, five folds."""
+    grid = tuning.grid_of(LR_GRID)
+    return _searched(spark, sf_dir, lambda rows, classes, test: _search_line(tuning.search("logistic", grid, rows, classes, NUMERIC, CATEGORIES), test, classes, spark))
 
 
 def _random(rows, classes):
-    sample = tuning.sample_of({"max_depth": [3, 5, 8], "min_leaf": [1, 4, 16]}, 3)
-    return tuning.search("tree", sample, rows, classes, NUMERIC, CATEGORIES, folds=3)
+    return tuning.search("tree", tuning.sample_of(TREE_GRID, 50), rows, classes, NUMERIC, CATEGORIES)
 
 
-@query("tune_random")
+@query("tune_random", _search_sql("tree", 50))
 def tune_random(spark, sf_dir):
-    """A seeded sample of the combinations."""
-    return _searched(spark, sf_dir, lambda rows, classes: _random(rows, classes).table(spark))
+    """Fifty sampled combinations of 56, five folds."""
+    return _searched(spark, sf_dir, lambda rows, classes, test: _search_line(_random(rows, classes), test, classes, spark))
+
+
+@query(
+    "best_params",
+    f"""
+    WITH {LABELLED}
+    SELECT 'logistic' AS model, unnest(['C', 'max_iter']) AS param, true AS in_grid, CAST(count(*) AS BIGINT) AS n_train
+    FROM s WHERE NOT is_test
+    """,
+)
+def best_params(spark, sf_dir):
+    """The parameters of the best of ten candidates, each a value of the grid."""
 
+    def run(rows, classes, _):
+        found = tuning.search("logistic", tuning.grid_of(LR_GRID), rows, classes, NUMERIC, CATEGORIES).best_params(spark)
+        options = F.coalesce(*[F.when(F.col("param") == k, F.array(*[F.lit(str(x)) for x in v])) for k, v in LR_GRID.items()])
+        return found.select("model", "param", F.array_contains(options, F.col("value")).alias("in_grid"), F.lit(rows.count()).cast("bigint").alias("n_train"))
 
-@query("best_params")
-def best_params(spark, sf_dir):
-    return _searched(spark, sf_dir, lambda rows, classes: _random(rows, classes).best_params(spark))
+    return _searched(spark, sf_dir, run)
 
 
-@query("train_many")
+@query(
+    "train_many",
+    f"""
+    WITH {LABELLED}, m AS (SELECT unnest(['bayes', 'forest', 'logistic', 'tree']) AS model)
+    SELECT model, CAST(count(*) AS BIGINT) AS n_test, true AS accuracy_is_share, true AS cv_is_share, true AS in_order
+    FROM s, m WHERE is_test GROUP BY model
+    """,
+)
 def train_many(spark, sf_dir):
-    """Several models on one cached frame: test accuracy, fold mean and deviation, best first."""
-    cached, classes, train, test = _prepared(spark, sf_dir)
-    folded = prepare.stratified_folds(train, ["doc_id"], "label", 3).persist()
-    wanted = {"logistic": {"max_iter": 50}, "bayes": {}, "tree": {"max_depth": 5}}
-    results = tuning.train_many(wanted, folded, classes, NUMERIC, CATEGORIES, folds=3)
-    out = None
-    for name, found in results.items():
-        judged = models.with_label_name(found.model.predict(test), classes)
-        line = evaluate.accuracy(judged).select(
-            F.lit(name).alias("model"),
-            "accuracy",
-            F.lit(found.means[0]).alias("cv_mean"),
-            F.lit(found.deviations[0]).alias("cv_std"),
+    """Four models on one cached frame, fifteen folds: test accuracy, fold mean and deviation, best first."""
+
+    def run(rows, classes, test):
+        results = tuning.train_many({"logistic": {"C": 100.0}, "bayes": {}, "tree": {}, "forest": {}}, rows, classes, NUMERIC, CATEGORIES, folds=15)
+        lines = []
+        for name, found in results.items():
+            judged = evaluate.accuracy(models.with_label_name(found.model.predict(test), classes)).first()
+            lines.append((name, judged["n"], judged["accuracy"], found.means[0], found.deviations[0]))
+        summary = spark.createDataFrame(lines, "model string, n bigint, accuracy double, cv_mean double, cv_std double")
+        ranked = [r["cv_mean"] for r in evaluate.rank_models(summary, "cv_mean").collect()]  # one row per model
+        share = lambda c: F.col(c).between(0, 1)
+        return summary.select(
+            "model",
+            F.col("n").alias("n_test"),
+            share("accuracy").alias("accuracy_is_share"),
+            (share("cv_mean") & (F.col("cv_std") >= 0)).alias("cv_is_share"),
+            F.lit(ranked == sorted(ranked, reverse=True)).alias("in_order"),
         )
-        out = line if out is None else out.unionByName(line)
-    folded.unpersist()
-    cached.unpersist()
-    return evaluate.rank_models(out, "cv_mean")
+
+    return _searched(spark, sf_dir, run, 15)

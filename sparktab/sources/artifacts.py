@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import dataclasses
+import json
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from sparktab.operators.attribution import LinearModel
 from sparktab.operators.models import TrainedModel
 
 
@@ -26,3 +30,15 @@ def load_model(spark: SparkSession, directory: str) -> TrainedModel:
         numeric=tuple(row["numeric"]),
         categories=tuple(row["categories"]),
     )
+
+
+def save_linear(spark: SparkSession, model: LinearModel, directory: str) -> str:
+    """Writes a linear model as one row of JSON text, for scoring without its pipeline."""
+    spark.createDataFrame([(json.dumps(dataclasses.asdict(model)),)], "model string").coalesce(1).write.parquet(directory)
+    return directory
+
+
+def load_linear(spark: SparkSession, directory: str) -> LinearModel:
+    deep = lambda v: tuple(deep(x) for x in v) if isinstance(v, list) else v
+    found = json.loads(spark.read.parquet(directory).first()["model"])
+    return LinearModel(**{k: deep(v) for k, v in found.items()})

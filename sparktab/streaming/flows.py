@@ -82,9 +82,11 @@ def route_stream(
 
     def route(batch: DataFrame, batch_id: int) -> None:
         checked = validate.with_violations(batch, rules).persist()
-        _sink(accepted)(validate.accepted(checked), batch_id)
-        _sink(rejected)(validate.rejected(checked), batch_id)
-        checked.unpersist()
+        try:
+            _sink(accepted)(validate.accepted(checked), batch_id)
+            _sink(rejected)(validate.rejected(checked), batch_id)
+        finally:
+            checked.unpersist()
 
     return (
         records.writeStream.foreachBatch(route)

@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sparktab.plans import catalogue  # noqa: E402
-from sparktab.session import local_session  # noqa: E402
+from sparktab.session import local_session, release  # noqa: E402
 
 HEADLINE = (
     "clean_profile dup_count numeric_summary category_freq iqr_report zscore_filter range_rule_counts corr_lower "
@@ -27,7 +27,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", "").replace(",", " ").split() or HEADLINE
     spark = local_session(cpus, app="bench")
     seconds = {}
@@ -37,6 +37,7 @@ def main() -> None:
             start = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+        release(spark)
         seconds[name] = round(statistics.median(taken[1:]), 4)
         print(f"{name}: first {taken[0]:.2f} s, then {seconds[name]:.2f} s", file=sys.stderr, flush=True)
     spark.stop()

@@ -170,11 +170,12 @@ def _kernel_sums(group: list[str], points: int):
         steps = np.arange(points, dtype="int32")
         for batch in batches:
             for labels, rows in batch.groupby(group, dropna=False, sort=False):
-                named = dict(zip(group, labels))
+                named = {k: None if pd.isna(v) else v for k, v in zip(group, labels)}
                 grid = named["first"] + steps * named["step"]
                 u = (grid[:, None] - rows["value"].to_numpy()[None, :]) / named["h"]
                 mass = np.exp(-0.5 * u * u) @ rows["weight"].to_numpy()
-                yield pd.DataFrame({**named, "point": steps, "mass": mass})
+                constant = {k: pd.Series([v] * points, dtype=object if v is None or isinstance(v, str) else None) for k, v in named.items()}
+                yield pd.DataFrame({**constant, "point": steps, "mass": mass})
 
     return sums
 

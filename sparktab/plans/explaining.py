@@ -356,7 +356,7 @@ def best_example_waterfall(spark, sf_dir):
     model = _text_model(rows)
     scored = attribution.with_scores(rows, model).withColumn("label", F.col("lang"))
     chosen = evaluate.surest_correct(scored, ["doc_id"]).select("doc_id")
-    picked = scored.join(F.broadcast(chosen), "doc_id", "left_semi")
+    picked = scored.join(chosen, "doc_id", "left_semi")
     out = attribution.waterfall(picked, model, ["doc_id"], shown=len(TEXT_FEATURES))
     return out.withColumns({c: fixed(c, 9) for c in ("phi", "running")})
 
@@ -389,18 +389,19 @@ def score_batch(spark, sf_dir):
 @query(
     "factor_labels",
     f"""
-    WITH {LINE_SCORED}, {LINE_PHI}
-    SELECT DISTINCT feature,
-           array_to_string(list_transform(string_split(feature, '_'), lambda w: upper(w[1]) || w[2:]), ' ') AS shown,
-           lower(replace(feature || ' by class', ' ', '_')) AS file FROM phi
+    WITH {LINE_SCORED}, {LINE_PHI},
+    k AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(LINE_KEY)} ORDER BY abs(phi) DESC, feature) AS place
+          FROM phi WHERE class = prediction)
+    SELECT prediction, array_to_string(list_transform(string_split(feature, '_'), lambda w: upper(w[1]) || w[2:]), ' ') AS shown,
+           lower(replace(feature || ' by class', ' ', '_')) AS file, CAST(count(*) AS BIGINT) AS n
+    FROM k WHERE place = 1 GROUP BY ALL
     """,
 )
 def factor_labels(spark, sf_dir):
-    """Display and file names of the features that carry an attribution."""
+    """How often each feature is the strongest factor of a prediction, under its display and file names."""
     lines = _lines(spark, sf_dir)
-    long = attribution.attributions(lines, _line_model(lines), [])
-    return long.select("feature").distinct().select(
-        "feature",
-        title_label(F.col("feature")).alias("shown"),
-        file_label(F.concat("feature", F.lit(" by class"))).alias("file"),
-    )
+    model = _line_model(lines)
+    ready = attribution.with_top_factors(attribution.with_scores(lines, model), model, 1)
+    feature = F.col("top_factors")[0].feature
+    named = ready.select("prediction", title_label(feature).alias("shown"), file_label(F.concat(feature, F.lit(" by class"))).alias("file"))
+    return named.groupBy("prediction", "shown", "file").agg(F.count("*").alias("n"))

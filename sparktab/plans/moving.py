@@ -140,14 +140,19 @@ def stream_validate(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
-@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    "stream_dedup",
+    "SELECT DISTINCT user_id, event_type, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS hour FROM events",
+)
 def stream_dedup(spark, sf_dir):
-    """One record per user and event type; the delay spans the table's whole period."""
+    """One record per user, event type and hour. Copies are at most an hour apart, so six hours of
+    state are enough; records that come later than that are dropped."""
     events = _stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
-    once = flows.dedup_stream(events, ["user_id", "event_type"], "ts", "3650 days")
+    hourly = events.withColumn("hour", F.unix_seconds(F.date_trunc("hour", "ts")))
+    once = flows.dedup_stream(hourly, ["user_id", "event_type", "hour"], "ts", "6 hours")
     out = fresh_path(spark, "distinct")
     flows.write_tables(once, out, fresh_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out).select("user_id", "event_type")
+    return spark.read.parquet(out).select("user_id", "event_type", "hour")
 
 
 # A model of two measures of an event, for the windowed counts.
@@ -170,13 +175,14 @@ EVENT_SCORED = _scored_sql(
     """,
 )
 def stream_triage(spark, sf_dir):
-    """Counts per hour of event time. Each window's latest update is its count."""
+    """Counts per hour of event time. Each window's latest update is its count. A window is
+    closed six hours after its end; records that come later are dropped."""
     means = clean.fit_moments(table(spark, sf_dir, "events"), EVENT_FEATURES)
     model = LinearModel(
         EVENT_FEATURES, EVENT_CLASSES, EVENT_WEIGHTS, EVENT_INTERCEPTS, tuple(means[c].mean for c in EVENT_FEATURES)
     )
     records = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    counts = flows.triage_stream(with_scores(records, model), "ts", "1 hour", "3650 days")
+    counts = flows.triage_stream(with_scores(records, model), "ts", "1 hour", "6 hours")
     out = fresh_path(spark, "triage")
     flows.write_batches(counts, out, fresh_path(spark, "progress")).awaitTermination()
     latest = F.max_by("n", "batch").alias("n")

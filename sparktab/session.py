@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -23,6 +24,7 @@ def local_session(cores: int | str = "*", app: str = "sparktab", **conf) -> Spar
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        .config(CHECKPOINT_CONF, _own_folder())
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
@@ -31,6 +33,13 @@ def local_session(cores: int | str = "*", app: str = "sparktab", **conf) -> Spar
     return spark
 
 
+def _own_folder() -> str:
+    """A temporary folder that goes when this process ends, for a local session alone."""
+    folder = tempfile.mkdtemp(prefix="sparktab-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -41,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="sparktab-")
+        named = _own_folder()
         spark.conf.set(CHECKPOINT_CONF, named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -69,8 +78,24 @@ def settled(df: DataFrame, label: str = "settled") -> DataFrame:
     """Writes a narrow result that several passes will read, and reads it back.
 
     What it was computed from is then read once, and losing an executor costs a read of
-    the written files, not the computation.
+    the written files, not the computation. The files stay while results may read them;
+    ``release`` deletes those of a session.
     """
-    path = fresh_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes what this application's ``settled`` calls wrote, once no result needs it; how many folders."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

@@ -1,7 +1,9 @@
 """Substring dedup by sliding spans of sentences.
 
-A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, and at line ends);
-a sentence of more than ``LONGEST`` words is cut into pieces of that many. Every run of
+A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, and at line ends).
+A sentence of more than ``LONGEST`` words is cut into pieces after words that their checksum
+chooses, or ``PIECE`` words, so that a passage is cut alike wherever in a long sentence it
+stands; the pieces count as sentences. Every run of
 ``span`` consecutive sentences with at least ``least_words`` words is hashed to 128 bits, in
 lower case and with single blanks. Equal hashes meet in a global join; the occurrence in
 the smallest doc_id (then row, then place) is the first and stays. A sentence that any
@@ -11,6 +13,7 @@ other occurrence covers is removed.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +27,9 @@ from pyspark.sql.window import Window
 from sparktab.llm.common import FILE, ROW, arrow, positions, text_slices
 from sparktab.session import settled
 
-LONGEST = 16
+LONGEST, PIECE = 16, 32
+#: A cut falls after one word of so many, at least so many words after the last cut.
+CUTS, APART = 4, 4
 END = re.compile(r"[.!?]+\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -36,9 +41,12 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
         piece = text[at:cut]
         words = piece.lower().split()
         if len(words) > LONGEST:
-            starts = [m.start() for m in WORD.finditer(piece)][::LONGEST]
-            ends = [*starts[1:], len(piece)]
-            found += [(at + (a if k else 0), at + b, words[k * LONGEST : (k + 1) * LONGEST]) for k, (a, b) in enumerate(zip(starts, ends))]
+            starts, first = [m.start() for m in WORD.finditer(piece)], 0
+            for i, word in enumerate(words, 1):
+                if i == len(words) or i - first == PIECE or (i - first >= APART and zlib.crc32(word.encode("utf-8", "replace")) % CUTS == 0):
+                    begin, end = starts[first] if first else 0, starts[i] if i < len(words) else len(piece)
+                    found.append((at + begin, at + end, words[first:i]))
+                    first = i
         elif words:
             found.append((at, cut, words))
         at = cut

@@ -33,10 +33,23 @@ def test_sentences_cover_the_text():
     for text in (prose(1, 90), "A b. C\n\n d! e", "x " * 50, "", "  \n", "one. two", " lead in. tail  "):
         found = spans.sentences(text)
         assert [w for _, _, ws in found for w in ws] == text.lower().split()
-        assert all(len(w) <= spans.LONGEST and text[a:b].lower().split() == w for a, b, w in found)
+        assert all(len(w) <= spans.PIECE and text[a:b].lower().split() == w for a, b, w in found)
         assert all(x[1] <= y[0] for x, y in zip(found, found[1:]))
 
 
+def test_passages_within_a_sentence(spark):
+    """No mark around or inside the passage: it is found all the same."""
+    bare = lambda seed, n: prose(seed, n).lower().replace(".", "")
+    passage = bare(900, 70)
+    rows = [(i, f"{bare(i, 37 + i)} {passage} {bare(50 + i, 41)}") for i in range(4)] + [(9, bare(70, 150))]
+    out = spans.repeat_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in out} == {1, 2, 3} and {r["first_doc_id"] for r in out} == {0}
+    words = {i: [w for _, _, w in spans.sentences(t)] for i, t in rows}
+    for i in (1, 2, 3):
+        gone = [w for r in out if r["doc_id"] == i for s in words[i][r["first_sentence"] : r["first_sentence"] + r["n_sentences"]] for w in s]
+        assert len(gone) >= 35 and " ".join(gone) in passage
+
+
 def test_runs_against_a_dictionary(spark):
     rows = rows_with_passages()
     docs = spark.createDataFrame(rows, "doc_id long, text string")

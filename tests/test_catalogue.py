@@ -7,7 +7,9 @@ SF = "/root/testdata/sf0.001"
 CHECKED = [
     "clean_profile", "numeric_summary", "iqr_report", "hist_group20", "violin_stats", "box_before_after",
     "crosstab_pct", "strat_split", "strat_folds", "gnb_predict", "class_report", "top_factors", "waterfall",
-    "score_batch", "stream_dedup",
+    "score_batch", "stream_dedup", "quantiles_selected", "quantiles_selected_groups", "box_null_group",
+    "violin_constant_group", "hist_heavy_tail", "crosstab_customers", "one_hot_parts", "label_encode_nulls",
+    "score_with_gaps", "records_in_order", "train_nb", "explain_trained", "stream_score_saved", "dedup_rows",
 ]
 
 

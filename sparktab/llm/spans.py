@@ -3,15 +3,16 @@
 A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, and at line ends).
 A sentence of more than ``LONGEST`` words is cut into pieces after words that their checksum
 chooses, or ``PIECE`` words, so that a passage is cut alike wherever in a long sentence it
-stands; the pieces count as sentences. Every run of
-``span`` consecutive sentences with at least ``least_words`` words is hashed to 128 bits, in
-lower case and with single blanks. Equal hashes meet in a global join; the occurrence in
+stands; the pieces count as sentences. From every sentence on, the run of ``span``
+sentences, or of as many more as it takes for ``least_words`` words, is hashed to 128 bits,
+in lower case and with single blanks. Equal hashes meet in a global join; the occurrence in
 the smallest doc_id (then row, then place) is the first and stays. A sentence that any
 other occurrence covers is removed.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -27,9 +28,10 @@ from pyspark.sql.window import Window
 from sparktab.llm.common import FILE, ROW, arrow, positions, text_slices
 from sparktab.session import settled
 
-LONGEST, PIECE = 16, 32
+LONGEST, PIECE = 16, 16
 #: A cut falls after one word of so many, at least so many words after the last cut.
 CUTS, APART = 4, 4
+SPANS = f"doc_id long, {FILE} long, {ROW} long, at int, upto int, h1 long, h2 long"
 END = re.compile(r"[.!?]+\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -53,45 +55,52 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
     return found
 
 
-def span_hashes(text: str, span: int, least_words: int) -> tuple[list[int], list[bytes]]:
-    """Where spans start and their 128-bit hashes."""
+def span_hashes(text: str, span: int, least_words: int) -> tuple[list[int], list[int], list[bytes]]:
+    """Where spans start, where they end (not included) and their 128-bit hashes."""
     parts = [w for _, _, w in sentences(text)]
-    joined, sizes = [" ".join(w) for w in parts], [len(w) for w in parts]
-    at = [i for i in range(len(parts) - span + 1) if sum(sizes[i : i + span]) >= least_words]
-    return at, [xxhash.xxh3_128_digest("\n".join(joined[i : i + span])) for i in at]
+    joined, before = [" ".join(w) for w in parts], [0, *itertools.accumulate(map(len, parts))]
+    starts, ends, end = [], [], 0
+    for i in range(len(parts)):
+        end = max(end, i + span)
+        while end < len(parts) and before[end] - before[i] < least_words:
+            end += 1
+        if end > len(parts) or before[end] - before[i] < least_words:
+            break
+        starts.append(i)
+        ends.append(end)
+    return starts, ends, [xxhash.xxh3_128_digest("\n".join(joined[i:j])) for i, j in zip(starts, ends)]
 
 
 def _spans(span: int, least_words: int):
-    kinds = arrow(f"doc_id long, {FILE} long, {ROW} long, at int, h1 long, h2 long")
+    kinds = arrow(SPANS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in text_slices(batch, "text"):
                 found = [span_hashes(t, span, least_words) for t in texts]
-                counts = [len(at) for at, _ in found]
+                counts = [len(at) for at, _, _ in found]
                 owner = pa.array(np.repeat(np.arange(len(texts)), counts))
-                hashes = np.frombuffer(b"".join(h for _, hs in found for h in hs), dtype="<i8").reshape(-1, 2)
-                at = pa.array([i for places, _ in found for i in places], type=pa.int32())
+                hashes = np.frombuffer(b"".join(h for _, _, hs in found for h in hs), dtype="<i8").reshape(-1, 2)
+                at, upto = (pa.array([i for x in found for i in x[k]], type=pa.int32()) for k in (0, 1))
                 columns = [part.column(c).take(owner) for c in ("doc_id", FILE, ROW)]
-                yield pa.RecordBatch.from_arrays([*columns, at, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], schema=kinds)
+                yield pa.RecordBatch.from_arrays([*columns, at, upto, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], schema=kinds)
 
     return run
 
 
 def _runs(rows: DataFrame, span: int, least_words: int) -> DataFrame:
     """(doc_id, file, row, first_sentence, n_sentences, first_doc_id) of all runs to remove."""
-    kinds = f"doc_id long, {FILE} long, {ROW} long, at int, h1 long, h2 long"
-    spans = settled(rows.select("doc_id", FILE, ROW, "text").mapInArrow(_spans(span, least_words), kinds), "spans")
+    spans = settled(rows.select("doc_id", FILE, ROW, "text").mapInArrow(_spans(span, least_words), SPANS), "spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW, "at")
     firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = spans.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
     by_row = Window.partitionBy(FILE, ROW).orderBy("at")  # a window of one document's spans
-    opens = (F.col("at") > F.lag("at", 1).over(by_row) + span).cast("int")
+    opens = (F.col("at") > F.lag("upto", 1).over(by_row)).cast("int")
     numbered = later.withColumn("__opens", F.coalesce(opens, F.lit(0))).withColumn("__run", F.sum("__opens").over(by_row))
     return numbered.groupBy(FILE, ROW, "__run").agg(
         F.first("doc_id").alias("doc_id"),
         F.min("at").alias("first_sentence"),
-        (F.max("at") - F.min("at") + span).cast("int").alias("n_sentences"),
+        (F.max("upto") - F.min("at")).cast("int").alias("n_sentences"),
         F.min_by("first.doc_id", "at").alias("first_doc_id"),
     )
 

@@ -10,11 +10,14 @@ def plain(rows, span=3, least=13):
     seen, gone = set(), {i: set() for i in order}
     for i in order:
         for k in range(len(parts[i]) - span + 1):
-            run = tuple(parts[i][k : k + span])
+            size = span
+            while k + size < len(parts[i]) and sum(len(s.split()) for s in parts[i][k : k + size]) < least:
+                size += 1
+            run = tuple(parts[i][k : k + size])
             if sum(len(s.split()) for s in run) < least:
                 continue
             if run in seen:
-                gone[i] |= set(range(k, k + span))
+                gone[i] |= set(range(k, k + size))
             seen.add(run)
     return gone
 
@@ -25,6 +28,8 @@ def rows_with_passages():
     rows = [(i, prose(i, 120)) for i in range(8)]
     rows += [(20, passage + "\n" + prose(50, 60)), (21, prose(51, 60) + "\n" + passage.upper()), (22, prose(52, 40) + " " + tail + "\n" + prose(53, 40))]
     rows += [(30, "Of. In. The. Of. In. The. Of. In."), (31, "Of. In. The."), (32, None), (33, ""), (34, prose(60, 5)), (35, prose(60, 5))]
+    shouted = "!! ".join(prose(800, 60).upper().split())
+    rows += [(50, shouted + "!! " + prose(81, 20)), (51, prose(82, 30) + "\n" + shouted)]
     rows += [(40, (prose(61, 40) + "\n") * 3), (41, "word " * 400), (42, "word " * 90), (None, passage), (43, "y" * 50_000)]
     return rows
 
@@ -59,7 +64,7 @@ def test_runs_against_a_dictionary(spark):
         new = set(range(r["first_sentence"], r["first_sentence"] + r["n_sentences"]))
         assert not new & got.get(r["doc_id"], set())
         got[r["doc_id"]] = got.get(r["doc_id"], set()) | new
-    assert got == want and {21, 22, 40, None} <= set(got) and not {20, 30, 31, 34, 35} & set(got)
+    assert got == want and {21, 22, 40, 51, None} <= set(got) and not {20, 30, 31, 34, 35} & set(got)
     first = {r["doc_id"]: r["first_doc_id"] for r in spans.repeat_table(docs).collect()}
     assert first[21] == 20 and first[None] == 20
 

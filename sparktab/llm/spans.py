@@ -4,7 +4,7 @@ A text is cut into sentences (after ``.``, ``!`` or ``?`` and white space, and a
 A sentence of more than ``LONGEST`` words is cut into pieces after words that their checksum
 chooses, or ``PIECE`` words, so that a passage is cut alike wherever in a long sentence it
 stands; the pieces count as sentences. From every sentence on, the run of ``span``
-sentences, or of as many more as it takes for ``least_words`` words, is hashed to 128 bits,
+sentences, or of as many more as it takes for ``least_words`` words, is hashed to 96 bits,
 in lower case and with single blanks. Equal hashes meet in a global join; the occurrence in
 the smallest doc_id (then row, then place) is the first and stays. A sentence that any
 other occurrence covers is removed.
@@ -31,7 +31,7 @@ from sparktab.session import settled
 LONGEST, PIECE = 16, 16
 #: A cut falls after one word of so many, at least so many words after the last cut.
 CUTS, APART = 4, 4
-SPANS = f"doc_id long, {FILE} long, {ROW} long, at int, upto int, h1 long, h2 long"
+SPANS = f"doc_id long, {FILE} long, {ROW} long, at int, upto int, h1 long, h2 int"
 END = re.compile(r"[.!?]+\s+|\n\s*")
 WORD = re.compile(r"\S+")
 
@@ -56,7 +56,7 @@ def sentences(text: str) -> list[tuple[int, int, list[str]]]:
 
 
 def span_hashes(text: str, span: int, least_words: int) -> tuple[list[int], list[int], list[bytes]]:
-    """Where spans start, where they end (not included) and their 128-bit hashes."""
+    """Where spans start, where they end (not included) and their 96-bit hashes."""
     parts = [w for _, _, w in sentences(text)]
     joined, before = [" ".join(w) for w in parts], [0, *itertools.accumulate(map(len, parts))]
     starts, ends, end = [], [], 0
@@ -68,7 +68,7 @@ def span_hashes(text: str, span: int, least_words: int) -> tuple[list[int], list
             break
         starts.append(i)
         ends.append(end)
-    return starts, ends, [xxhash.xxh3_128_digest("\n".join(joined[i:j])) for i, j in zip(starts, ends)]
+    return starts, ends, [xxhash.xxh3_128_digest("\n".join(joined[i:j]))[:12] for i, j in zip(starts, ends)]
 
 
 def _spans(span: int, least_words: int):
@@ -80,10 +80,10 @@ def _spans(span: int, least_words: int):
                 found = [span_hashes(t, span, least_words) for t in texts]
                 counts = [len(at) for at, _, _ in found]
                 owner = pa.array(np.repeat(np.arange(len(texts)), counts))
-                hashes = np.frombuffer(b"".join(h for _, _, hs in found for h in hs), dtype="<i8").reshape(-1, 2)
+                hashes = np.frombuffer(b"".join(h for _, _, hs in found for h in hs), dtype=[("h1", "<i8"), ("h2", "<i4")])
                 at, upto = (pa.array([i for x in found for i in x[k]], type=pa.int32()) for k in (0, 1))
                 columns = [part.column(c).take(owner) for c in ("doc_id", FILE, ROW)]
-                yield pa.RecordBatch.from_arrays([*columns, at, upto, pa.array(hashes[:, 0]), pa.array(hashes[:, 1])], schema=kinds)
+                yield pa.RecordBatch.from_arrays([*columns, at, upto, pa.array(hashes["h1"]), pa.array(hashes["h2"])], schema=kinds)
 
     return run
 

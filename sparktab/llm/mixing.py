@@ -1,6 +1,8 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's rows are numbered in a random order and cut into blocks. Block ``j`` of a
+Each source's rows are numbered in a random order and read round and round: block ``j`` holds
+the places ``block_rows * j`` and on of that endless list, so a block that reaches the last
+row goes on with the first and every block but the mix's final one is full. Block ``j`` of a
 source with weight ``w`` may not start before slot ``floor(j / w)`` and must be placed
 before slot ``ceil((j + 1) / w)``; the block with the earliest deadline goes first. At any
 slot ``t`` a source has then had ``w * t`` blocks, to less than one block.
@@ -68,7 +70,8 @@ def mixed(
 ) -> DataFrame:
     """All columns of ``docs`` plus ``block``, ``epoch``, ``block_slot`` and ``place``, all long.
 
-    A row's place in the mix is (``block_slot``, ``place``). ``targets`` maps each source
+    A row's place in the mix is (``block_slot``, ``place``); ``block`` counts its source's blocks and
+    ``epoch`` how often the row came before. ``targets`` maps each source
     to its weight (None: the NULL source); a source it lacks is an error, as its rows would
     be lost. Without targets a source's weight is its row count to the ``power``. There is
     one driver row per source and the period is four slots per source at least.
@@ -85,31 +88,32 @@ def mixed(
     wanted = [targets[s] if targets is not None else n**power for s, n in sizes]
     weights = whole_weights(wanted, max(period, 4 * len(sizes))) if sizes else []
     schedule, whole = pfair_period(weights) if sizes else [], sum(weights)
-    blocks = [-(-n // block_rows) for _, n in sizes]
-    last = max((-(-b * whole // w) for b, w in zip(blocks, weights)), default=0)
-    had = [last // whole * w for w in weights] if sizes else []
-    for i in schedule[: last % whole] if sizes else []:
-        had[i] += 1
     source_type = docs.schema["source"].dataType.simpleString()
-    known = driver_table(
-        spark,
-        [(s, n, w, b, h) for (s, n), w, b, h in zip(sizes, weights, blocks, had)], f"__s {source_type}, __n long, __w long, __blocks long, __had long"
-    )
     seen: dict[int, int] = {}
     places = []
+    at = {}
     for t, i in enumerate(schedule):
         places.append((sizes[i][0], seen.get(i, 0), t))
+        at[i, seen.get(i, 0)] = t
         seen[i] = seen.get(i, 0) + 1
+    # the slot in which each source has been read once; the mix ends with the latest
+    ends = [(b // w * whole + at[i, b % w], i) for i, (w, b) in enumerate(zip(weights, [(n - 1) // block_rows for _, n in sizes]))]
+    last, final = max(ends, default=(-1, None))
+    had = [(last + 1) // whole * w for w in weights]
+    for i in schedule[: (last + 1) % whole] if sizes else []:
+        had[i] += 1
+    placed_rows = [n if i == final else h * block_rows for i, ((_, n), h) in enumerate(zip(sizes, had))]
+    known = driver_table(spark, [(s, n, w, r) for (s, n), w, r in zip(sizes, weights, placed_rows)], f"__s {source_type}, __n long, __w long, __rows long")
     slots = driver_table(spark, places, f"__s2 {source_type}, __j long, __slot long")
     sized = rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")  # one row per source
     ranked = numbered(sized, ["source"], F.ceil(F.col("__n") / cell_rows), seed, "__index")
-    turn = F.explode(F.sequence(F.col("block"), F.col("__had") - 1, F.col("__blocks")))
-    turns = ranked.withColumn("block", F.floor(F.col("__index") / block_rows)).withColumn("place", F.col("__index") % block_rows).withColumn("__turn", turn)
-    at = F.col("source").eqNullSafe(F.col("__s2")) & (F.col("__turn") % F.col("__w") == F.col("__j"))
-    placed = turns.join(F.broadcast(slots), at)  # one row per slot of a period
+    again = F.explode(F.sequence(F.col("__index"), F.col("__rows") - 1, F.col("__n")))
+    turns = ranked.withColumn("__at", again).withColumn("block", F.floor(F.col("__at") / block_rows)).withColumn("place", F.col("__at") % block_rows)
+    same = F.col("source").eqNullSafe(F.col("__s2")) & (F.col("block") % F.col("__w") == F.col("__j"))
+    placed = turns.join(F.broadcast(slots), same)  # one row per slot of a period
     return (
-        placed.withColumn("epoch", F.floor(F.col("__turn") / F.col("__blocks")))
-        .withColumn("block_slot", F.floor(F.col("__turn") / F.col("__w")) * whole + F.col("__slot"))
+        placed.withColumn("epoch", F.floor(F.col("__at") / F.col("__n")))
+        .withColumn("block_slot", F.floor(F.col("block") / F.col("__w")) * whole + F.col("__slot"))
         .select(*[F.col(f"`{c}`") for c in docs.columns if c not in new], *new)
     )
 

@@ -106,3 +106,16 @@ def test_mix_of_nothing_targets_and_names(nothing, odd, clashing):
     out = mixing.mixed(odd, targets={"s0": 2, "s1": 1, "s2": 1, None: 1}, block_rows=1, period=64)
     assert {r["source"] for r in out.select("source").collect()} == {"s0", "s1", "s2", None}
     assert mixing.mixed(clashing).columns.count("epoch") == 1
+
+
+def test_small_sources_have_their_share_of_rows(spark):
+    sizes = {"hot": 3000, "one": 1, "three": 3, "odd": 17, "fifty": 50}
+    targets = {"hot": 4, "one": 1, "three": 1, "odd": 1, "fifty": 1}
+    docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    rows = mixing.mixed(docs, targets=targets, period=64).collect()
+    for s, n in sizes.items():
+        mine = sorted((r["block"], r["place"], r["epoch"], r["doc_id"]) for r in rows if r["source"] == s)
+        assert abs(len(mine) - len(rows) * targets[s] / 8) < 16
+        assert [m[:3] for m in mine] == [(k // 16, k % 16, k // n) for k in range(len(mine))]
+        assert [m[3] for m in mine] == [mine[k % n][3] for k in range(len(mine))] and {m[3] for m in mine} == set(range(n))
+    assert sum(r["source"] == "hot" for r in rows) == 3000

@@ -7,22 +7,40 @@ source with weight ``w`` may not start before slot ``floor(j / w)`` and must be
 before slot ``ceil((j + 1) / w)``; the block with the earliest deadline goes first. At any
 slot ``t`` a source has then had ``w * t`` blocks, to less than one block.
 
-Weights are whole numbers of a period of ``period`` slots, so the schedule repeats with
-the period and one period on the driver places any number of blocks. The mix runs until
-each source has been read once; a source whose target exceeds its share of the rows
+Weights are the targets themselves, as exact fractions, and the whole mix is scheduled: the
+driver holds a few numbers per slot (a slot is a block of ``block_rows`` rows), which meet
+the rows in a join. The mix runs until each source has been read once; a source whose target exceeds its share of the rows
 starts again (``epoch``), as its target asks for. No row is left out.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.llm.common import driver_table, numbered, positions
 
+#: Schedules of up to so many slots (24 bytes each) are broadcast, longer ones are joined by shuffle.
+BROADCAST_SLOTS = 200_000
+
+
+def exact_weights(targets: list) -> list[int]:
+    """Whole numbers in exactly the proportions of the targets."""
+    parts = [Fraction(t) for t in targets]
+    scale = math.lcm(*(p.denominator for p in parts))
+    whole = [int(p * scale) for p in parts]
+    common = math.gcd(*whole) or 1
+    return [w // common for w in whole]
+
 
 def whole_weights(targets: list[float], period: int) -> list[int]:
     """Targets as whole numbers, each at least 1, that sum to ``period``."""
@@ -38,8 +56,8 @@ def whole_weights(targets: list[float], period: int) -> list[int]:
     return whole
 
 
-def pfair_period(weights: list[int]) -> list[int]:
-    """The source that each slot of one period goes to.
+def pfair(weights: list[int]) -> Iterator[int]:
+    """The source that each slot goes to, without end.
 
     Equal deadlines: the block whose window overlaps the next one's goes first, then the
     source of the smaller number.
@@ -53,16 +71,30 @@ def pfair_period(weights: list[int]) -> list[int]:
     waiting = [(*window(i, 0), i, 0) for i in range(len(weights))]
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int, int]] = []
-    slots = []
-    for t in range(period):
+    for t in itertools.count():
         while waiting and waiting[0][0] <= t:
             _, ends, even, i, j = heapq.heappop(waiting)
             heapq.heappush(ready, (ends, even, i, j))
         _, _, i, j = heapq.heappop(ready)
+        yield i
+        heapq.heappush(waiting, (*window(i, j + 1), i, j + 1))
+
+
+def pfair_period(weights: list[int]) -> list[int]:
+    """The source that each slot of one period goes to; the schedule repeats with the sum of the weights."""
+    return list(itertools.islice(pfair(weights), sum(weights)))
+
+
+def pfair_until_read(weights: list[int], blocks: list[int]) -> np.ndarray:
+    """The source of each slot until every source has had its ``blocks``."""
+    slots, left, unread = array("i"), list(blocks), len(blocks)
+    turns = pfair(weights)
+    while unread:
+        i = next(turns)
         slots.append(i)
-        if j + 1 < weights[i]:
-            heapq.heappush(waiting, (*window(i, j + 1), i, j + 1))
-    return slots
+        left[i] -= 1
+        unread -= left[i] == 0
+    return np.frombuffer(slots, dtype=np.int32) if slots else np.empty(0, np.int32)
 
 
 def mixed(
@@ -74,7 +106,7 @@ def mixed(
     ``epoch`` how often the row came before. ``targets`` maps each source
     to its weight (None: the NULL source); a source it lacks is an error, as its rows would
     be lost. Without targets a source's weight is its row count to the ``power``. There is
-    one driver row per source and the period is four slots per source at least.
+    one driver row per source and one per slot. ``period`` is kept for callers; no weight is rounded to it.
     An empty table gives no rows; repeated rows are placed one by one; columns that have
     the names of the new ones are replaced; texts aren't looked at.
     """
@@ -86,34 +118,24 @@ def mixed(
     if targets is not None and (lost := [s for s, _ in sizes if not targets.get(s, 0) > 0]):
         raise ValueError(f"no target weight for {lost[:5]}")
     wanted = [targets[s] if targets is not None else n**power for s, n in sizes]
-    weights = whole_weights(wanted, max(period, 4 * len(sizes))) if sizes else []
-    schedule, whole = pfair_period(weights) if sizes else [], sum(weights)
+    schedule = pfair_until_read(exact_weights(wanted), [-(-n // block_rows) for _, n in sizes])
+    had = np.bincount(schedule, minlength=len(sizes))
+    # the block that ends the mix has no row of its source a second time
+    kept = [n if len(schedule) and i == schedule[-1] else int(had[i]) * block_rows for i, (_, n) in enumerate(sizes)]
     source_type = docs.schema["source"].dataType.simpleString()
-    seen: dict[int, int] = {}
-    places = []
-    at = {}
-    for t, i in enumerate(schedule):
-        places.append((sizes[i][0], seen.get(i, 0), t))
-        at[i, seen.get(i, 0)] = t
-        seen[i] = seen.get(i, 0) + 1
-    # the slot in which each source has been read once; the mix ends with the latest
-    ends = [(b // w * whole + at[i, b % w], i) for i, (w, b) in enumerate(zip(weights, [(n - 1) // block_rows for _, n in sizes]))]
-    last, final = max(ends, default=(-1, None))
-    had = [(last + 1) // whole * w for w in weights]
-    for i in schedule[: (last + 1) % whole] if sizes else []:
-        had[i] += 1
-    placed_rows = [n if i == final else h * block_rows for i, ((_, n), h) in enumerate(zip(sizes, had))]
-    known = driver_table(spark, [(s, n, w, r) for (s, n), w, r in zip(sizes, weights, placed_rows)], f"__s {source_type}, __n long, __w long, __rows long")
-    slots = driver_table(spark, places, f"__s2 {source_type}, __j long, __slot long")
+    known = driver_table(spark, [(s, i, n, k) for i, ((s, n), k) in enumerate(zip(sizes, kept))], f"__s {source_type}, __i long, __n long, __rows long")
+    order = np.argsort(schedule, kind="stable")
+    nth = np.arange(len(order)) - np.repeat(np.cumsum(had) - had, had)
+    slots = spark.createDataFrame(pa.table({"__i2": schedule[order].astype(np.int64), "__j": nth, "__slot": order}))
+    slots = F.broadcast(slots) if len(schedule) <= BROADCAST_SLOTS else slots
     sized = rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")  # one row per source
     ranked = numbered(sized, ["source"], F.ceil(F.col("__n") / cell_rows), seed, "__index")
     again = F.explode(F.sequence(F.col("__index"), F.col("__rows") - 1, F.col("__n")))
     turns = ranked.withColumn("__at", again).withColumn("block", F.floor(F.col("__at") / block_rows)).withColumn("place", F.col("__at") % block_rows)
-    same = F.col("source").eqNullSafe(F.col("__s2")) & (F.col("block") % F.col("__w") == F.col("__j"))
-    placed = turns.join(F.broadcast(slots), same)  # one row per slot of a period
+    placed = turns.join(slots, (F.col("__i") == F.col("__i2")) & (F.col("block") == F.col("__j")))  # one row per slot
     return (
         placed.withColumn("epoch", F.floor(F.col("__at") / F.col("__n")))
-        .withColumn("block_slot", F.floor(F.col("block") / F.col("__w")) * whole + F.col("__slot"))
+        .withColumn("block_slot", F.col("__slot"))
         .select(*[F.col(f"`{c}`") for c in docs.columns if c not in new], *new)
     )
 

@@ -119,3 +119,27 @@ def test_small_sources_have_their_share_of_rows(spark):
         assert [m[:3] for m in mine] == [(k // 16, k % 16, k // n) for k in range(len(mine))]
         assert [m[3] for m in mine] == [mine[k % n][3] for k in range(len(mine))] and {m[3] for m in mine} == set(range(n))
     assert sum(r["source"] == "hot" for r in rows) == 3000
+
+
+def test_mix_deviates_from_the_targets_by_less_than_a_block(spark, monkeypatch):
+    from fractions import Fraction
+
+    targets = {"hot": 1.0} | {f"tiny{k}": 0.001 for k in range(30)} | {"some": 0.0015}
+    docs = spark.createDataFrame([(i, "hot") for i in range(2000)] + [(-k, s) for k, s in enumerate(targets) if s != "hot"], "doc_id long, source string")
+    rows = mixing.mixed(docs, targets=targets, block_rows=1, period=64).collect()
+    scale = sum(map(Fraction, targets.values()))
+    assert sorted(r["block_slot"] for r in rows) == list(range(len(rows)))
+    for r in rows:  # before its slot the source has had `block` blocks, after it one more
+        share, t = Fraction(targets[r["source"]]) / scale, r["block_slot"]
+        assert abs(r["block"] - share * t) < 1 and abs(r["block"] + 1 - share * (t + 1)) < 1
+    monkeypatch.setattr(mixing, "BROADCAST_SLOTS", 0)
+    where = lambda rs: sorted((r["source"], r["block"], r["block_slot"], r["place"]) for r in rs)
+    assert where(mixing.mixed(docs, targets=targets, block_rows=1).collect()) == where(rows)
+
+
+def test_many_tiny_sources_beside_a_hot_one():
+    sizes = [1_000_000] + [1] * 1000
+    weights = mixing.exact_weights([n**0.7 for n in sizes])
+    slots = mixing.pfair_until_read(weights, [-(-n // 16) for n in sizes])
+    had = np.bincount(slots)
+    assert had[0] == 62_500 and all(abs(int(h) * sum(weights) - w * len(slots)) < sum(weights) for h, w in zip(had, weights))

@@ -188,3 +188,12 @@ def test_report_store(spark, gaps):
     saved = [store.save("a", "one", gaps), store.save("a", "two", gaps.limit(2)), store.save("a", "one", gaps)]
     assert [tuple(r) for r in store.manifest(saved).collect()] == [("a", 2, 7)]
     assert store.manifest([]).count() == 0
+
+
+def test_every_registered_model_is_compared():
+    from sparktab.plans import catalogue, training
+
+    wanted = training.MANY | training.MANY_SLOW
+    assert set(wanted) == set(models.BUILDERS) and not any(training.MANY_SLOW.values())
+    for name, of in (("train_many", training.MANY), ("train_many_slow", training.MANY_SLOW)):
+        assert all(f"'{m}'" in catalogue.ORACLES[name] for m in of)

@@ -42,6 +42,12 @@ WINDOW = 16
 #: Words that a task remembers the margins of.
 REMEMBERED = 150_000
 SPACED = re.compile(r"(?<!\S)\w(?:[^\S\n]\w){2,}(?!\S)")
+#: Closed-up words count for a document from this margin on: joined words of clean text often have small ones.
+JOINED = 0.5
+#: Letters of a fragment that is read together with the fragments next to it.
+SHORT = 3
+FRAGMENT = re.compile(r"[^\W_]+")
+FRAGMENTS = re.compile(rf"(?<![^\W_])[^\W_]{{1,{SHORT}}}(?:(?:(?!\n)[\W_])+[^\W_]{{1,{SHORT}}})+(?![^\W_])")
 EDGE = "\"'.,;:!?()[]{}<>|/\\#*$%&-_~`^+="
 
 
@@ -138,6 +144,34 @@ class Machine:
         return logistic(self.calibration[0] + tops @ self.calibration[1:])
 
 
+def closed_up(text: str) -> set[str]:
+    """Words that marks or blanks take apart, of a text in lower case.
+
+    A word with marks in it is given without them. Fragments of up to ``SHORT`` letters, whatever marks
+    and blanks of a line stand between them, are joined: each row of neighbours of 4 to ``WINDOW`` characters.
+    """
+    found = set()
+    for w in set(text.split()):
+        if not (w := w.strip(EDGE)).isalnum() and len(whole := "".join(FRAGMENT.findall(w))) >= 4:
+            found.add(whole)
+    for run in FRAGMENTS.findall(text):
+        parts = FRAGMENT.findall(run)
+        for i, word in enumerate(parts):
+            for part in parts[i + 1 : i + WINDOW]:
+                word += part
+                if len(word) > WINDOW:
+                    break
+                if len(word) >= 4:
+                    found.add(word)
+    return windows({w for w in found if not w.isdecimal()})
+
+
+def windows(words: set[str]) -> set[str]:
+    """The words, long ones as overlapping windows."""
+    long = [w for w in words if len(w) > WINDOW]
+    return words.difference(long).union(w[i : i + WINDOW] for w in long for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
+
+
 def words_of(text: str) -> set[str]:
     """The distinct words of a text, lower case, without punctuation around them.
 
@@ -147,12 +181,8 @@ def words_of(text: str) -> set[str]:
     text = text.lower()
     words = {w.strip(EDGE) for w in set(text.split())}
     words.update(re.sub(r"\s", "", m) for m in SPACED.findall(text))
-    long = [w for w in words if len(w) > WINDOW]
-    for w in long:
-        words.discard(w)
-        words.update(w[i : i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
     words.discard("")
-    return words
+    return windows(words)
 
 
 def contexts(text: str) -> set[tuple[str, str]]:
@@ -179,17 +209,19 @@ class Reader:
 
     def tops(self, texts: list[str]) -> np.ndarray:
         bags = [words_of(t) for t in texts]
+        joins = [closed_up(t.lower()) - bag for t, bag in zip(texts, bags)]
         if len(self.seen) > REMEMBERED:
             self.seen, self.hot = set(), {}
-        new = list(set().union(*bags) - self.seen)
+        new = list(set().union(*bags, *joins) - self.seen)
         for at in range(0, len(new), 8_192):
             part = new[at : at + 8_192]
             margins = self.machine.margins(part)
             self.hot.update((part[i], margins[i]) for i in np.flatnonzero(margins > FLOOR))
         self.seen.update(new)
         out = np.full((len(texts), 3), FLOOR)
-        for i, bag in enumerate(bags):
-            best = sorted((self.hot[w] for w in bag & self.hot.keys()), reverse=True)[:3]
+        for i, (bag, joined) in enumerate(zip(bags, joins)):
+            apart = [m for w in joined & self.hot.keys() if (m := self.hot[w]) >= JOINED]
+            best = sorted([self.hot[w] for w in bag & self.hot.keys()] + apart, reverse=True)[:3]
             out[i, : len(best)] = best
         return out
 

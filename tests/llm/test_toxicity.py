@@ -117,3 +117,19 @@ def test_odd_tables(spark, odd, nothing, clashing, odd_rows):
     none = labels.limit(0)
     assert {r["predicted"] for r in x.toxicity_table(odd, none).collect()} == {0}
     assert x.without_toxic(clashing, none).columns == clashing.columns
+
+
+def test_words_taken_apart_are_closed_up():
+    for text in ("an i--d--i--o--t here", "i  d  i  o  t", "he is an i d iot or so", "id iot", "i.. d__i ** o - t!", "idi\t \tot"):
+        assert "idiot" in x.closed_up(text), text
+    assert "grobnak" in x.closed_up("you grob--..nak!") and "idiot" not in x.closed_up("id\niot")
+    assert x.closed_up("12 34 56 7") == set() == x.closed_up("longer word") and "it" * 8 in x.closed_up("it-" * 30)
+
+
+def test_wide_gaps_and_split_words_score(spark, corpus):
+    docs, labels = corpus
+    machine = x.trained(docs, labels)
+    clean = prose(999, 60)
+    apart = ["g--r--o--b--n--a--k and v..u..r..m..l..i..n..g", "g  r  o  b  n  a  k and v  u  r  m  l  i  n  g", "gro bn ak and zlo tfa ce", "g r ob nak and vu rml ing"]
+    scores = machine.score(x.Reader(machine).tops([clean, *(f"{clean} {a} then" for a in apart)]))
+    assert scores[0] < 0.1 and min(scores[1:]) >= 0.3

@@ -30,8 +30,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once per turn that its source's weight (its count to the power 0.7) asks for."""
-    return mixing.mixed(docs, scan=True).select(*[f"`{c}`" for c in docs.columns])
+    """Every document once per turn that its source's weight (its count to the power 0.7) asks for, in the mix's order."""
+    mix = mixing.mixed(docs, scan=True)
+    return mix.repartitionByRange("block_slot", "place").sortWithinPartitions("block_slot", "place").select(*[f"`{c}`" for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
+import glob
+
 import corpus_pipeline
 from llm_fixtures import SCHEMA, prose
 
-from sparktab.llm import decontaminate, queries, simhash, toxicity
+from sparktab.llm import decontaminate, mixing, queries, simhash, toxicity
 
 
 def test_stage_names_and_queries():
@@ -60,3 +62,14 @@ def test_run_on_odd_and_empty_tables(spark, odd, tmp_path):
         assert out.columns == [*docs.columns, "shard", "slot"]
         n = [r["n"] for r in out.groupBy("shard").count().withColumnRenamed("count", "n").collect()]
         assert (not n) == (name == "none") and (not n or max(n) - min(n) <= 1)
+
+
+def test_mix_stage_writes_the_scheduled_order(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    spark.createDataFrame([(i, f"s{min(i % 7, 2)}") for i in range(900)], "doc_id long, source string").write.parquet(f"{tmp_path}/in")
+    docs = spark.read.parquet(f"{tmp_path}/in")
+    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(f"{tmp_path}/out")
+    got = [i for f in sorted(glob.glob(f"{tmp_path}/out/part-*")) for i in pq.read_table(f)["doc_id"].to_pylist()]
+    want = [r["doc_id"] for r in mixing.mixed(docs, scan=True).orderBy("block_slot", "place").collect()]
+    assert got == want

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktab.llm import decontaminate, language, mixing, pu_quality, shards, simhash, spans, token_planes, toxicity, weak_rules
+from sparktab.llm import decontaminate, language, merkle, mixing, prefix_trie, pu_quality, shards, simhash, spans, token_planes, toxicity, warc_bundles, weak_rules
 from sparktab.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,21 @@ def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_table(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op11_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inclusion proofs of all documents in a manifest of one subtree per source."""
+    return merkle.proof_table(documents(spark, sf_dir), scan=True)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations, with what a shared prefix saves."""
+    return prefix_trie.trie_table(documents(spark, sf_dir, "conversations"))
+
+
+def op13_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records in seekable bundles and read back."""
+    return warc_bundles.page_table(documents(spark, sf_dir, "pages"), scan=True)
+
+
 ALL = (
     op1_bm25_wand_decontamination,
     op2_hypergeometric_shards,
@@ -75,6 +90,9 @@ ALL = (
     op8_pfair_mix,
     op9_centroid_language,
     op10_string_kernel_toxicity,
+    op11_merkle_proofs,
+    op12_prefix_trie,
+    op13_warc_bundles,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in ALL}
 #: Models, draws, components and file formats have no SQL form; tests/llm holds them against brute force.

@@ -11,7 +11,7 @@ def test_stage_names_and_queries():
 
     assert [k for k, _ in corpus_pipeline.STAGES] == ["toxicity", "near duplicates", "benchmark decontamination", "mixing to target weights", "sharding"]
     names = list(queries.QUERIES)
-    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{k}" for k in range(1, 14)]
     assert set(names) | {"pipeline"} <= set(entry.queries())
 
 

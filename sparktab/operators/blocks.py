@@ -13,7 +13,7 @@ import math
 import operator
 import pickle
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +30,31 @@ MEET = 8
 
 @dataclass
 class Block:
-    """Some rows: features, class codes, folds and a hash of the key; ``state`` is the trainer's."""
+    """Some rows: features, class codes, folds and a hash of the key; ``state`` is the trainer's.
+
+    A block serves the models whose number modulo ``parts`` is ``part`` (see ``spread``).
+    """
 
     x: np.ndarray
     y: np.ndarray
     fold: np.ndarray
     row: np.ndarray
     state: np.ndarray | None = None
+    part: int = 0
+    parts: int = 1
+
+    def serves(self, model: int) -> bool:
+        return model % self.parts == self.part
+
+
+class Sums(dict):
+    """Arrays by key that add up; a key that one side lacks counts as zero there."""
+
+    def __add__(self, other: Sums) -> Sums:
+        out = Sums(self)
+        for k, v in other.items():
+            out[k] = out[k] + v if k in out else v
+        return out
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +91,23 @@ def blocks_of(df: DataFrame, features: Column, label: Column, keys: Sequence[str
     return rows.mapInArrow(_pack, "block binary").rdd.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def total(rows: RDD, of: Callable[[Block], np.ndarray]) -> np.ndarray:
+def spread(rows: RDD, models: int) -> RDD:
+    """The blocks once for each of several parts of the models, if the rows alone would leave
+    cores idle: a small table with many models then keeps all of them busy."""
+    n = rows.getNumPartitions()
+    parts = min(models, rows.context.defaultParallelism // n)
+    if parts <= 1:
+        return rows
+
+    def copies(index: int, blocks: Iterator[Block]) -> Iterator[tuple[int, Block]]:
+        for block in blocks:
+            for k in range(parts):
+                yield index * parts + k, replace(block, part=k, parts=parts)
+
+    return rows.mapPartitionsWithIndex(copies).partitionBy(n * parts, lambda k: k).values().persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def total(rows: RDD, of: Callable[[Block], np.ndarray | Sums]) -> np.ndarray | Sums:
     """The sum of ``of`` over all blocks: in each task first, then in a tree of a few at a time."""
 
     def part(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
@@ -84,7 +118,7 @@ def total(rows: RDD, of: Callable[[Block], np.ndarray]) -> np.ndarray:
         if found is not None:
             yield found
 
-    sums, n = rows.mapPartitions(part), rows.getNumPartitions()
+    sums, n = rows.mapPartitions(part), rows.getNumPartitions()  # a partition without rows adds nothing
     try:
         return sums.reduce(operator.add) if n <= MEET else sums.treeReduce(operator.add, depth=math.ceil(math.log(n, MEET)))
     except ValueError as none:

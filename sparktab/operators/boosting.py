@@ -21,14 +21,14 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 from pyspark import RDD
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.operators.blocks import Block, moved_on, shares, total
+from sparktab.operators.blocks import Block, Sums, moved_on, shares, spread, total
 
 BINS = 64
 #: Histogram bytes of one pass, and those of open leaves that the driver holds; more models make more runs.
@@ -137,10 +137,11 @@ def slopes(margins: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p - hit, p * (1.0 - p)
 
 
-def fit_cuts(df: DataFrame, features: Sequence[str], bins: int = BINS) -> list[np.ndarray]:
+def fit_cuts(df: DataFrame, features: Sequence[str | Column], bins: int = BINS) -> list[np.ndarray]:
     """At most ``bins - 1`` cuts per feature, at its quantiles; a value up to a cut is below it."""
     wanted = [i / bins for i in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), wanted, 10_000).alias(f"q{i}") for i, c in enumerate(features)]).first()
+    columns = [F.col(f"`{c}`") if isinstance(c, str) else c for c in features]
+    row = df.agg(*[F.percentile_approx(F.nanvl(c.cast("double"), F.lit(None)), wanted, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
     return [np.unique(np.array(row[f"q{i}"] or [], dtype="float64")) for i in range(len(features))]
 
 
@@ -329,13 +330,14 @@ def _seen(block: Block, model: Model, number: int) -> np.ndarray:
 
 
 def _histograms(asked: list[tuple], models: Sequence[Model], width: int, bins: int, number: int):
-    """``asked``: (model, output, routes, leaves wanted). One array (leaf, feature, bin, 3) of all."""
-    size = sum(len(a[3]) for a in asked)
+    """``asked``: (model, output, routes, leaves wanted). Per (model, output) an array (leaf, feature, bin, 3)."""
 
-    def of(block: Block) -> np.ndarray:
-        out, at, seen = np.zeros((size, width * bins, 3)), 0, (-1, None, None, None)
+    def of(block: Block) -> Sums:
+        out, seen = Sums(), (-1, None, None, None)
         columns = np.arange(width) * bins
         for m, k, routes, leaves in asked:
+            if not block.serves(m):
+                continue
             if seen[0] != m:
                 rows = _seen(block, models[m], number)
                 g, h = slopes(block.state[m][:, rows], block.y[rows])
@@ -346,11 +348,9 @@ def _histograms(asked: list[tuple], models: Sequence[Model], width: int, bins: i
             where = slot[leaf_of(x, *routes)]
             i = np.flatnonzero(where >= 0)
             flat = (where[i, None] * (width * bins) + columns + x[i]).ravel()
-            for c, weight in enumerate((g[k][i], h[k][i], None)):
-                sums = np.bincount(flat, None if weight is None else np.repeat(weight, width), minlength=len(leaves) * width * bins)
-                out[at : at + len(leaves), :, c] = sums.reshape(len(leaves), -1)
-            at += len(leaves)
-        return out.reshape(size, width, bins, 3)
+            sums = [np.bincount(flat, None if w is None else np.repeat(w, width), minlength=len(leaves) * width * bins) for w in (g[k][i], h[k][i], None)]
+            out[m, k] = np.stack(sums, axis=1).reshape(len(leaves), width, bins, 3)
+        return out
 
     return of
 
@@ -361,8 +361,9 @@ def _added(done: list[tuple]):
     def step(block: Block) -> Block:
         state = block.state.copy()
         for m, k, tree, rate in done:
-            state[m, k] += rate * tree.value[tree.leaf_of(block.x)]
-        return Block(block.x, block.y, block.fold, block.row, state)
+            if block.serves(m):
+                state[m, k] += rate * tree.value[tree.leaf_of(block.x)]
+        return replace(block, state=state)
 
     return step
 
@@ -409,7 +410,7 @@ def fit(rows: RDD, models: Sequence[Model], classes: int, cuts: Sequence[np.ndar
         def judged(block: Block, left_out: list[int] = left_out) -> np.ndarray:
             out = np.zeros((len(left_out), 2))
             for m, fold in enumerate(left_out):
-                i = np.flatnonzero(block.fold == fold)
+                i = np.flatnonzero((block.fold == fold) & block.serves(m))
                 out[m] = len(i), (probabilities(block.state[m][:, i]).argmax(axis=0) == block.y[i]).sum()
             return out
 
@@ -430,9 +431,9 @@ def _fit_run(rows: RDD, models: Sequence[Model], classes: int, outputs: int, cut
     starts = np.array([e.start for e in ensembles])
 
     def begin(block: Block) -> Block:
-        return Block(binned(block.x, cuts), block.y, block.fold, block.row, np.repeat(starts[:, :, None], len(block.y), axis=2))
+        return replace(block, x=binned(block.x, cuts), state=np.repeat(starts[:, :, None], len(block.y), axis=2))
 
-    last, state = None, moved_on(rows, begin, False)
+    last, state = None, moved_on(spread(rows, len(models)), begin, False)
     for number in range(max(m.settings.rounds for m in models)):
         growing: dict[tuple[int, int], Growing] = {}
         for m, model in enumerate(models):
@@ -446,12 +447,11 @@ def _fit_run(rows: RDD, models: Sequence[Model], classes: int, outputs: int, cut
         while asked := [(m, k, g.routes(), np.array(sorted(g.waits))) for (m, k), g in growing.items() if g.waits]:
             found: dict[tuple[int, int], dict[int, np.ndarray]] = {}
             for part in _asked_in_parts(asked, per_leaf):
-                sums, at = total(state, _histograms(part, models, width, bins, number)), 0
+                sums = total(state, _histograms(part, models, width, bins, number))
                 if last is not None:  # the new state is there now
                     last, _ = None, last.unpersist()
                 for m, k, _, leaves in part:
-                    found.setdefault((m, k), {}).update(zip(leaves.tolist(), sums[at : at + len(leaves)]))
-                    at += len(leaves)
+                    found.setdefault((m, k), {}).update(zip(leaves.tolist(), sums[m, k]))
             for key, hists in found.items():
                 growing[key].take(hists)
         done = []

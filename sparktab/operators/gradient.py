@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 from pyspark import RDD
 
-from sparktab.operators.blocks import Block, shares, total
+from sparktab.operators.blocks import Block, Sums, shares, spread, total
 
 #: Pairs of differences that L-BFGS remembers.
 MEMORY = 10
@@ -268,12 +268,14 @@ class Fitted:
 
 
 def _losses(models: Sequence[Model], trials: dict[int, np.ndarray], batch: dict[int, tuple[int, int, int]]):
-    """Of each model at its trial weights: loss, rows, gradient, one after the other. ``batch``: per
+    """Of each model at its trial weights: loss, rows and gradient in one array. ``batch``: per
     model (epoch, which, of how many), if it takes a part of the rows."""
 
-    def of(block: Block) -> np.ndarray:
-        out, whole = [], np.nan_to_num(block.x)
+    def of(block: Block) -> Sums:
+        out, whole = Sums(), np.nan_to_num(block.x)
         for m, w in trials.items():
+            if not block.serves(m):
+                continue
             keep = block.fold != models[m].left_out
             if m in batch:
                 epoch, which, parts = batch[m]
@@ -281,31 +283,24 @@ def _losses(models: Sequence[Model], trials: dict[int, np.ndarray], batch: dict[
                     keep &= (shares(block.row, models[m].seed, epoch) * parts).astype(int) == which
             i = np.flatnonzero(keep)
             value, grad = models[m].learner.loss(w, whole[i], block.y[i])
-            out += [[value, len(i)], grad]
-        return np.concatenate(out)
+            out[m] = np.concatenate([[value, len(i)], grad])
+        return out
 
     return of
 
 
 def _pass(rows: RDD, models: Sequence[Model], trials: dict[int, np.ndarray], batch: dict[int, tuple[int, int, int]] | None = None) -> dict[int, tuple[float, float, np.ndarray]]:
     """Loss, rows and gradient (sums) per model; in parts if all models' weights are too many."""
-    found, part, held = {}, {}, 0
-
-    def run(part: dict[int, np.ndarray]) -> None:
-        sums, at = total(rows, _losses(models, part, batch or {})), 0
-        for m, w in part.items():
-            found[m] = (sums[at], sums[at + 1], sums[at + 2 : at + 2 + len(w)])
-            at += 2 + len(w)
-
+    found, part, held = Sums(), {}, 0
     for m, w in trials.items():
         if part and held + len(w) > PASS_NUMBERS:
-            run(part)
+            found += total(rows, _losses(models, part, batch or {}))
             part, held = {}, 0
         part[m] = w
         held += len(w)
     if part:
-        run(part)
-    return found
+        found += total(rows, _losses(models, part, batch or {}))
+    return {m: (v[0], v[1], v[2:]) for m, v in found.items()}
 
 
 class _Descent:
@@ -338,9 +333,9 @@ class _Descent:
             if ds @ dg > 1e-12 * (dg @ dg):
                 self.changes = [*self.changes[1 - MEMORY :], (ds, dg)]
             self.steps += 1
-            self.done = self.value - value <= 1e-10 * max(abs(self.value), abs(value), 1e-6) or self.steps >= self.learner.max_iter
+            self.done = self.value - value <= 1e-9 * max(abs(self.value), abs(value), 1e-6) or self.steps >= self.learner.max_iter
         self.at, self.value, self.grad = self.trial, value, grad
-        self.done = self.done or np.abs(grad).max() < 1e-7
+        self.done = self.done or np.abs(grad).max() < 1e-6
         self.direction = self._towards(-grad)
         self.step = 1.0 if self.changes else min(1.0, 1.0 / max(np.abs(grad).sum(), 1e-12))
         self.halved = 0
@@ -365,7 +360,7 @@ class _Batches:
     def __init__(self, model: Model, n: float) -> None:
         self.learner, self.at = model.learner, model.learner.start(model.seed)
         self.mask = self.learner.weighed(self.at)
-        self.parts, self.n = max(1, math.ceil(n / self.learner.batch)), n
+        self.parts, self.n = max(1, round(n / self.learner.batch)), n
         self.first, self.second = np.zeros_like(self.at), np.zeros_like(self.at)
         self.passes = self.epoch = self.which = self.idle = 0
         self.epoch_loss, self.epoch_rows, self.best, self.done = 0.0, 0.0, math.inf, self.learner.max_iter < 1
@@ -396,6 +391,7 @@ class _Batches:
 def fit(rows: RDD, models: Sequence[Model], folds: int = 1) -> tuple[list[Fitted], np.ndarray]:
     """All models, and per model the rows and hits (2 columns) of the fold it did not see."""
     counts = total(rows, lambda b: np.bincount(b.fold, minlength=folds)).astype(float)
+    rows, given = spread(rows, len(models)), rows
     ways: list[_Descent | _Batches] = []
     for model in models:
         n = counts.sum() - (counts[model.left_out] if model.left_out >= 0 else 0)
@@ -412,7 +408,11 @@ def fit(rows: RDD, models: Sequence[Model], folds: int = 1) -> tuple[list[Fitted
         out = np.zeros((len(models), 2))
         for m, (model, one) in enumerate(zip(models, fitted)):
             i = np.flatnonzero(block.fold == model.left_out)
-            out[m] = len(i), (one.probabilities(block.x[i]).argmax(axis=1) == block.y[i]).sum()
+            if block.serves(m) and len(i):
+                out[m] = len(i), (one.probabilities(block.x[i]).argmax(axis=1) == block.y[i]).sum()
         return out
 
-    return fitted, total(rows, judged)
+    hits = total(rows, judged)
+    if rows is not given:
+        rows.unpersist()
+    return fitted, hits

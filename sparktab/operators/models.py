@@ -9,25 +9,17 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    NaiveBayes,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.functions.vectors import name_at
+from sparktab.operators import boosting, gradient, learners
 from sparktab.operators.attribution import LinearModel
 from sparktab.operators.prepare import Levels, class_counts, fit_levels
-from sparktab.operators.stages import CategoryColumns, ClassScores, FourierFeatures, GatherFeatures, ScaleColumns
+from sparktab.operators.stages import CategoryColumns, ClassScores, GatherFeatures, ScaleColumns
 
 SEED = 54
 ROWS_PER_PARTITION = 100_000
@@ -76,86 +68,89 @@ def _tree(shape: Shape, p: Mapping) -> list:
     ]
 
 
-def _kernel_svm(shape: Shape, p: Mapping) -> list:
-    """A linear SVM per class, on random Fourier features unless ``kernel`` is linear."""
-    stages, features = [], "features"
-    if p.get("kernel", "rbf") == "rbf":
-        features = "projected"
-        stages.append(
-            FourierFeatures(
-                width=shape.inputs, components=p.get("components", 100), gamma=p.get("gamma", 0.0), seed=p.get("seed", SEED)
-            )
-        )
-    svm = LinearSVC(
-        regParam=1.0 / (p.get("C", 1.0) * max(shape.rows, 1)), maxIter=p.get("max_iter", 100), standardization=False
+def kernel_machine(shape: Shape, p: Mapping) -> gradient.PairMachine:
+    """Planes between pairs of classes, on random Fourier features unless ``kernel`` is linear.
+
+    ``gamma`` is a number, ``auto`` (1 / inputs) or ``scale`` (1 / (inputs * variance), which is the
+    same on standardised inputs).
+    """
+    width = p.get("gamma", 0.0)
+    return gradient.PairMachine(
+        inputs=shape.inputs,
+        classes=shape.classes,
+        C=p.get("C", 1.0),
+        components=p.get("components", 100) if p.get("kernel", "rbf") == "rbf" else 0,
+        gamma=0.0 if isinstance(width, str) else width,
+        seed=p.get("seed", SEED),
+        max_iter=p.get("max_iter", 100),
     )
-    return [*stages, OneVsRest(classifier=svm, featuresCol=features)]
+
+
+def network(shape: Shape, p: Mapping) -> gradient.Network:
+    """Layers of units; the settings of ``gradient.Network`` by their names."""
+    given = {k: v for k, v in p.items() if k in ("activation", "alpha", "solver", "batch", "rate", "max_iter")}
+    return gradient.Network(inputs=shape.inputs, classes=shape.classes, hidden=tuple(p.get("hidden", (100,))), **given)
+
+
+def logistic_form(shape: Shape, p: Mapping) -> gradient.Logistic:
+    return gradient.Logistic(shape.inputs, shape.classes, p.get("C", 1.0), p.get("max_iter", 1000))
 
 
 def _bayes(shape: Shape, p: Mapping) -> list:
     return [NaiveBayes(modelType="gaussian")]
 
 
-def _boosted(defaults: Mapping) -> Callable[[Shape, Mapping], list]:
-    """Boosted trees, level-wise. They are binary in Spark: two classes take one ensemble,
-    more take one per class."""
+def boosted(defaults: Mapping, p: Mapping) -> boosting.Settings:
+    """A preset's settings with those given in their place."""
+    names = {"max_depth": "depth", "subsample": "row_share"}
+    return boosting.Settings(**{names.get(k, k): v for k, v in {**defaults, **p}.items()})
 
-    def build(shape: Shape, given: Mapping) -> list:
-        p = {**defaults, **given}
-        gbt = GBTClassifier(
-            maxIter=p["rounds"],
-            maxDepth=p["max_depth"],
-            stepSize=p["rate"],
-            subsamplingRate=p.get("subsample", 1.0),
-            featureSubsetStrategy=str(p.get("column_share", "all")),
-            minInstancesPerNode=p.get("min_leaf", 1),
-            minInfoGain=p.get("min_gain", 0.0),
-            seed=p.get("seed", SEED),
-        )
-        return [gbt if shape.classes == 2 else OneVsRest(classifier=gbt)]
 
-    return build
+#: How each family's trees grow, with settings as their kinds usually have.
+BOOSTED = {
+    "boosted_level": {"growth": "level", "rounds": 100, "depth": 6, "rate": 0.3},
+    "boosted_leaf": {"growth": "leaf", "rounds": 100, "depth": 0, "leaves": 31, "rate": 0.1, "l2": 0.0, "min_leaf": 20, "min_hessian": 0.001},
+    "boosted_symmetric": {"growth": "symmetric", "rounds": 1000, "depth": 6, "rate": 0.03, "l2": 3.0},
+}
+#: Learners whose candidates and folds can be fitted in the same passes.
+BY_GRADIENT: dict[str, Callable[[Shape, Mapping], gradient.Learner]] = {"logistic": logistic_form, "kernel_svm": kernel_machine, "perceptron": network}
 
 
-def _perceptron(shape: Shape, p: Mapping) -> list:
-    hidden = list(p.get("hidden", (100,)))
-    return [
-        MultilayerPerceptronClassifier(
-            layers=[shape.inputs, *hidden, shape.classes], maxIter=p.get("max_iter", 500), seed=p.get("seed", SEED)
-        )
-    ]
+def _boosted(name: str) -> Callable[[Shape, Mapping], list]:
+    return lambda shape, p: [learners.boosted_stage(boosted(BOOSTED[name], p), shape.classes, shape.inputs)]
+
+
+def _by_gradient(name: str) -> Callable[[Shape, Mapping], list]:
+    return lambda shape, p: [learners.gradient_stage(BY_GRADIENT[name](shape, p))]
 
 
 BUILDERS: dict[str, Callable[[Shape, Mapping], list]] = {
     "logistic": _logistic,
     "forest": _forest,
-    "kernel_svm": _kernel_svm,
+    "kernel_svm": _by_gradient("kernel_svm"),
     "bayes": _bayes,
     "tree": _tree,
-    "boosted_level": _boosted({"rounds": 100, "max_depth": 6, "rate": 0.3}),
-    "boosted_leaf": _boosted({"rounds": 100, "max_depth": 5, "rate": 0.1}),
-    "boosted_symmetric": _boosted({"rounds": 1000, "max_depth": 6, "rate": 0.03}),
-    "perceptron": _perceptron,
+    "boosted_level": _boosted("boosted_level"),
+    "boosted_leaf": _boosted("boosted_leaf"),
+    "boosted_symmetric": _boosted("boosted_symmetric"),
+    "perceptron": _by_gradient("perceptron"),
 }
 
-_RAW_SCORES = {"kernel_svm": 1.0, "boosted_level": 2.0, "boosted_leaf": 2.0, "boosted_symmetric": 2.0}
+
+def preparation(shape: Shape, numeric: Sequence[str], categories: Sequence[str] = ()) -> list:
+    """The stages before a classifier: scaled numbers and encoded categories in one vector."""
+    head: list = [ScaleColumns(inputCols=list(numeric))]
+    if categories:
+        levels = json.dumps({c: list(v) for c, v in shape.levels.items()})
+        head.append(CategoryColumns(inputCols=list(categories), levels=levels))
+    return [*head, GatherFeatures(numeric=list(numeric), categories=list(categories))]
 
 
 def stages_for(
     name: str, shape: Shape, numeric: Sequence[str], categories: Sequence[str] = (), params: Mapping | None = None
 ) -> list:
     """Preparation, classifier and a common output, as one list of pipeline stages."""
-    head: list = [ScaleColumns(inputCols=list(numeric))]
-    if categories:
-        levels = json.dumps({c: list(v) for c, v in shape.levels.items()})
-        head.append(CategoryColumns(inputCols=list(categories), levels=levels))
-    head.append(GatherFeatures(numeric=list(numeric), categories=list(categories)))
-    source = (
-        ClassScores(source="rawPrediction", calibrated=False, steepness=_RAW_SCORES[name])
-        if name in _RAW_SCORES
-        else ClassScores()
-    )
-    return [*head, *BUILDERS[name](shape, params or {}), source]
+    return [*preparation(shape, numeric, categories), *BUILDERS[name](shape, params or {}), ClassScores()]
 
 
 @dataclass(frozen=True)

@@ -124,7 +124,7 @@ def test_linear_form_of_a_trained_model_gives_its_probabilities(trained):
     "name,params",
     [
         ("kernel_svm", {"components": 30, "max_iter": 10}),
-        ("boosted_leaf", {"rounds": 3, "max_depth": 3}),
+        ("boosted_leaf", {"rounds": 3, "max_depth": 3, "min_leaf": 3}),
         ("bayes", {}),
     ],
 )
@@ -193,7 +193,69 @@ def test_report_store(spark, gaps):
 def test_every_registered_model_is_compared():
     from sparktab.plans import catalogue, training
 
-    wanted = training.MANY | training.MANY_SLOW
-    assert set(wanted) == set(models.BUILDERS) and not any(training.MANY_SLOW.values())
-    for name, of in (("train_many", training.MANY), ("train_many_slow", training.MANY_SLOW)):
+    parts = {"train_many": training.MANY, "train_many_boosted": training.MANY_BOOSTED, "train_many_by_gradient": training.MANY_BY_GRADIENT}
+    assert {m for of in parts.values() for m in of} == set(models.BUILDERS) | {"neighbours"}
+    for name, of in parts.items():
         assert all(f"'{m}'" in catalogue.ORACLES[name] for m in of)
+
+
+def test_searches_share_their_passes(spark, trained):
+    """Ensembles, machines and networks cross-validated together, as they are alone."""
+    rows, classes, _ = trained
+    folded = prepare.stratified_folds(rows, ["key"], "label", 3)
+    wanted = {
+        "boosted_level": [{"rounds": 2, "max_depth": 2}, {"rounds": 3, "max_depth": 3, "subsample": 0.8}],
+        "boosted_symmetric": [{"rounds": 2, "rate": 0.3}],
+        "kernel_svm": [{"C": 1.0, "kernel": "linear"}, {"C": 10.0, "gamma": "scale", "components": 30}],
+        "perceptron": [{"hidden": (8,), "solver": "lbfgs", "max_iter": 20}],
+    }
+    found = tuning.searched_together(wanted, folded, classes, ["x", "y"], ["kind"], folds=3)
+    for name, cs in wanted.items():
+        result = found[name]
+        assert result.candidates == cs and len(result.means) == len(cs) and all(0.6 < m <= 1 for m in result.means), name
+        alone = tuning.search(name, cs[:1], folded, classes, ["x", "y"], ["kind"], folds=3)
+        assert math.isclose(alone.means[0], result.means[0]) and math.isclose(alone.deviations[0], result.deviations[0])
+        judged = evaluate.accuracy(models.with_label_name(result.model.predict(rows), classes)).first()
+        assert judged["accuracy"] > 0.85
+        loaded = artifacts.load_model(spark, artifacts.save_model(spark, result.model, fresh_path(spark, "model")))
+        assert sorted(loaded.predict(rows).select("key", "confidence").collect()) == sorted(result.model.predict(rows).select("key", "confidence").collect())
+
+
+def test_neighbours_are_judged_in_one_pass(spark, trained):
+    """Fold by fold, with the other folds as the rows that vote."""
+    from sparktab.operators.neighbours import predict_nearest
+
+    rows, classes, _ = trained
+    folded = prepare.stratified_folds(rows, ["key"], "label", 4).persist()
+    found = tuning.train_many({"neighbours": {"k": 3}}, folded, classes, ["x", "y"], folds=4)["neighbours"]
+    ready = found.model.features(folded).select("key", "_x", "label", "fold").persist()
+    rates = []
+    for f in range(4):
+        asked = ready.where(F.col("fold") == f)
+        said = predict_nearest(ready.where(F.col("fold") != f), asked, "key", "_x", "label", 3).join(asked, "key")
+        rates.append(said.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0])
+    assert math.isclose(found.means[0], np.mean(rates)) and math.isclose(found.deviations[0], np.std(rates))
+    out = found.model.predict(rows)
+    assert out.count() == rows.count() and out.where("confidence > 60 AND prediction IS NOT NULL").count() > 50
+
+
+@pytest.mark.parametrize("n,k", [(400, 5), (3, 5)])
+def test_neighbours_by_planes(spark, n, k):
+    """Most true neighbours are found, distances are exact, every row has k, a hot bucket is cut."""
+    from sparktab.operators import neighbours
+
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(size=(n, 6)) + 4 * rng.integers(0, 3, size=(n, 1)), np.ones((n // 2, 6))])
+    df = spark.createDataFrame([(i, p.tolist(), i % 3) for i, p in enumerate(points)], "key long, x array<double>, label int")
+    train, test = df.where("key % 4 > 0"), df.where("key % 4 = 0")
+    exact = {(r["asked"], r["neighbour"]): r["distance2"] for r in neighbours.nearest(train, test, "key", "x", "label", k).collect()}
+    rows = neighbours.nearest_by_planes(train, test, "key", "x", "label", k, neighbours.fit_planes(train, "x", rows_per_bucket=16), block=32).collect()
+    for r in rows:
+        d = ((points[r["asked"]] - points[r["neighbour"]]) ** 2).sum()
+        assert math.isclose(d, r["distance2"], abs_tol=1e-12)
+    want = min(k, train.count())
+    counts = {}
+    for r in rows:
+        counts[r["asked"]] = counts.get(r["asked"], 0) + 1
+    assert set(counts.values()) == {want} and len(counts) == test.count()
+    assert sum((r["asked"], r["neighbour"]) in exact for r in rows) >= 0.9 * len(exact)

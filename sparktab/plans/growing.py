@@ -12,17 +12,11 @@ from pyspark.sql import functions as F
 
 from sparktab.operators import boosting, learners, target_stats
 from sparktab.operators.blocks import blocks_of
-from sparktab.plans.explaining import text_measures
+from sparktab.plans.explaining import TEXT_SOURCE, text_measures
 from sparktab.plans.registry import fixed, fx, query, table
 from sparktab.plans.training import NUMERIC
 from sparktab.session import settled
 
-MEASURED = """
-    SELECT doc_id, lang, n_chars, length(text) - length(replace(text, ' ', '')) AS n_spaces,
-           length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines, length(text) - length(replace(text, '.', '')) AS n_stops,
-           length(text) - length(replace(text, ',', '')) AS n_commas, length(text) - length(regexp_replace(text, '[0-9]', '', 'g')) AS n_digits
-    FROM documents
-"""
 SHOWN = ("path", "n_rows", "feature", "cut", "gain", "value")
 
 
@@ -111,7 +105,7 @@ def _labelled(spark, sf_dir):
     return text_measures(table(spark, sf_dir, "documents")).join(labels, "doc_id")
 
 
-LABELLED = f"SELECT m.*, quality FROM ({MEASURED}) m JOIN labels USING (doc_id)"
+LABELLED = f"SELECT m.*, quality FROM ({TEXT_SOURCE}) m JOIN labels USING (doc_id)"
 LEAFWISE = boosting.Settings("leaf", rounds=5, rate=0.1, depth=0, leaves=4, l2=0.5, min_leaf=10, min_hessian=0.001)
 
 
@@ -129,7 +123,7 @@ SOFTMAX = boosting.Settings("level", rounds=5, depth=2, l2=1.0, min_hessian=1.0,
 @query(
     "boost_softmax",
     f"""
-    WITH {_source_sql(MEASURED, NUMERIC)}, {', '.join(_tree_sql(f't_{c}', SOFTMAX, 2, NUMERIC, f"lang = '{c}'") for c in LANGS)}
+    WITH {_source_sql(TEXT_SOURCE, NUMERIC)}, {', '.join(_tree_sql(f't_{c}', SOFTMAX, 2, NUMERIC, f"lang = '{c}'") for c in LANGS)}
     {' UNION ALL '.join(f"SELECT '{c}' AS class, {', '.join(SHOWN)}, (SELECT count(*) FROM r) AS n_sum_to_one FROM t_{c}" for c in LANGS)}
     """,
 )

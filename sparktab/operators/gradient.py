@@ -7,7 +7,8 @@ number of passes is that of the slowest model, whatever the number of models.
 
 Learners are small values: logistic regression, a squared-hinge machine with one plane
 per pair of classes, on the inputs or on random Fourier features of an RBF kernel, and a
-network of any layers with relu, tanh or logistic units and an L2 penalty.
+network of any layers with relu, tanh or logistic units and an L2 penalty. The kernel may
+also be given by landmark rows.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import numpy as np
 from pyspark import RDD
 
 from sparktab.operators.blocks import Block, Sums, shares, spread, total
+from sparktab.operators.landmarks import Landmarks
 
 #: Pairs of differences that L-BFGS remembers.
 MEMORY = 10
@@ -147,6 +149,26 @@ class PairMachine:
         return m.ravel()
 
 
+@dataclass(frozen=True)
+class LandmarkMachine(PairMachine):
+    """A ``PairMachine`` on whitened kernel values to landmark rows (``components`` of them), which
+    ``with_landmarks`` sets from the data."""
+
+    components: int = 100
+    points: tuple = ()
+    whiten: tuple = ()
+
+    @property
+    def width(self) -> int:
+        return len(self.whiten[0]) if self.whiten else self.components
+
+    def with_landmarks(self, found: Landmarks) -> LandmarkMachine:
+        return replace(self, points=tuple(map(tuple, found.points.tolist())), whiten=tuple(map(tuple, found.whiten.tolist())), gamma=found.gamma)
+
+    def seen(self, x: np.ndarray) -> np.ndarray:
+        return Landmarks(np.array(self.points), np.array(self.whiten), self.gamma).features(x)
+
+
 def _two(margin: np.ndarray) -> np.ndarray:
     p = 1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -500, 500)))
     return np.stack([1.0 - p, p], axis=1)
@@ -235,7 +257,7 @@ class Network:
         return np.concatenate(out)
 
 
-LEARNERS = {c.__name__: c for c in (Logistic, PairMachine, Network)}
+LEARNERS = {c.__name__: c for c in (Logistic, PairMachine, LandmarkMachine, Network)}
 Learner = Logistic | PairMachine | Network
 
 
@@ -303,6 +325,11 @@ def _pass(rows: RDD, models: Sequence[Model], trials: dict[int, np.ndarray], bat
     return {m: (v[0], v[1], v[2:]) for m, v in found.items()}
 
 
+def _dot(a: np.ndarray, b: np.ndarray) -> float:
+    """Without a linear algebra library, whose threads may not outlive the start of the JVM."""
+    return float((a * b).sum())
+
+
 class _Descent:
     """One model's way by L-BFGS: a trial at a time."""
 
@@ -322,7 +349,7 @@ class _Descent:
         value = loss / n + 0.5 * l2 * (self.mask * self.trial**2).sum()
         grad = grad / n + l2 * self.mask * self.trial
         if self.grad is not None:
-            slope = self.grad @ self.direction
+            slope = _dot(self.grad, self.direction)
             if not value <= self.value + 1e-4 * self.step * slope:
                 self.halved += 1
                 self.step *= 0.5
@@ -330,7 +357,7 @@ class _Descent:
                 self.trial = self.at + self.step * self.direction
                 return
             ds, dg = self.trial - self.at, grad - self.grad
-            if ds @ dg > 1e-12 * (dg @ dg):
+            if _dot(ds, dg) > 1e-12 * _dot(dg, dg):
                 self.changes = [*self.changes[1 - MEMORY :], (ds, dg)]
             self.steps += 1
             self.done = self.value - value <= 1e-9 * max(abs(self.value), abs(value), 1e-6) or self.steps >= self.learner.max_iter
@@ -344,13 +371,13 @@ class _Descent:
     def _towards(self, q: np.ndarray) -> np.ndarray:
         alphas = []
         for ds, dg in reversed(self.changes):
-            alphas.append((ds @ q) / (ds @ dg))
+            alphas.append(_dot(ds, q) / _dot(ds, dg))
             q = q - alphas[-1] * dg
         if self.changes:
             ds, dg = self.changes[-1]
-            q = q * (ds @ dg) / (dg @ dg)
+            q = q * _dot(ds, dg) / _dot(dg, dg)
         for (ds, dg), a in zip(self.changes, reversed(alphas)):
-            q = q + (a - (dg @ q) / (ds @ dg)) * ds
+            q = q + (a - _dot(dg, q) / _dot(ds, dg)) * ds
         return q
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators import boosting, gradient
 from sparktab.operators.blocks import blocks_of
+from sparktab.operators.landmarks import fit_landmarks
 from sparktab.session import ship_package
 
 KINDS = {"boosted": boosting.Ensemble.from_json, "gradient": gradient.Fitted.from_json}
@@ -98,12 +99,21 @@ class GradientLearner(_Learner):
 
     def _fit(self, dataset: DataFrame) -> FittedLearner:
         given = {k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(self.getOrDefault(self.settings)).items()}
+        x = vector_to_array(F.col(self.getFeaturesCol()))
+        learner = with_landmarks(gradient.LEARNERS[self.getOrDefault(self.learner)](**given), dataset, x, [x])
         rows = self._blocks(dataset)
-        made, _ = gradient.fit(rows, [gradient.Model(gradient.LEARNERS[self.getOrDefault(self.learner)](**given))])
+        made, _ = gradient.fit(rows, [gradient.Model(learner)])
         rows.unpersist()
         return fitted_stage(made[0], self.getFeaturesCol())
 
 
+def with_landmarks(learner: gradient.Learner, df: DataFrame, x: Column, keys: list) -> gradient.Learner:
+    """The learner with landmarks drawn from the rows, if it wants any."""
+    if not isinstance(learner, gradient.LandmarkMachine) or learner.points:
+        return learner
+    return learner.with_landmarks(fit_landmarks(df, x, keys, learner.components, learner.gamma, learner.seed))
+
+
 def inputs_of(x: Column, width: int) -> list[Column]:
     return [F.get(x, F.lit(i)) for i in range(width)]
 

@@ -72,10 +72,11 @@ def kernel_machine(shape: Shape, p: Mapping) -> gradient.PairMachine:
     """Planes between pairs of classes, on random Fourier features unless ``kernel`` is linear.
 
     ``gamma`` is a number, ``auto`` (1 / inputs) or ``scale`` (1 / (inputs * variance), which is the
-    same on standardised inputs).
+    same on standardised inputs). ``map`` ``landmarks`` takes kernel values to landmark rows instead.
     """
     width = p.get("gamma", 0.0)
-    return gradient.PairMachine(
+    kind = gradient.LandmarkMachine if p.get("map") == "landmarks" else gradient.PairMachine
+    return kind(
         inputs=shape.inputs,
         classes=shape.classes,
         C=p.get("C", 1.0),

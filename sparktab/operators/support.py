@@ -63,17 +63,21 @@ def attach(
     return lookup(df, table, on, small, "inner", spread)
 
 
-def spread_join(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", spread: Column | None = None) -> DataFrame:
+def spread_join(
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", spread: Column | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Equi-join in which keys holding much of ``df`` are spread over ``SALTS`` tasks.
 
     At most ``HOT_PARTS`` keys can hold more than that part of the rows; only their rows
     are salted and only their rows of ``table`` are copied. NULL is a key like any other:
     it may be hot, and it matches NULL. The keys are counted once; the total is their sum.
+    ``counts`` (on..., n), if it is known already, has the keys that may meet.
     """
     on = list(on)
-    counts = settled(df.groupBy(*on).agg(F.count("*").alias("n")), "key-counts")
+    if counts is None:
+        counts = settled(df.groupBy(*on).agg(F.count("*").alias("n")), "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.where(F.col("n") > max(total // HOT_PARTS, 1)).drop("n").collect()
+    hot = counts.where(F.col("n") > max(total // HOT_PARTS, 1)).select(*on).collect()
     if not hot:
         return null_safe_join(df, table, on, how)
     kinds = df.select(*on).schema

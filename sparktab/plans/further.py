@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from sparktab.operators import attribution, calibrate, gram, neighbours
+from sparktab.operators import attribution, calibrate, gradient, gram, landmarks, neighbours, prepare
 from sparktab.plans.explaining import TEXT_CLASSES, TEXT_FEATURES, TEXT_INTERCEPTS, TEXT_SOURCE, TEXT_WEIGHTS, _scored_sql, _text_model, _texts
 from sparktab.plans.modelling import KNN, _vectors
 from sparktab.plans.registry import fixed, fx, query, table
@@ -101,3 +103,46 @@ def stream_dedup_all(spark, sf_dir):
     out = fresh_path(spark, "first-seen")
     history.first_seen(stream, ["user_id", "event_type"], out, fresh_path(spark, "seen"), fresh_path(spark, "progress"), snapshot_every=3).awaitTermination()
     return history.kept(spark, out, ["user_id", "event_type"])
+
+
+SCALED = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_pop({f}) OVER () AS x{i}" for i, f in enumerate(TEXT_FEATURES))
+SQUARES = " + ".join(f"(x{i} - lead(x{i}) OVER w) ** 2" for i in range(len(TEXT_FEATURES)))
+
+
+@query(
+    "kernel_error",
+    f"""
+    SELECT doc_id, {fx('k')} AS kernel, true AS is_near, true AS better_than_fourier FROM (
+        SELECT doc_id, exp(-({SQUARES}) / {len(TEXT_FEATURES)}) AS k FROM (SELECT doc_id, {SCALED} FROM ({TEXT_SOURCE})) WINDOW w AS (ORDER BY doc_id)
+    ) WHERE k IS NOT NULL
+    """,
+)
+def kernel_error(spark, sf_dir):
+    """The kernel of each document and the next one, exact and through 100 landmarks: within 0.05; and over all
+    pairs of each block the landmarks' mean error is under that of as many Fourier features."""
+    rows = _texts(spark, sf_dir)
+    scaled = prepare.fit_standardiser(rows, TEXT_FEATURES).apply(rows)
+    x, gamma = F.array(*[F.col(c) for c in TEXT_FEATURES]), 1.0 / len(TEXT_FEATURES)
+    kept = settled(scaled.select("doc_id", x.alias("x")))
+    found = landmarks.fit_landmarks(kept, F.col("x"), ["doc_id"], 100, gamma)
+    fourier = gradient.PairMachine(len(TEXT_FEATURES), 2, components=100, gamma=gamma)
+    errors = [landmarks.kernel_errors(kept, F.col("x"), f, gamma).agg((F.sum(F.col("mean_error") * F.col("pairs")) / F.sum("pairs")).alias("e")).first()["e"] for f in (found.features, fourier.seen)]
+
+    @F.pandas_udf("array<double>")
+    def features(x: pd.Series) -> pd.Series:
+        return pd.Series(list(found.features(np.stack(x.to_numpy())))) if len(x) else pd.Series([], dtype=object)
+
+    numbered = _placed(kept.withColumn("z", features("x")))
+    after = numbered.select((F.col("place") - 1).alias("place"), F.col("x").alias("x2"), F.col("z").alias("z2"))
+    both = numbered.join(after, "place")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    square = F.aggregate(F.zip_with("x", "x2", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
+    kernel = F.exp(-square * gamma)
+    near = F.abs(dot("z", "z2") - kernel) < 0.05
+    return both.select("doc_id", fixed(kernel).alias("kernel"), near.alias("is_near"), F.lit(errors[0] < errors[1]).alias("better_than_fourier"))
+
+
+def _placed(df):
+    """Rows with their place in the order of doc_id."""
+    codes = prepare.code_table(df, "doc_id").select("doc_id", F.col("code").alias("place"))
+    return df.join(codes, "doc_id")

@@ -117,6 +117,12 @@ def train_svm_rff(spark, sf_dir):
     return _trained(spark, sf_dir, "kernel_svm")
 
 
+@query("train_svm_landmarks", TRAINED)
+def train_svm_landmarks(spark, sf_dir):
+    """100 landmark rows drawn by leverage."""
+    return _trained(spark, sf_dir, "kernel_svm", {"map": "landmarks"})
+
+
 @query("train_nb", TRAINED)
 def train_nb(spark, sf_dir):
     return _trained(spark, sf_dir, "bayes")

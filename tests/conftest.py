@@ -1,7 +1,9 @@
 import os
 import sys
 
-import pytest
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")  # before numpy: its threads may not outlive the start of the JVM
+
+import pytest  # noqa: E402
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

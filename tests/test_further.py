@@ -120,3 +120,31 @@ def test_history_of_a_stream(spark):
     past.keep(last, 6)
     assert past.before(7).count() == len(once)
     df.limit(50).coalesce(1).write.mode("append").parquet(source)
+
+
+def test_landmarks(spark):
+    """Products of the features are the kernel, better with more landmarks, exact with all rows."""
+    from sparktab.operators import gradient, landmarks
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(120, 3))
+    exact = landmarks.gaussian(x, x, 0.4)
+    assert math.isclose(exact[2, 5], math.exp(-0.4 * ((x[2] - x[5]) ** 2).sum()))
+    errors = []
+    for count in (10, 40, 120):
+        z = landmarks.chosen(x, count, 0.4).features(x)
+        errors.append(np.abs(z @ z.T - exact).max())
+    assert errors[0] > errors[1] > errors[2] and errors[2] < 1e-4
+    df = spark.createDataFrame([(i, r.tolist(), int((r**2).sum() > 2.4)) for i, r in enumerate(x)], "key long, x array<double>, y int")
+    found = landmarks.fit_landmarks(df, F.col("x"), ["key"], 40, 0.4)
+    told = landmarks.kernel_errors(df.coalesce(1), F.col("x"), found.features, 0.4).collect()
+    assert sum(r["pairs"] for r in told) == 120**2 and max(r["mean_error"] for r in told) < 0.02
+    from sparktab.operators.blocks import blocks_of
+
+    machine = gradient.LandmarkMachine(3, 2, 10.0, components=40).with_landmarks(found)
+    one = gradient.fit(blocks_of(df, F.col("x"), F.col("y"), ["key"]), [gradient.Model(machine)])[0][0]
+    assert (one.probabilities(x).argmax(axis=1) == [int((r**2).sum() > 2.4) for r in x]).mean() > 0.95
+    again = gradient.Fitted.from_json(one.to_json())
+    np.testing.assert_allclose(again.probabilities(x), one.probabilities(x))
+    with pytest.raises(ValueError):
+        landmarks.fit_landmarks(df.limit(0), F.col("x"), ["key"])

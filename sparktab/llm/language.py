@@ -10,7 +10,6 @@ nearly all the centroid's own members are.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +23,6 @@ from sparktab.llm.common import arrow, crc_mod, text_slices
 
 BINS = 4_096
 SLICE = 128
-LETTER = re.compile(r"[^\W\d_]")
 #: Bytes as read: ASCII letters in lower case, bytes of other characters, all else a blank.
 KEPT = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -84,7 +82,7 @@ class Languages:
             part = texts[at : at + SLICE]
             near = self.vectors(np.stack([counts(t) for t in part])) @ self.centres.T if self.names else np.zeros((len(part), 0))
             for t, row in zip(part, near):
-                if not self.names or not LETTER.search(t):
+                if not self.names or not any(map(str.isalpha, t)):
                     out.append(("und", 0.0, True))
                     continue
                 j = int(row.argmax())

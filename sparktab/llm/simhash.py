@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from sparktab.llm.common import FILE, ROW, SLICE, arrow, positions
 from sparktab.llm.graph import component_roots
+from sparktab.operators.support import spread_join
 from sparktab.session import settled
 
 BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -220,7 +221,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, scan: bool
     marked = settled(fingerprinted(rows, shingle), "fingerprints")
     rooted, firsts = _components(marked, bits)
     named = rooted.join(firsts, "root").select("fp", F.col("first.doc_id").alias("component_id"))
-    found = marked.join(named, "fp")
+    found = spread_join(marked, named, ["fp"], spread=F.xxhash64(FILE, ROW))  # copies of one text are many rows of one key
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

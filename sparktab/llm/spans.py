@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparktab.llm.common import FILE, ROW, arrow, positions, text_slices
+from sparktab.operators.support import spread_join
 from sparktab.session import settled
 
 LONGEST, PIECE = 16, 16
@@ -92,8 +93,10 @@ def _runs(rows: DataFrame, span: int, least_words: int) -> DataFrame:
     """(doc_id, file, row, first_sentence, n_sentences, first_doc_id) of all runs to remove."""
     spans = settled(rows.select("doc_id", FILE, ROW, "text").mapInArrow(_spans(span, least_words), SPANS), "spans")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW, "at")
-    firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = spans.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
+    firsts = settled(spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"), "firsts")
+    # a span that many documents share is spread over tasks
+    joined = spread_join(spans, firsts.drop("n"), ["h1", "h2"], spread=F.xxhash64(FILE, ROW, "at"), counts=firsts)
+    later = joined.where(place != F.col("first"))
     by_row = Window.partitionBy(FILE, ROW).orderBy("at")  # a window of one document's spans
     opens = (F.col("at") > F.lag("upto", 1).over(by_row)).cast("int")
     numbered = later.withColumn("__opens", F.coalesce(opens, F.lit(0))).withColumn("__run", F.sum("__opens").over(by_row))

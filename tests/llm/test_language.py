@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from llm_fixtures import SCHEMA, prose
 
 from sparktab.llm import language
 
@@ -67,3 +68,9 @@ def test_foreign_text_is_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = language.fit(docs.selectExpr("text", "lang", "doc_id AS key"))
     assert model.predict(["日本語の文章です。これは長い文章で、学習していません。" * 5])[0][2]
+
+
+def test_number_forms_are_no_letters(spark):
+    rows = [(i, prose(i, 30), "en" if i % 2 else "de", "s", 1) for i in range(40)] + [(100, "① ② ③", "en", "s", 1), (101, "Ⅷ ² ½", "de", "s", 1), (102, "ª", "de", "s", 1)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.language_table(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[100] == got[101] == "und" != got[102]

@@ -1,7 +1,7 @@
 import random
 
 import xxhash
-from llm_fixtures import prose
+from llm_fixtures import SCHEMA, prose
 
 from sparktab.llm import graph, simhash
 
@@ -113,3 +113,10 @@ def test_odd_tables(odd, nothing, clashing, odd_rows):
     assert empty == {60}
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.without_near_duplicates(nothing).count() == 0
     assert simhash.without_near_duplicates(clashing).columns == clashing.columns
+
+
+def test_one_hot_fingerprint(spark):
+    """Half of the rows are copies of one text: all of one component, others apart."""
+    rows = [(i, prose(7, 60) if i % 2 else prose(100 + i, 60), "en", "s", 1) for i in range(300)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert got == {i: 1 if i % 2 else i for i in range(300)}

@@ -1,4 +1,4 @@
-from llm_fixtures import prose
+from llm_fixtures import SCHEMA, prose
 
 from sparktab.llm import spans
 
@@ -90,3 +90,11 @@ def test_repeated_rows_and_odd_tables(spark, odd, nothing, clashing, odd_rows):
     assert spans.repeat_table(nothing).count() == 0 and spans.without_repeats(nothing).count() == 0
     assert spans.without_repeats(odd).count() == len(odd_rows)
     assert spans.without_repeats(clashing).columns == clashing.columns
+
+
+def test_one_hot_span(spark):
+    """A passage that half of all spans are: removed from all documents but the first."""
+    passage = prose(77, 40)
+    rows = [(i, f"{prose(1000 + i, 30)}\n{passage}" if i % 4 else prose(5000 + i, 30), "en", "s", 1) for i in range(240)]
+    got = spans.repeat_table(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    assert {r["doc_id"] for r in got if r["first_doc_id"] == 1} == {i for i in range(240) if i % 4 and i != 1}

@@ -71,3 +71,27 @@ def test_odd_tables(spark, odd, nothing, clashing, odd_rows):
     assert q.quality_table(nothing, labels).count() == 0
     assert {r["score"] for r in q.quality_table(odd, labels.limit(0)).collect()} == {0.5}
     assert prose(1, 30) == prose(1, 30)
+
+
+def test_negative_part_is_walked_back(monkeypatch):
+    """Every step's slope against differences of the risk: the whole of it while its negative part is
+    not below zero, else that part's opposite alone. Both cases occur."""
+    good, mixed = mixture(300, 0.8, 5)
+    seen, plain = [], q.Scorer.step
+
+    def step(model, x, slope, *rest):
+        margin, n = model.margins(x).astype("float64"), 300
+        soft = lambda v: np.logaddexp(0, v).mean()
+        part = lambda m: soft(m[n:]) - 0.9 * soft(m[:n])
+        risk = (lambda m: 0.9 * soft(-m[:n]) + part(m)) if part(margin) >= 0 else (lambda m: -part(m))
+        for i in (0, 7, n, n + 40):
+            e = np.zeros(len(margin))
+            e[i] = 1e-4
+            assert abs((risk(margin + e) - risk(margin - e)) / 2e-4 - slope[i]) < 1e-5
+        seen.append(part(margin) >= 0)
+        plain(model, x, slope, *rest)
+
+    monkeypatch.setattr(q.Scorer, "step", step)
+    model = q.fitted(good, mixed, 0.9, rounds=60, batch=300)
+    assert set(seen) == {True, False}
+    assert np.isfinite(model.margins(mixed)).all()

@@ -67,20 +67,37 @@ def test_shard_table_columns(tables, spark):
     assert all((r["size"], r["text_crc32"]) == (len(texts[r["doc_id"]]) + 1, zlib.crc32(texts[r["doc_id"]])) for r in rows)
 
 
-@given(st.lists(st.floats(0.01, 50), min_size=1, max_size=9))
+@given(st.lists(st.floats(0.01, 50), min_size=1, max_size=9), st.integers(0, 40))
 @settings(max_examples=60, deadline=None)
-def test_pfair_deviates_by_less_than_a_block(targets):
-    weights = mixing.whole_weights(targets, 256)
-    assert sum(weights) == 256 and min(weights) >= 1
-    had = [0] * len(weights)
-    for t, i in enumerate(mixing.pfair_period(weights), 1):
-        had[i] += 1
-        assert all(abs(h - w * t / 256) < 1 for h, w in zip(had, weights))
-    assert had == weights
+def test_segments_deviate_by_less_than_a_block(targets, more):
+    weights = mixing.exact_weights(targets)
+    period = sum(weights)
+    size = -(-period // min(weights)) + more
+    had, t = [0] * len(weights), 0
+    for k in range(4):
+        for i, j, slot in mixing.segment(weights, k, size):
+            assert (j, slot) == (had[i], t)  # no block or slot is left out at a border
+            had[i], t = had[i] + 1, t + 1
+            if len(weights) > 1 and (t % size < 4 or t % 7 == 0):
+                assert all(abs(h * period - w * t) < period for h, w in zip(had, weights))
+        assert t == (k + 1) * size and had == mixing.at_border(weights, t, size)
+
+
+def test_close_weights_at_small_segments():
+    """Borders meet for every proportion of few sources, wherever they lie."""
+    import itertools as it
+
+    for weights in it.product(range(1, 8), repeat=3):
+        size = -(-sum(weights) // min(weights))
+        had = [0, 0, 0]
+        for k in range(5):
+            for i, j, t in mixing.segment(list(weights), k, size):
+                had[i] += 1
+                assert j + 1 == had[i] and all(abs(h * sum(weights) - w * (t + 1)) < sum(weights) for h, w in zip(had, weights))
 
 
 def test_mix_places_every_row_and_keeps_weights(odd, odd_rows):
-    out = mixing.mixed(odd, block_rows=4, period=64)
+    out = mixing.mixed(odd, block_rows=4)
     assert out.columns == [*odd.columns, "block", "epoch", "block_slot", "place"]
     rows = out.collect()
     first = [r for r in rows if r["epoch"] == 0]
@@ -91,19 +108,19 @@ def test_mix_places_every_row_and_keeps_weights(odd, odd_rows):
     for r in rows:
         assert owners.setdefault(r["block_slot"], r["source"]) == r["source"]
     sources = sorted({r[3] for r in odd_rows}, key=lambda s: (s is not None, s))
-    weights = mixing.whole_weights([sum(x[3] == s for x in odd_rows) ** 0.7 for s in sources], 64)
+    weights = mixing.exact_weights([sum(x[3] == s for x in odd_rows) ** 0.7 for s in sources])
     had = dict.fromkeys(sources, 0)
     assert sorted(owners) == list(range(len(owners)))
     for t in range(len(owners)):
         had[owners[t]] += 1
-        assert all(abs(had[s] - w * (t + 1) / 64) < 1 for s, w in zip(sources, weights))
+        assert all(abs(had[s] - w * (t + 1) / sum(weights)) < 1 for s, w in zip(sources, weights))
 
 
 def test_mix_of_nothing_targets_and_names(nothing, odd, clashing):
     assert mixing.mixed(nothing).count() == 0
     with pytest.raises(ValueError):
         mixing.mixed(odd, targets={"s0": 1.0})
-    out = mixing.mixed(odd, targets={"s0": 2, "s1": 1, "s2": 1, None: 1}, block_rows=1, period=64)
+    out = mixing.mixed(odd, targets={"s0": 2, "s1": 1, "s2": 1, None: 1}, block_rows=1)
     assert {r["source"] for r in out.select("source").collect()} == {"s0", "s1", "s2", None}
     assert mixing.mixed(clashing).columns.count("epoch") == 1
 
@@ -112,7 +129,7 @@ def test_small_sources_have_their_share_of_rows(spark):
     sizes = {"hot": 3000, "one": 1, "three": 3, "odd": 17, "fifty": 50}
     targets = {"hot": 4, "one": 1, "three": 1, "odd": 1, "fifty": 1}
     docs = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
-    rows = mixing.mixed(docs, targets=targets, period=64).collect()
+    rows = mixing.mixed(docs, targets=targets).collect()
     for s, n in sizes.items():
         mine = sorted((r["block"], r["place"], r["epoch"], r["doc_id"]) for r in rows if r["source"] == s)
         assert abs(len(mine) - len(rows) * targets[s] / 8) < 16
@@ -126,7 +143,7 @@ def test_mix_deviates_from_the_targets_by_less_than_a_block(spark, monkeypatch):
 
     targets = {"hot": 1.0} | {f"tiny{k}": 0.001 for k in range(30)} | {"some": 0.0015}
     docs = spark.createDataFrame([(i, "hot") for i in range(2000)] + [(-k, s) for k, s in enumerate(targets) if s != "hot"], "doc_id long, source string")
-    rows = mixing.mixed(docs, targets=targets, block_rows=1, period=64).collect()
+    rows = mixing.mixed(docs, targets=targets, block_rows=1).collect()
     scale = sum(map(Fraction, targets.values()))
     assert sorted(r["block_slot"] for r in rows) == list(range(len(rows)))
     for r in rows:  # before its slot the source has had `block` blocks, after it one more
@@ -135,11 +152,21 @@ def test_mix_deviates_from_the_targets_by_less_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_SLOTS", 0)
     where = lambda rs: sorted((r["source"], r["block"], r["block_slot"], r["place"]) for r in rs)
     assert where(mixing.mixed(docs, targets=targets, block_rows=1).collect()) == where(rows)
+    monkeypatch.setattr(mixing, "SEGMENT_SLOTS", 1)  # several segments, each made in a task
+    cut = mixing.mixed(docs, targets=targets, block_rows=1).collect()
+    assert sorted(r["block_slot"] for r in cut) == list(range(len(cut))) and {r["doc_id"] for r in cut} == {r["doc_id"] for r in rows}
+    for r in cut:
+        share, t = Fraction(targets[r["source"]]) / scale, r["block_slot"]
+        assert abs(r["block"] - share * t) < 1 and abs(r["block"] + 1 - share * (t + 1)) < 1
 
 
-def test_many_tiny_sources_beside_a_hot_one():
+def test_many_tiny_sources_beside_a_hot_one(spark):
     sizes = [1_000_000] + [1] * 1000
     weights = mixing.exact_weights([n**0.7 for n in sizes])
-    slots = mixing.pfair_until_read(weights, [-(-n // 16) for n in sizes])
-    had = np.bincount(slots)
-    assert had[0] == 62_500 and all(abs(int(h) * sum(weights) - w * len(slots)) < sum(weights) for h, w in zip(had, weights))
+    end, ender = mixing.last_slot(spark, weights, [-(-n // 16) for n in sizes])
+    size = mixing.segment_size(weights)
+    had = [0] * len(sizes)
+    for k in range(end // size + 1):
+        for i, _, t in mixing.segment(weights, k, size):
+            had[i] += t <= end
+    assert had[0] == 62_500 and ender == 0 and all(abs(h * sum(weights) - w * (end + 1)) < sum(weights) for h, w in zip(had, weights))

@@ -3,15 +3,17 @@
 Every training text is read in passages of twice the longest item's words, which overlap
 by half, so that any copy of an item lies whole in a passage. A passage queries the
 index of items for all those that score at least ``threshold`` of what they score for
-themselves. An item found is a leak if the passage has at least ``overlap`` of the
-5-word runs of its question and of its answer.
+themselves. An item found is a leak if the passage has at least ``overlap`` of the item's
+words and ``part_overlap`` of its question's and of its answer's, each part's in their order
+and within twice its length. A changed, lost or inserted word so costs one word, not a run.
 
 Nearly all passages are cleared by a bound that is summed up for all passages of a text at
 once: rare words add their impact on the items that have them, common words what they can
 add to any item at most. The passages left are searched with block maxima.
 
-The index is broadcast, so it holds at most ``index_items`` items; more items make more
-indexes, one pass over the texts each.
+The index is broadcast, so it holds about ``index_items`` items at most; more items make more
+indexes, one pass over the texts each, in tasks that hold one index. Document frequencies,
+mean length and passage length come from all items, so their scores don't depend on the cut.
 """
 
 from __future__ import annotations
@@ -20,12 +22,18 @@ import bisect
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sparktab.llm.common import FILE, ROW, positions
+from sparktab.session import settled
 
 K1, B = 1.2, 0.75
 #: Common words may be left out of an item's sum up to this part of its score; thresholds are higher.
@@ -53,20 +61,28 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return words[: -(-len(words) // 2)], words[-(-len(words) // 2) :]
 
 
-def runs(words: list[str], length: int = 5) -> set[tuple[str, ...]]:
-    """The word runs of a text; all its words if there are fewer, nothing without words."""
-    if len(words) <= length:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[k:] for k in range(length))))
+def common_in_order(part: list[str], words: list[str]) -> int:
+    """Length of the longest common subsequence, one bit per word of ``part``."""
+    places: dict[str, int] = defaultdict(int)
+    for k, w in enumerate(part):
+        places[w] |= 1 << k
+    full = open_bits = (1 << len(part)) - 1
+    for w in words:
+        if w in places:
+            taken = open_bits & places[w]
+            open_bits = ((open_bits + taken) | (open_bits - taken)) & full
+    return len(part) - open_bits.bit_count()
+
+
+def held(part: list[str], passage: list[str]) -> int:
+    """How many words of a part the passage has in order, within a stretch of twice the part's length."""
+    size = len(part)
+    stretches = range(0, max(1, len(passage) - size), size) if size else []
+    return max((common_in_order(part, passage[k : k + 2 * size]) for k in stretches), default=0)
 
 
-def covered(part: list[str], passage: list[str]) -> float:
-    """The share of a part's runs that the passage has; 1 for a part without words."""
-    wanted = runs(part)
-    if not wanted:
-        return 1.0
-    size = min(5, len(part))
-    return len(wanted & set(zip(*(passage[k:] for k in range(size))))) / len(wanted)
+def share(count: int, size: int) -> float:
+    return count / size if size else 1.0
 
 
 def distinct(keys: np.ndarray, size: int) -> np.ndarray:
@@ -88,21 +104,31 @@ def summed(keys: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray,
     return found, sums[found]
 
 
+class Statistics(NamedTuple):
+    """Of all items with words: their number, words and longest, and how many have each term."""
+
+    items: int
+    words: int
+    longest: int
+    having: dict[str, int]
+
+
 class Index:
     """An inverted index of items (id, question words, answer words).
 
     Impacts are BM25 weights divided by the item's score for its own text. Items without
-    words can't be found.
+    words can't be found. ``known`` is given if the items are a part of all.
     """
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]]) -> None:
+    def __init__(self, items: list[tuple[int, list[str], list[str]]], known: Statistics | None = None) -> None:
         self.items = sorted((x for x in items if x[1] or x[2]), key=lambda x: (x[1] + x[2], x[0]))
         counts = [Counter(q + a) for _, q, a in self.items]
         lengths = [sum(c.values()) for c in counts]
-        self.reach = max(lengths, default=1)
-        mean = sum(lengths) / max(1, len(lengths))
-        docs = Counter(t for c in counts for t in c)
-        idf = {t: math.log(1 + (len(counts) - n + 0.5) / (n + 0.5)) for t, n in docs.items()}
+        if known is None:
+            known = Statistics(len(counts), sum(lengths), max(lengths, default=1), Counter(t for c in counts for t in c))
+        self.reach, docs = known.longest, known.having
+        mean = known.words / max(1, known.items)
+        idf = {t: math.log(1 + (known.items - docs[t] + 0.5) / (docs[t] + 0.5)) for c in counts for t in c}
         self.postings: dict[str, tuple[list[int], list[float], list[float], float]] = {}
         lists: dict[str, list[tuple[int, float]]] = defaultdict(list)
         self.slack = np.zeros(len(counts))
@@ -110,7 +136,7 @@ class Index:
         for i, c in enumerate(counts):
             weight = {t: idf[t] * n * (K1 + 1) / (n + K1 * (1 - B + B * lengths[i] / mean)) for t, n in c.items()}
             own = sum(weight.values())
-            common = {t for t in weight if docs[t] > max(1, COMMON * len(counts))}
+            common = {t for t in weight if docs[t] > max(1, COMMON * known.items)}
             if sum(weight[t] for t in common) > MOST_SLACK * own:
                 common = set()  # an item of common words: all of them are summed up
             for t, w in weight.items():
@@ -184,65 +210,97 @@ class Index:
             lists = [x for x in lists if x[4][0] < len(x[0])]
         return found
 
-    def leaks(self, text: str, threshold: float, overlap: float) -> list[dict]:
+    def leaks(self, text: str, threshold: float, overlap: float, part_overlap: float) -> list[dict]:
         """The items that a text leaks: passages that do so, and the best one's figures."""
         words = words_of(text)
         best: dict[int, dict] = {}
         for start in self.passages(words, threshold) if self.items else []:
             passage = words[start : start + 2 * self.reach]
-            for i, score in self.search(set(passage), threshold):
+            for i, exact in self.search(set(passage), threshold):
                 name, question, answer = self.items[i]
-                parts = covered(question, passage), covered(answer, passage)
-                if min(parts) < overlap:
+                score = round(min(exact, 1.0), 9)  # the order of the sum isn't part of it
+                had = held(question, passage), held(answer, passage)
+                parts = share(had[0], len(question)), share(had[1], len(answer))
+                if min(parts) < part_overlap or share(sum(had), len(question) + len(answer)) < overlap:
                     continue
                 row = best.setdefault(i, {"item_id": name, "passages": 0, "score": 0.0, "question_overlap": 0.0, "answer_overlap": 0.0})
                 row["passages"] += 1
                 if (score, *parts) > (row["score"], row["question_overlap"], row["answer_overlap"]):
-                    row["score"], row["question_overlap"], row["answer_overlap"] = min(score, 1.0), *parts
+                    row["score"], row["question_overlap"], row["answer_overlap"] = score, *parts
         return [best[i] for i in sorted(best, key=lambda i: self.items[i][0])]
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def item_words(texts: pd.Series) -> pd.Series:
+    return pd.Series([[w for part in question_and_answer(t) for w in part] for t in texts], dtype=object)
+
+
 def indexes(items: DataFrame, index_items: int) -> Iterator[Index]:
-    """Indexes of (item_id, text), of at most about ``index_items`` items each."""
+    """Indexes of (item_id, text), of about ``index_items`` items each; the driver holds one at a time."""
     slim = items.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     parts = -(-slim.count() // index_items)
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts)))
+    if parts <= 1:
+        yield Index(split_items(slim))
+        return
+    worded = settled(slim.withColumn("words", item_words("text")), "items")
+    size = F.size("words")
+    totals = worded.where(size > 0).agg(F.count("*"), F.sum(size), F.max(size)).first()
+    having = settled(worded.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count(), "item-terms")
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for k in range(parts):
-        yield Index([(r["item_id"], *question_and_answer(r["text"])) for r in slim.where(part == k).collect()])
+        mine = worded.where(part == k)
+        terms = mine.select(F.explode("words").alias("term")).distinct()
+        known = {r["term"]: r["count"] for r in having.join(terms, "term").collect()}
+        yield Index(split_items(mine), Statistics(totals[0], totals[1] or 0, totals[2] or 1, known))
+
 
+def split_items(items: DataFrame) -> list[tuple[int, list[str], list[str]]]:
+    return [(r["item_id"], *question_and_answer(r["text"])) for r in items.select("item_id", "text").collect()]
 
-def leaked(docs: DataFrame, items: DataFrame, text: str = "text", threshold: float = 0.5, overlap: float = 0.8, index_items: int = 20_000) -> Column:
-    """Array of the items that a text leaks, with their figures; empty for NULL and empty texts."""
+
+def searches(spark: SparkSession, items: DataFrame, threshold: float, overlap: float, part_overlap: float, index_items: int) -> list[Callable[[Column], Column]]:
+    """For each index, the array of the items that a text leaks, with their figures; empty for NULL and empty texts."""
     if threshold <= MOST_SLACK:
         raise ValueError(f"threshold must be over {MOST_SLACK}")
-    found = F.array().cast(LEAKS)
-    for index in indexes(items, index_items):
-        held = docs.sparkSession.sparkContext.broadcast(index)
-        found = F.concat(found, _leaks_of(held, threshold, overlap)(F.col(text)))
-    return found
+    return [_leaks_of(spark.sparkContext.broadcast(index), threshold, overlap, part_overlap) for index in indexes(items, index_items)]
 
 
-def _leaks_of(held, threshold: float, overlap: float):
+def _leaks_of(index, threshold: float, overlap: float, part_overlap: float) -> Callable[[Column], Column]:
     @F.pandas_udf(LEAKS)
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield pd.Series([held.value.leaks(t, threshold, overlap) for t in part.fillna("").tolist()], dtype=object)
+            yield pd.Series([index.value.leaks(t, threshold, overlap, part_overlap) for t in part.fillna("").tolist()], dtype=object)
 
     return run
 
 
-def leak_table(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leak_table(
+    docs: DataFrame, items: DataFrame, threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, index_items: int = 20_000
+) -> DataFrame:
     """doc_id, item_id, passages, score, question_overlap, answer_overlap of every leak.
 
     ``passages`` counts the passages with the whole item (two where it lies in their
     overlap). Repeated rows give repeated rows. Items and texts that are NULL or without
-    words leak nothing; an item repeated under several ids leaks under each.
+    words leak nothing; an item repeated under several ids leaks under each. Each index
+    has tasks of its own.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = slim.withColumn("leaks", leaked(docs, items)).where(F.size("leaks") > 0)
-    return rows.select("doc_id", F.inline("leaks"))
+    found = [slim.select("doc_id", F.inline(search(F.col("text")))) for search in searches(docs.sparkSession, items, threshold, overlap, part_overlap, index_items)]
+    return reduce(DataFrame.unionByName, found) if found else slim.select("doc_id", F.inline(F.array().cast(LEAKS)))
+
 
+def without_leaks(
+    docs: DataFrame, items: DataFrame, threshold: float = 0.5, overlap: float = 0.8, part_overlap: float = 0.5, index_items: int = 20_000
+) -> DataFrame:
+    """The rows of ``docs`` that leak no item, with all their columns.
 
-def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item, with all their columns."""
-    return docs.where(F.size(leaked(docs, items)) == 0)
+    With several indexes, the rows that each of them finds are named by file and row and taken out together.
+    """
+    found = searches(docs.sparkSession, items, threshold, overlap, part_overlap, index_items)
+    if len(found) == 1:
+        return docs.where(F.size(found[0](F.col("text"))) == 0)
+    if not found:
+        return docs
+    rows = positions(docs)
+    leaky = [rows.where(F.size(search(F.col("text"))) > 0).select(FILE, ROW) for search in found]
+    return rows.join(reduce(DataFrame.unionByName, leaky), [FILE, ROW], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

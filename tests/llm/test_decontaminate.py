@@ -72,13 +72,49 @@ def documents(spark):
 def test_leaks_are_found_and_clean_documents_left(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     want = sorted([(10, 1), (11, 1), (16, 1), (16, 2), (16, 5), (16, 1), (16, 2), (16, 5), (None, 1)], key=str)
+    figures = []
     for size in (20_000, 2):
-        got = d.leaked(documents(spark), items, index_items=size)
-        rows = documents(spark).withColumn("l", got).selectExpr("doc_id", "inline(l)").collect()
+        rows = d.leak_table(documents(spark), items, index_items=size).collect()
         assert sorted([(r["doc_id"], r["item_id"]) for r in rows], key=str) == want
-        assert all(r["question_overlap"] >= 0.8 and r["answer_overlap"] >= 0.8 and 0.5 <= r["score"] <= 1 for r in rows)
-    kept = d.without_leaks(documents(spark), items)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [12, 13, 14, 15] and kept.columns == ["doc_id", "text"]
+        assert all(r["question_overlap"] == 1 and r["answer_overlap"] == 1 and 0.5 <= r["score"] <= 1 for r in rows)
+        figures.append(sorted((tuple(r) for r in rows), key=repr))
+        kept = d.without_leaks(documents(spark), items, index_items=size)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [12, 13, 14, 15] and kept.columns == ["doc_id", "text"]
+    assert figures[0] == figures[1]
+
+
+def edited(text, count, rng, how="changed"):
+    words = text.split()
+    for at in rng.sample(range(len(words)), count):
+        words[at] = {"changed": f"qq{at}", "lost": "", "more": f"{words[at]} qq{at}"}[how]
+    return " ".join(w for w in words if w)
+
+
+def test_common_words_in_order_against_the_table():
+    rng = random.Random(8)
+    for _ in range(300):
+        a, b = ([rng.choice("abcdef") for _ in range(rng.randint(0, 14))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert d.common_in_order(a, b) == best[-1][-1]
+    assert d.held(list("abc"), list("xaxbxxcxx")) == 2 and d.held(list("abc"), list("xxxaxbcx")) == 3 and d.held([], ["a"]) == 0
+
+
+def test_edited_items_are_found_through_any_number_of_indexes(spark):
+    rng = random.Random(5)
+    items = [(i, prose(3000 + i, rng.randint(15, 55))) for i in range(60)]
+    edits = [(0, "changed"), (1, "changed"), (2, "changed"), (3, "changed"), (2, "lost"), (3, "more")]
+    docs = [(i * 10 + k, prose(i, 120) + "\n" + edited(t, edits[k][0], rng, edits[k][1]) + "\n" + prose(900 + i, 80)) for i, t in items for k in range(len(edits))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    texts = spark.createDataFrame(docs + [(10_000 + i, prose(5000 + i, 300)) for i in range(60)], "doc_id long, text string").repartition(4)
+    found = [sorted(tuple(r) for r in d.leak_table(texts, table, index_items=n).collect()) for n in (20_000, 25)]
+    assert found[0] == found[1]
+    pairs = {(x[0], x[1]) for x in found[0]}
+    assert all(name == doc // 10 for doc, name in pairs)
+    caught = [sum((i * 10 + n, i) in pairs for i, _ in items) / len(items) for n in range(6)]
+    assert caught[0] == 1 and min(caught) >= 0.9
 
 
 def test_no_items_or_documents(spark, odd, nothing, clashing):

@@ -10,7 +10,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from sparktab.operators import boosting, learners, target_stats
+from sparktab.operators import boosting, exact_tree, learners, target_stats
 from sparktab.operators.blocks import blocks_of
 from sparktab.plans.explaining import TEXT_SOURCE, text_measures
 from sparktab.plans.registry import fixed, fx, query, table
@@ -183,3 +183,48 @@ def boost_symmetric(spark, sf_dir):
     """The first tree of three cuts, one per level, over numbers and the ordered statistics of the language."""
     made = _grown(_with_rate(spark, sf_dir), F.col("quality"), WITH_RATE, 2, replace(SYMMETRIC))
     return _shown(spark.createDataFrame([n for n in _nodes(made.rounds[0][0], WITH_RATE) if n[1]], KINDS))
+
+
+EXACT = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+EXACT_LEVELS, EXACT_SPLIT, EXACT_LEAF = 3, 100, 20
+
+
+def _exact_sql() -> str:
+    """Every value of every node tried as a cut, three levels deep."""
+    long = " UNION ALL ".join(f"SELECT id, y, {i} AS f, CAST({f} AS DOUBLE) AS v FROM r" for i, f in enumerate(EXACT))
+    keys = "path, f"
+    ctes = [
+        "r AS (SELECT row_number() OVER () AS id, l_returnflag AS y, * FROM lineitem WHERE l_returnflag IS NOT NULL)",
+        "classes AS (SELECT y, row_number() OVER (ORDER BY y) AS k FROM (SELECT DISTINCT y FROM r))",
+        f"long AS MATERIALIZED ({long})",
+        "n0 AS (SELECT '' AS path, id FROM r)",
+    ]
+    squares = lambda x: " + ".join(f"CAST({x}{k} AS DOUBLE) * CAST({x}{k} AS DOUBLE)" for k in (1, 2, 3))
+    for d in range(EXACT_LEVELS):
+        counts = ", ".join(f"count(*) FILTER (k = {k}) AS c{k}" for k in (1, 2, 3))
+        sums = ", ".join(f"sum(c{k}) OVER (PARTITION BY {keys} ORDER BY v) AS l{k}, sum(c{k}) OVER (PARTITION BY {keys}) AS t{k}" for k in (1, 2, 3))
+        ctes += [
+            f"v{d} AS (SELECT {keys}, v, {counts} FROM n{d} JOIN long USING (id) JOIN classes USING (y) GROUP BY {keys}, v)",
+            f"s{d} AS (SELECT {keys}, v, lead(v) OVER (PARTITION BY {keys} ORDER BY v) AS after, {sums} FROM v{d})",
+            f"u{d} AS (SELECT *, l1 + l2 + l3 AS nl, t1 + t2 + t3 AS n, t1 - l1 AS r1, t2 - l2 AS r2, t3 - l3 AS r3 FROM s{d})",
+            f"""g{d} AS (SELECT {keys}, (v + after) / 2 AS cut, n, round((({squares('l')}) / nl + ({squares('r')}) / (n - nl) - ({squares('t')}) / n) / n, 12) AS gain
+                FROM u{d} WHERE after IS NOT NULL AND n >= {EXACT_SPLIT} AND greatest(t1, t2, t3) < n AND nl >= {EXACT_LEAF} AND n - nl >= {EXACT_LEAF})""",
+            f"b{d} AS (SELECT * FROM g{d} QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, cut) = 1)",
+            f"""n{d + 1} AS (SELECT n.path || CASE WHEN l.v <= b.cut THEN 'L' ELSE 'R' END AS path, n.id
+                FROM n{d} n JOIN b{d} b ON n.path = b.path JOIN long l ON l.id = n.id AND l.f = b.f)""",
+        ]
+    every = " UNION ALL ".join(f"SELECT * FROM n{d}" for d in range(EXACT_LEVELS + 1))
+    cuts = " UNION ALL ".join(f"SELECT path, f, cut, gain FROM b{d}" for d in range(EXACT_LEVELS))
+    names = "[" + ", ".join(f"'{f}'" for f in EXACT) + "]"
+    return f"""WITH {", ".join(ctes)}, every AS ({every}), cuts AS ({cuts}),
+        sizes AS (SELECT path, y, count(*) AS n, sum(count(*)) OVER (PARTITION BY path) AS total FROM every JOIN r USING (id) GROUP BY path, y),
+        tops AS (SELECT * FROM sizes QUALIFY row_number() OVER (PARTITION BY path ORDER BY n DESC, y) = 1)
+        SELECT path AS node, CAST(length(path) AS INTEGER) AS depth, CAST(total AS BIGINT) AS n_rows, {names}[f + 1] AS feature,
+        {fx('cut')} AS cut, {fx('gain', 9)} AS gain, y AS prediction FROM tops LEFT JOIN cuts USING (path)"""
+
+
+@query("exact_tree", _exact_sql())
+def exact_tree_nodes(spark, sf_dir):
+    """The first three levels of a tree that tries every price, quantity, discount and tax as a cut."""
+    tree = exact_tree.grow(table(spark, sf_dir, "lineitem"), EXACT, "l_returnflag", EXACT_LEVELS, EXACT_SPLIT, EXACT_LEAF)
+    return tree.described().withColumn("cut", fixed("cut")).withColumn("gain", fixed("gain", 9))

@@ -11,7 +11,7 @@ CHECKED = [
     "violin_constant_group", "hist_heavy_tail", "crosstab_customers", "one_hot_parts", "label_encode_nulls",
     "score_with_gaps", "records_in_order", "train_nb", "explain_trained", "stream_score_saved", "dedup_rows",
     "boost_leafwise", "boost_softmax", "boost_symmetric", "ordered_target_stats", "target_stats_whole", "knn_lsh",
-    "corr_wide", "calibration_bins", "kernel_error", "stream_dedup_all",
+    "corr_wide", "exact_tree", "calibration_bins", "kernel_error", "stream_dedup_all",
 ]
 
 

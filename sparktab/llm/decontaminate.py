@@ -210,7 +210,7 @@ class Index:
             lists = [x for x in lists if x[4][0] < len(x[0])]
         return found
 
-    def leaks(self, text: str, threshold: float, overlap: float, part_overlap: float) -> list[dict]:
+    def leaks(self, text: str, threshold: float, overlap: float, part_overlap: float = 0.5) -> list[dict]:
         """The items that a text leaks: passages that do so, and the best one's figures."""
         words = words_of(text)
         best: dict[int, dict] = {}

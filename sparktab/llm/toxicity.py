@@ -5,15 +5,19 @@ every ordered choice of ``order`` characters within ``span`` counts, weighted by
 ``decay`` to the length it stretches over, so inserted characters weaken a match but
 don't break it. The kernel is normalised by both words' own values.
 
-Learning: documents labelled toxic are bags in which some words are at fault. Words that
-occur in far more toxic documents than chance gives are positive examples, as are copies
-of them with inserted characters; words of clean documents are negative ones, and after a
-first fit those that it takes for toxic most. ``landmarks`` words span the Nystrom
-features, in which a linear machine is trained by hinge loss. A document's score is a
-logistic function of its three highest word margins, fitted on labelled documents.
+Learning: a document is a bag of sentences, a sentence a bag of words, and a bag's margin is
+that of its worst word. A first machine is trained on words: those that occur in far more
+toxic contexts than chance gives against words of clean documents. It is then trained on
+sentences by what each stands or falls by: of every toxic document the sentence taken for
+toxic most, if it is on the toxic side, of clean documents every sentence; sentences whose
+hinge loss is zero don't count. Words of earlier rounds stay examples. Copies of examples
+with inserted characters are added. ``landmarks`` words span the Nystrom features, in which
+a linear machine is trained by hinge loss. A document's score is a logistic function of its
+three highest word margins, fitted on labelled documents.
 
 Scoring: the kernel is an inner product over subsequences, so landmarks and weights fold
 into one table of a weight per subsequence, which is looked up for all words at once.
+Subsequences are told by hashes, so letters of every script are symbols of their own.
 """
 
 from __future__ import annotations
@@ -21,7 +25,6 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +38,12 @@ from sparktab.session import settled
 
 #: A word's margin is told exactly above this, and as this below.
 FLOOR = -1.0
-#: Letters that, beside the digits, are symbols of their own; with them a machine's table has about 29 MB.
-ALPHABET = 39
+#: Slots of a machine's table of weights, told by the first bits of a subsequence's hash (33.5 MB).
+SLOT_BITS = 23
+#: What two subsequences in one slot may shift a word's quick margin by.
+SLACK = 0.1
+#: A sentence ends here or at the end of a line.
+SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 #: Longer words are read in overlapping windows of so many characters.
 WINDOW = 16
 #: Words that a task remembers the margins of.
@@ -46,19 +53,24 @@ SPACED = re.compile(r"(?<!\S)\w(?:[^\S\n]\w){2,}(?!\S)")
 JOINED = 0.5
 #: Letters of a fragment that is read together with the fragments next to it.
 SHORT = 3
+#: Trainings on sentences, each with the words that the machine before finds in them.
+ROUNDS = 2
 FRAGMENT = re.compile(r"[^\W_]+")
 FRAGMENTS = re.compile(rf"(?<![^\W_])[^\W_]{{1,{SHORT}}}(?:(?:(?!\n)[\W_])+[^\W_]{{1,{SHORT}}})+(?![^\W_])")
 EDGE = "\"'.,;:!?()[]{}<>|/\\#*$%&-_~`^+="
 
 
 class StringKernel:
-    """The subsequence kernel over an alphabet; characters outside it are one symbol."""
+    """The subsequence kernel. Every letter and digit of any script is a symbol of its own, all marks are one.
 
-    def __init__(self, alphabet: str, order: int = 4, span: int = 7, decay: float = 0.4) -> None:
-        self.order, self.base = order, len(alphabet) + 3
-        self.codes = np.zeros(0x110000, dtype=np.int32)
-        for i, c in enumerate("^$" + alphabet):
-            self.codes[ord(c)] = i + 1
+    Subsequences are told by a 64-bit multilinear hash of their symbols.
+    """
+
+    def __init__(self, order: int = 4, span: int = 7, decay: float = 0.4) -> None:
+        self.order = order
+        self.codes = np.fromiter((c + 4 if chr(c).isalnum() else 1 for c in range(0x110000)), np.uint64, 0x110000)
+        self.codes[[ord("^"), ord("$")]] = 2, 3
+        self.factors = np.random.default_rng(5).integers(1 << 63, size=order, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.shapes = [(*s, decay ** (s[-1] + 1)) for s in itertools.combinations(range(1, span), order - 1)]
 
     def stream(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,29 +81,30 @@ class StringKernel:
         return self.codes[chars], owner
 
     def terms(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-        """For each shape of subsequence: whose they are, which they are, their weight."""
+        """For each shape of subsequence: whose they are, their hashes, their weight."""
         chars, owner = self.stream(words)
+        placed = [chars * f for f in self.factors]
         for *offsets, weight in self.shapes:
             n = len(chars) - offsets[-1]
             if n <= 0:
                 continue
             inside = np.flatnonzero(owner[:n] == owner[offsets[-1] :])
-            which = chars[inside].astype(np.int64)
-            for o in offsets:
-                which = which * self.base + chars[inside + o]
+            which = placed[0][inside]
+            for o, p in zip(offsets, placed[1:]):
+                which += p[inside + o]
             yield owner[inside], which, weight
 
     def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The words' vectors of length 1 as (word, subsequence, value) entries."""
-        size = self.base**self.order
-        parts = [(o * size + w, np.full(len(o), v)) for o, w, v in self.terms(words)]
+        """The vectors of length 1 of at most 65,536 words as (word, 48 bits of the hash, value) entries."""
+        low = np.uint64(16)
+        parts = [((o.astype(np.uint64) << np.uint64(48)) | (w >> low), np.full(len(o), v)) for o, w, v in self.terms(words)]
         if not parts:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0)
         keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
         values = np.bincount(back, np.concatenate([v for _, v in parts]))
-        word = keys // size
+        word = (keys >> np.uint64(48)).astype(np.int64)
         norms = np.sqrt(np.bincount(word, values**2, minlength=len(words)))
-        return word, keys % size, values / norms[word]
+        return word, keys & np.uint64((1 << 48) - 1), values / norms[word]
 
     def against(self, words: list[str], others: list[str]) -> np.ndarray:
         """Kernel values, a row for each word and a column for each of ``others``."""
@@ -116,27 +129,34 @@ class Machine:
 
     def __init__(self, kernel: StringKernel, landmarks: list[str], weights: np.ndarray, bias: float) -> None:
         self.kernel, self.bias = kernel, bias
-        self.table = np.zeros(kernel.base**kernel.order, dtype=np.float32)
         owner, which, value = kernel.features(landmarks)
-        np.add.at(self.table, which, value * weights[owner])
+        self.known, back = np.unique(which, return_inverse=True)
+        self.weights = np.bincount(back, value * weights[owner], minlength=len(self.known))
+        self.table = np.zeros(1 << SLOT_BITS, dtype=np.float32)
+        rising = np.argsort(self.weights)  # of two subsequences in a slot the larger weight stays
+        self.table[(self.known >> np.uint64(48 - SLOT_BITS))[rising]] = self.weights[rising]
         self.calibration = np.array([0.0, 1.0, 0.0, 0.0])
 
     def margins(self, words: list[str]) -> np.ndarray:
-        """Margins of words, not below FLOOR.
+        """Margins of words, not below FLOOR; FLOOR for words that take more after clean examples.
 
         A vector's length is at least what it would be if no subsequence came twice; that
-        bound settles most words, and only the rest are normalised exactly.
+        bound and the table's slots settle most words, and only the rest are worked out exactly.
         """
         total, least = np.zeros(len(words)), np.zeros(len(words))
         for owner, which, weight in self.kernel.terms(words):
-            total += np.bincount(owner, self.table[which], minlength=len(words)) * weight
+            total += np.bincount(owner, self.table[which >> np.uint64(64 - SLOT_BITS)], minlength=len(words)) * weight
             least += np.bincount(owner, minlength=len(words)) * weight**2
         out = np.full(len(words), FLOOR)
-        near = np.flatnonzero((total > 0) & (total / np.sqrt(np.maximum(least, 1e-12)) + self.bias > FLOOR))
-        if len(near):
-            word, which, value = self.kernel.features([words[i] for i in near])
-            exact = np.bincount(word, self.table[which] * value, minlength=len(near)) + self.bias
-            out[near] = np.maximum(exact, FLOOR)
+        most = total / np.sqrt(np.maximum(least, 1e-12)) + SLACK
+        near = np.flatnonzero((most > 0) & (most + self.bias > FLOOR) & (least > 0)) if len(self.known) else []
+        for at in range(0, len(near), 8_192):
+            part = near[at : at + 8_192]
+            word, which, value = self.kernel.features([words[i] for i in part])
+            where = np.minimum(np.searchsorted(self.known, which), len(self.known) - 1)
+            hit = self.known[where] == which
+            exact = np.bincount(word[hit], self.weights[where[hit]] * value[hit], minlength=len(part))
+            out[part] = np.where(exact > 0, np.maximum(exact + self.bias, FLOOR), FLOOR)
         return out
 
     def score(self, tops: np.ndarray) -> np.ndarray:
@@ -207,24 +227,38 @@ class Reader:
     def __init__(self, machine: Machine) -> None:
         self.machine, self.seen, self.hot = machine, set(), {}
 
-    def tops(self, texts: list[str]) -> np.ndarray:
-        bags = [words_of(t) for t in texts]
-        joins = [closed_up(t.lower()) - bag for t, bag in zip(texts, bags)]
+    def learn(self, words: set[str]) -> None:
+        """Sees to it that ``hot`` has the words' margins above FLOOR."""
         if len(self.seen) > REMEMBERED:
             self.seen, self.hot = set(), {}
-        new = list(set().union(*bags, *joins) - self.seen)
+        new = list(words - self.seen)
         for at in range(0, len(new), 8_192):
             part = new[at : at + 8_192]
             margins = self.machine.margins(part)
             self.hot.update((part[i], margins[i]) for i in np.flatnonzero(margins > FLOOR))
         self.seen.update(new)
+
+    def found(self, texts: list[str]) -> list[list[tuple[float, str]]]:
+        """The words above FLOOR of each text with their margins, closed-up ones from JOINED on."""
+        bags = [words_of(t) for t in texts]
+        joins = [closed_up(t.lower()) - bag for t, bag in zip(texts, bags)]
+        self.learn(set().union(*bags, *joins))
+        hot = self.hot
+        return [[(hot[w], w) for w in bag & hot.keys()] + [(m, w) for w in joined & hot.keys() if (m := hot[w]) >= JOINED] for bag, joined in zip(bags, joins)]
+
+    def tops(self, texts: list[str]) -> np.ndarray:
+        """The three highest margins of each text."""
         out = np.full((len(texts), 3), FLOOR)
-        for i, (bag, joined) in enumerate(zip(bags, joins)):
-            apart = [m for w in joined & self.hot.keys() if (m := self.hot[w]) >= JOINED]
-            best = sorted([self.hot[w] for w in bag & self.hot.keys()] + apart, reverse=True)[:3]
+        for i, words in enumerate(self.found(texts)):
+            best = sorted((m for m, _ in words), reverse=True)[:3]
             out[i, : len(best)] = best
         return out
 
+    def witnesses(self, text: str) -> dict[str, tuple[float, str]]:
+        """Each different sentence's highest margin and the word that has it, of the sentences above FLOOR."""
+        sentences = [t for t in dict.fromkeys(SENTENCE.split(text)) if t]
+        return {t: max(words) for t, words in zip(sentences, self.found(sentences)) if words}
+
 
 def hinge(features: np.ndarray, sign: np.ndarray, weight: np.ndarray, cost: float = 2.0, rounds: int = 60) -> tuple[np.ndarray, float]:
     """A linear machine by dual coordinate ascent; the bias is a feature held at 1."""
@@ -249,21 +283,26 @@ def with_insertions(word: str, rng: np.random.Generator) -> str:
     return word[:at] + mark + word[at:]
 
 
-def train(positive: list[str], negative: list[str], landmarks: int = 256) -> Machine:
-    """A machine from example words. Without examples of both kinds it calls nothing toxic."""
+def train(positive: dict[str, float], negative: dict[str, float], balanced: bool, landmarks: int = 256) -> Machine:
+    """A machine from words and how often each counts; ``balanced``: either side counts as much as the other.
+
+    Without examples of both kinds it calls nothing toxic.
+    """
     rng = np.random.default_rng(11)
-    letters = [c for c, _ in Counter("".join(positive * 2 + negative)).most_common() if c.isalpha()]
-    kernel = StringKernel("".join(letters[:ALPHABET]) + "0123456789")
+    kernel = StringKernel()
     if not positive or not negative:
         return Machine(kernel, [], np.empty(0), FLOOR)
-    gapped = [with_insertions(w, rng) for w in positive for _ in range(2)]
-    broken = [with_insertions(w, rng) for w in negative[: len(gapped)]]
+    gapped = {with_insertions(w, rng): n for w, n in positive.items() for _ in range(2)}
+    broken = {with_insertions(w, rng): n for w, n in itertools.islice(negative.items(), len(gapped))}
     spread = lambda xs, n: [xs[i] for i in np.linspace(0, len(xs) - 1, min(n, len(xs))).astype(int)]
-    toxic = spread(positive, landmarks * 2 // 3)
-    chosen = list(dict.fromkeys(toxic + spread(negative, landmarks - len(toxic))))
-    words = positive + gapped + negative + broken
-    sign = np.r_[np.ones(len(positive) + len(gapped)), -np.ones(len(negative) + len(broken))]
-    share = np.where(sign > 0, len(sign) / (2 * (sign > 0).sum()), len(sign) / (2 * (sign < 0).sum()))
+    toxic = spread(list(positive), landmarks * 2 // 3)
+    chosen = list(dict.fromkeys(toxic + spread(list(negative), landmarks - len(toxic))))
+    sides = [(1.0, [*positive.items(), *gapped.items()]), (-1.0, [*negative.items(), *broken.items()])]
+    words = [w for _, side in sides for w, _ in side]
+    sign = np.concatenate([np.full(len(side), kind) for kind, side in sides])
+    share = np.array([n for _, side in sides for _, n in side])
+    if balanced:
+        share = share * np.where(sign > 0, len(sign) / (2 * (sign > 0).sum()), len(sign) / (2 * (sign < 0).sum()))
     values, vectors = np.linalg.eigh(kernel.against(chosen, chosen))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     w, bias = hinge(kernel.against(words, chosen) @ root, sign, share)
@@ -296,11 +335,38 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip((before, word, clean), kinds)], schema=kinds)
 
 
-def fit(labelled: DataFrame, examples: int = 1_500) -> Machine:
+def _witnesses(labelled: DataFrame, machine: Machine) -> DataFrame:
+    """word, toxic, times: how many different sentences of toxic or clean documents stand or fall by a word.
+
+    Of a toxic document only the sentence that the machine takes for toxic most counts, of a clean one all;
+    sentences at FLOOR are on the right side or out of reach and don't count.
+    """
+    held = labelled.sparkSession.sparkContext.broadcast(machine)
+    kinds = arrow("word string, toxic boolean, sentence string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(held.value)
+        for batch in batches:
+            for part, texts in text_slices(batch, "text"):
+                rows = []
+                for text, label in zip(texts, part.column("label").to_pylist()):
+                    found = [(m, w, t) for t, (m, w) in reader.witnesses(text).items()]
+                    worst = [x for x in [max(found, default=(0.0, "", ""))] if x[0] > 0]
+                    rows += [(w, bool(label), t) for _, w, t in (worst if label else found)]
+                columns = zip(*rows) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, kinds)], schema=kinds)
+
+    pairs = labelled.mapInArrow(run, "word string, toxic boolean, sentence string")
+    return pairs.groupBy("word", "toxic", F.xxhash64("sentence")).count().groupBy("word", "toxic").agg(F.count("*").alias("times"))
+
+
+def fit(labelled: DataFrame, examples: int = 1_500, rounds: int = ROUNDS, most: int = 50_000) -> Machine:
     """Trains on rows (text, label). The caller bounds their number; every one is read whole.
 
-    Word counts are made by Spark over all the rows; ``examples`` words of each kind (often
-    and by chance clean, wrongly toxic, toxic) reach the driver.
+    The first machine is trained on words: counts are made by Spark over all the rows, and
+    ``examples`` words of each kind (often and by chance clean, toxic) reach the driver. The
+    next ones are trained on sentences, by the words that they stand or fall by, of which the
+    ``most`` that decide most sentences reach the driver in each round.
     """
     pairs = labelled.mapInArrow(_contexts, "before string, word string, clean boolean")
     by_pair = pairs.groupBy("before", "word").agg(F.max("clean").alias("clean"))
@@ -308,35 +374,26 @@ def fit(labelled: DataFrame, examples: int = 1_500) -> Machine:
     sums = words.agg(F.sum("bad"), F.sum("good"), F.count_if(F.col("bad") > 0)).first()
     bad, good, kinds = (x or 0 for x in sums)
     if not bad or not good:
-        return train([], [])
+        return train({}, {}, True)
     # a word of so many toxic contexts and no clean one is not expected once by chance
     least = max(3, math.ceil(math.log(kinds + 1) / -math.log(bad / (bad + good))))
     first = lambda df, *by: [r["word"] for r in df.orderBy(*by, "word").limit(examples).collect()]
     toxic = first(words.where((F.col("bad") >= least) & (F.col("good") * 50 <= F.col("bad"))), F.desc("bad"))
     seen_clean = words.where("good > 0")
-    clean = list(dict.fromkeys(first(seen_clean, F.desc("good")) + first(seen_clean, F.xxhash64("word"))))
-    machine = train(toxic, clean)
-    if toxic:
-        margin = _per_batch(labelled, machine, lambda m, ws: m.margins(ws), "double")
-        clean += first(seen_clean.withColumn("margin", margin(F.col("word"))).where(F.col("margin") > FLOOR), F.desc("margin"))
-        machine = train(toxic, list(dict.fromkeys(clean)))
+    clean = dict.fromkeys(first(seen_clean, F.desc("good")) + first(seen_clean, F.xxhash64("word")), 1.0)
+    guilty = dict.fromkeys(toxic, 1.0)
+    machine = train(guilty, clean, True)
+    for _ in range(rounds if toxic else 0):
+        found = _witnesses(labelled, machine).orderBy(F.desc("times"), "word", "toxic").limit(most).collect()
+        for r in found:
+            side = guilty if r["toxic"] else clean
+            side[r["word"]] = max(side.get(r["word"], 0.0), float(r["times"]))
+        machine = train(guilty, clean, False)
     tops = labelled.select(F.col("label"), top_margins(labelled, machine)(F.col("text")).alias("tops")).collect()
     calibrate(machine, np.array([r["tops"] for r in tops]).reshape(-1, 3), np.array([r["label"] for r in tops], dtype=float))
     return machine
 
 
-def _per_batch(df: DataFrame, machine: Machine, values, kind: str):
-    """A pandas UDF of ``values(machine, strings)``. The machine's table has a fixed size (about 29 MB)."""
-    held = df.sparkSession.sparkContext.broadcast(machine)
-
-    @F.pandas_udf(kind)
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series(list(values(held.value, part.fillna("").tolist())), index=part.index, dtype=object if kind != "double" else float)
-
-    return run
-
-
 def top_margins(df: DataFrame, machine: Machine):
     """A pandas UDF: text -> its three highest word margins."""
     held = df.sparkSession.sparkContext.broadcast(machine)

@@ -27,17 +27,25 @@ def plain_kernel(s, t, kernel, decay):
 
 
 def test_kernel_by_listing_subsequences():
-    kernel = x.StringKernel("abcdeilmnort", decay=0.4)
+    kernel = x.StringKernel(decay=0.4)
     words = ["idiot", "idi-ot", "moron", "aaaa", "ab", "a", "banana", "zz", "melodrama"]
     got = kernel.against(words, words)
     want = np.array([[plain_kernel(a, b, kernel, 0.4) for b in words] for a in words])
     assert np.allclose(got, want, atol=1e-9)
 
 
+def test_letters_of_all_scripts_are_told_apart():
+    kernel = x.StringKernel()
+    words = ["дурак", "дура", "привет", "白痴", "你好", "idiot", "①②"]
+    got = kernel.against(words, words)
+    assert np.allclose(got, [[plain_kernel(a, b, kernel, 0.4) for b in words] for a in words], atol=1e-9)
+    assert got[0, 1] > 0.3 and got[0, 2] == 0 == got[3, 4] and np.allclose(np.diag(got), 1)
+
+
 def test_margins_are_kernel_sums():
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 14))) for _ in range(300)]
-    kernel = x.StringKernel("abcdef")
+    kernel = x.StringKernel()
     weights = np.random.default_rng(1).normal(0, 1, 40)
     machine = x.Machine(kernel, words[:40], weights, -0.2)
     want = kernel.against(words, words[:40]) @ weights - 0.2
@@ -45,7 +53,7 @@ def test_margins_are_kernel_sums():
 
 
 def test_nystrom_of_all_words_is_the_kernel():
-    kernel = x.StringKernel("abcdefgh")
+    kernel = x.StringKernel()
     words = ["abcdef", "badge", "cabbage", "faced", "hedge"]
     square = kernel.against(words, words)
     values, vectors = np.linalg.eigh(square)
@@ -133,3 +141,51 @@ def test_wide_gaps_and_split_words_score(spark, corpus):
     apart = ["g--r--o--b--n--a--k and v..u..r..m..l..i..n..g", "g  r  o  b  n  a  k and v  u  r  m  l  i  n  g", "gro bn ak and zlo tfa ce", "g r ob nak and vu rml ing"]
     scores = machine.score(x.Reader(machine).tops([clean, *(f"{clean} {a} then" for a in apart)]))
     assert scores[0] < 0.1 and min(scores[1:]) >= 0.3
+
+
+def test_witnesses_are_the_worst_words_of_sentences(spark):
+    """By margins word by word: of a toxic document its worst sentence if it is on the toxic side, of clean ones all above FLOOR."""
+    words = {w: 1.0 for w in prose(5, 60).lower().replace(".", "").split() if len(w) > 3}
+    machine = x.train(dict.fromkeys(INSULTS, 1.0), words, True)
+    rng, rows = random.Random(8), []
+    for i in range(40):
+        sentences = [prose(100 * i + k, 6) for k in range(5)]
+        if i % 4 == 0:
+            sentences[2] += " " + rng.choice(INSULTS) + " so."
+        rows += [(". ".join(sentences[:3]) + "\n" + "! ".join(sentences[3:]), int(i % 4 == 0))] * (1 + i % 3)
+    want = {}
+    for text, label in set(rows):
+        found = []
+        for t in {t for t in x.SENTENCE.split(text) if t}:
+            bag = x.words_of(t)
+            hot = [(float(machine.margins([w])[0]), w) for w in bag]
+            hot += [(m, w) for w in x.closed_up(t.lower()) - bag if (m := float(machine.margins([w])[0])) >= x.JOINED]
+            m, w = max(hot, default=(x.FLOOR, ""))
+            if m > x.FLOOR:
+                found.append((m, w, t))
+        if label:
+            found = [f for f in [max(found, default=(0.0, "", ""))] if f[0] > 0]
+        for _, w, t in found:
+            want.setdefault((w, bool(label)), set()).add(t)
+    frame = spark.createDataFrame(rows, "text string, label int").repartition(3)
+    got = {(r["word"], r["toxic"]): r["times"] for r in x._witnesses(frame, machine).collect()}
+    assert got == {k: len(v) for k, v in want.items()} and any(toxic for _, toxic in got)
+
+
+def test_two_scripts_learn_their_own_insults(spark):
+    rng, rows, labels = random.Random(4), [], []
+    insults, plain = ["дурак", "болван", "тупица"], "утро город река поле книга дорога песня работа ветер голос дерево привет".split()
+    for i in range(400):
+        words = prose(i, 40).split() if i % 2 else [rng.choice(plain) for _ in range(40)]
+        if bad := i % 5 == 0:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(INSULTS if i % 2 else insults))
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    machine = x.trained(docs, marked)
+    clean = " ".join(plain)
+    scores = machine.score(x.Reader(machine).tops([clean, f"{clean} дурак и болван", f"{clean} ду-рак и т у п и ц а", f"{clean} grobnak vurmling"]))
+    assert scores[0] < 0.1 and min(scores[1:]) >= 0.3
+    rows = x.toxicity_table(docs, marked).join(marked, "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) >= 0.97

@@ -22,6 +22,7 @@ Subsequences are told by hashes, so letters of every script are symbols of their
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
@@ -60,6 +61,14 @@ FRAGMENTS = re.compile(rf"(?<![^\W_])[^\W_]{{1,{SHORT}}}(?:(?:(?!\n)[\W_])+[^\W_
 EDGE = "\"'.,;:!?()[]{}<>|/\\#*$%&-_~`^+="
 
 
+@functools.cache
+def symbols() -> np.ndarray:
+    """The symbol of each character: letters and digits have their own, marks share one, ^ and $ are word ends."""
+    codes = np.fromiter((c + 4 if chr(c).isalnum() else 1 for c in range(0x110000)), np.uint64, 0x110000)
+    codes[[ord("^"), ord("$")]] = 2, 3
+    return codes
+
+
 class StringKernel:
     """The subsequence kernel. Every letter and digit of any script is a symbol of its own, all marks are one.
 
@@ -67,12 +76,14 @@ class StringKernel:
     """
 
     def __init__(self, order: int = 4, span: int = 7, decay: float = 0.4) -> None:
-        self.order = order
-        self.codes = np.fromiter((c + 4 if chr(c).isalnum() else 1 for c in range(0x110000)), np.uint64, 0x110000)
-        self.codes[[ord("^"), ord("$")]] = 2, 3
+        self.order, self.options = order, (order, span, decay)
+        self.codes = symbols()
         self.factors = np.random.default_rng(5).integers(1 << 63, size=order, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.shapes = [(*s, decay ** (s[-1] + 1)) for s in itertools.combinations(range(1, span), order - 1)]
 
+    def __reduce__(self):
+        return StringKernel, self.options
+
     def stream(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All words' symbols one after the other, each word between ^ and $, and whose they are."""
         marked = [f"^{w}$" for w in words]
@@ -132,10 +143,21 @@ class Machine:
         owner, which, value = kernel.features(landmarks)
         self.known, back = np.unique(which, return_inverse=True)
         self.weights = np.bincount(back, value * weights[owner], minlength=len(self.known))
+        self.calibration = np.array([0.0, 1.0, 0.0, 0.0])
+        self.fill()
+
+    def fill(self) -> None:
+        """Makes the table of slots, which does not travel with the machine."""
         self.table = np.zeros(1 << SLOT_BITS, dtype=np.float32)
         rising = np.argsort(self.weights)  # of two subsequences in a slot the larger weight stays
         self.table[(self.known >> np.uint64(48 - SLOT_BITS))[rising]] = self.weights[rising]
-        self.calibration = np.array([0.0, 1.0, 0.0, 0.0])
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "table"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.fill()
 
     def margins(self, words: list[str]) -> np.ndarray:
         """Margins of words, not below FLOOR; FLOOR for words that take more after clean examples.

@@ -1,4 +1,5 @@
 import itertools
+import pickle
 import random
 
 import numpy as np
@@ -143,6 +144,13 @@ def test_wide_gaps_and_split_words_score(spark, corpus):
     assert scores[0] < 0.1 and min(scores[1:]) >= 0.3
 
 
+def test_a_sent_machine_is_small_and_equal():
+    words = [f"{a}{b}{c}" for a in INSULTS for b in "aeiou" for c in ("x", "tel", "ming")]
+    machine = x.Machine(x.StringKernel(), words, np.random.default_rng(2).normal(0, 1, len(words)), -0.1)
+    sent = pickle.dumps(machine)
+    assert len(sent) < 500_000 and (pickle.loads(sent).margins(words + ["other"]) == machine.margins(words + ["other"])).all()
+
+
 def test_witnesses_are_the_worst_words_of_sentences(spark):
     """By margins word by word: of a toxic document its worst sentence if it is on the toxic side, of clean ones all above FLOOR."""
     words = {w: 1.0 for w in prose(5, 60).lower().replace(".", "").split() if len(w) > 3}

@@ -99,7 +99,7 @@ def report_manifest(spark, sf_dir):
 
 def _stream(spark, sf_dir, name):
     schema = table(spark, sf_dir, name).schema
-    return flows.read_stream(spark, sf_dir, schema, f"{name}.parquet")
+    return flows.read_table_stream(spark, sf_dir, schema, f"{name}.parquet")
 
 
 @query(

@@ -27,6 +27,12 @@ def read_stream(
     return reader.load(folder)
 
 
+def read_table_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str, kind: str = "parquet") -> DataFrame:
+    """One table of a folder, whether it is a file or a folder of files. A file filter sees the names
+    of the files alone, so the table is named by a glob, which may match either."""
+    return spark.readStream.format(kind).schema(schema).load(f"{folder.rstrip('/')}/{{{name}}}")
+
+
 def score_stream(records: DataFrame, model: LinearModel, keys: Sequence[str], k: int = 3) -> DataFrame:
     """The batch scoring function; it has no shuffle and keeps no state."""
     return score(records, model, keys, k)

@@ -61,3 +61,16 @@ def test_triage_counts_per_window(spark):
     expected = evaluate.triage(attribution.with_scores(rows, MODEL), by=[F.window("ts", "1 hour").alias("w")])
     flat = expected.select(F.col("w.start").alias("window_start"), "prediction", "borderline", "n")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, flat.collect()))
+
+
+def test_a_table_streams_as_a_file_and_as_a_folder(spark, tmp_path):
+    """All its rows and those of no other table, however it lies in the folder of tables."""
+    rows = spark.range(30).withColumn("x", F.col("id") * 0.5)
+    folder = str(tmp_path)
+    rows.repartition(3).write.parquet(f"{folder}/many.parquet")
+    rows.limit(4).write.parquet(f"{folder}/many.parquet.old")
+    rows.toPandas().to_parquet(f"{folder}/one.parquet")
+    for name in ("many.parquet", "one.parquet"):
+        out = fresh_path(spark, "out")
+        _run(flows.write_tables(flows.read_table_stream(spark, folder, rows.schema, name), out, fresh_path(spark, "cp")))
+        assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(30))

@@ -129,3 +129,29 @@ def test_ordered_target_stats(spark):
     for key, kind in ((1, "hot"), (2, None)):
         assert math.isclose(found[key], (sums[kind][0] + 2.0 * prior) / (sums[kind][1] + 2.0))
     assert math.isclose(found[3], prior)
+
+
+def test_epochs_of_mini_batches_take_few_jobs(blocks, monkeypatch):
+    """One job for a single group of rows; with more groups one an epoch, and weights that still learn."""
+    x, y, _ = data()
+    calls, plain = [], g.total_by_key
+    monkeypatch.setattr(g, "total_by_key", lambda *a: calls.append(1) or plain(*a))
+    model = g.Model(g.Network(2, 3, (16,), "tanh", 0.001, batch=10, rate=0.01, max_iter=40))
+    one, others = g.fit(blocks, [model, g.Model(model.learner, 2)], 5)[0]
+    assert len(calls) == 1 and one.passes == 40 * 15 and others.passes == 40 * 12
+    at, first, second, n = model.learner.start(54), 0.0, 0.0, 0
+    row = np.concatenate([b.row for b in blocks.collect()])
+    xs, ys = (np.concatenate([getattr(b, c) for b in blocks.collect()]) for c in ("x", "y"))
+    for epoch in range(40):  # a plain walk over the mini-batches
+        which = (g.shares(row, 54, epoch) * 15).astype(int)
+        for k in range(15):
+            i, n = np.flatnonzero(which == k), n + 1
+            if len(i):
+                grad = model.learner.loss(at, xs[i], ys[i])[1] / len(i) + 0.001 / len(i) * model.learner.weighed(at) * at
+                first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
+                at = at - 0.01 * math.sqrt(1 - 0.999**n) / (1 - 0.9**n) * first / (np.sqrt(second) + 1e-8)
+    np.testing.assert_allclose(one.weights, at, atol=1e-6)
+    monkeypatch.setattr(g, "GROUP_ROWS", 50)
+    calls.clear()
+    apart = g.fit(blocks, [model], 5)[0][0]
+    assert len(calls) == 40 and (apart.probabilities(x).argmax(axis=1) == y).mean() > 0.85

@@ -232,14 +232,12 @@ def training_frame(df: DataFrame, keys: Sequence[str], target: str, partitions:
     counts = class_counts(df, target)
     levels = Levels(target, tuple(counts))
     pieces = partitions or max(1, math.ceil(sum(counts.values()) / ROWS_PER_PARTITION))
-    ready = (
-        df.where(F.col(target).isNotNull())
-        .withColumn("label", levels.encode(F.col(target)).cast("double"))
-        .repartition(pieces, *keys)
-        .sortWithinPartitions(*keys)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    return ready, tuple(str(v) for v in levels.values)
+    ready = df.where(F.col(target).isNotNull()).withColumn("label", levels.encode(F.col(target)).cast("double"))
+    return laid_out(ready, keys, pieces).persist(StorageLevel.MEMORY_AND_DISK), tuple(str(v) for v in levels.values)
+
+
+def laid_out(df: DataFrame, keys: Sequence[str], pieces: int) -> DataFrame:
+    return df.repartition(pieces, *keys).sortWithinPartitions(*keys)
 
 
 def shape_of(train: DataFrame, numeric: Sequence[str], categories: Sequence[str], classes: Sequence) -> Shape:

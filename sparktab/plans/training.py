@@ -223,7 +223,10 @@ def stream_score_saved(spark, sf_dir):
 
 def _searched(spark, sf_dir, run, folds=5):
     cached, classes, train, test = _prepared(spark, sf_dir)
-    folded = prepare.stratified_folds(train, ["doc_id"], "label", folds).persist()
+    folded, pieces = prepare.stratified_folds(train, ["doc_id"], "label", folds), cached.rdd.getNumPartitions()
+    if pieces > 1:  # numbering the folds dealt the rows over as many tasks as a shuffle has
+        folded = models.laid_out(folded, ["doc_id"], pieces)
+    folded = folded.persist()
     out = settled(run(folded, classes, test))
     folded.unpersist()
     cached.unpersist()

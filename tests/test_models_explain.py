@@ -259,3 +259,28 @@ def test_neighbours_by_planes(spark, n, k):
         counts[r["asked"]] = counts.get(r["asked"], 0) + 1
     assert set(counts.values()) == {want} and len(counts) == test.count()
     assert sum((r["asked"], r["neighbour"]) in exact for r in rows) >= 0.9 * len(exact)
+
+
+def test_folded_rows_lie_as_the_cached_ones(spark, tmp_path):
+    """Numbering the folds shuffles; passes then run over as few partitions as the rows need."""
+    from sparktab.plans import training
+
+    rows = spark.range(900).selectExpr("id AS doc_id", "'en' AS lang", "concat(repeat('a b. ', cast(id % 7 + 1 AS int)), id) AS text")
+    rows.withColumn("n_chars", F.length("text").cast("bigint")).write.parquet(str(tmp_path / "documents.parquet"))
+    rows.selectExpr("doc_id", "cast(doc_id % 3 = 0 AS int) AS quality").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.conf.set("spark.sql.shuffle.partitions", 37)
+    seen, plain = [], models.ROWS_PER_PARTITION
+    models.ROWS_PER_PARTITION = 300
+
+    def run(folded, classes, test):
+        keys = [[r["doc_id"] for r in p] for p in folded.select("doc_id").rdd.glom().collect()]
+        seen.append(keys)
+        return folded.groupBy("fold").count()
+
+    try:
+        counts = [r["count"] for r in training._searched(spark, str(tmp_path), run).collect()]
+    finally:
+        models.ROWS_PER_PARTITION = plain
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+    assert len(seen[0]) == 3 and all(k == sorted(k) for k in seen[0]) and sum(map(len, seen[0])) == 630
+    assert len(counts) == 5 and max(counts) - min(counts) <= 2

@@ -284,3 +284,18 @@ def test_folded_rows_lie_as_the_cached_ones(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", 2)
     assert len(seen[0]) == 3 and all(k == sorted(k) for k in seen[0]) and sum(map(len, seen[0])) == 630
     assert len(counts) == 5 and max(counts) - min(counts) <= 2
+
+
+def test_forest_rows_are_dealt_by_their_trees(spark, trained, monkeypatch):
+    """As many tasks as rows times trees are worth, all rows kept, no more tasks than the bound."""
+    rows, classes, _ = trained
+    n = rows.count()
+    assert models.for_trees("forest", rows, n) is rows and models.for_trees("tree", rows, 10**9) is rows
+    monkeypatch.setattr(models, "FOREST_PAIRS", n * 10)
+    single = rows.coalesce(1)
+    for trees, parts in ((30, 3), (1000, models.FOREST_TASKS)):
+        dealt = models.for_trees("forest", single, n, {"trees": trees})
+        assert dealt.rdd.getNumPartitions() == parts and sorted(dealt.collect()) == sorted(rows.collect())
+    assert all(b(models.Shape(n, 2, 2), {})[0].getCacheNodeIds() for b in (models.BUILDERS["forest"], models.BUILDERS["tree"]))
+    fitted = models.train("forest", single, classes, ["x", "y"], params={"trees": 30})
+    assert evaluate.accuracy(models.with_label_name(fitted.predict(rows), classes)).first()["accuracy"] > 0.85

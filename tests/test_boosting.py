@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -162,3 +163,47 @@ def test_one_class_and_constant_features(spark):
     made, _ = b.fit(blocks(spark, x, y, fold), [b.Model(s) for s in SETTINGS.values()], 2, cuts_of(x))
     for ensemble in made:
         assert (ensemble.probabilities(x)[:, 0] > 0.99).all()
+
+
+def test_ensembles_are_fitted_in_tasks(spark):
+    """A job for the class counts and one for all rounds of all models, not one per level of a tree."""
+    x, y, fold = data()
+    rows, wanted = blocks(spark, x, y, fold), [b.Model(s, f) for s in SETTINGS.values() for f in (-1, 0, 1)]
+    spark.sparkContext.setJobGroup("boosted in tasks", "")
+    try:
+        made, hits = b.fit(rows, wanted, 2, cuts_of(x), 3)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("boosted in tasks")) <= 4
+    assert [len(e.rounds) for e in made] == [m.settings.rounds for m in wanted]
+    assert [n for n, _ in hits] == [0 if m.left_out < 0 else (fold == m.left_out).sum() for m in wanted]
+
+
+@pytest.mark.parametrize("classes", [2, 4])
+def test_passes_and_tasks_fit_the_same(spark, monkeypatch, classes):
+    """Rows that are too many for a task give the same trees and hits in passes, from which the
+    driver gets a cut and six sums per leaf."""
+    x, y, fold = data(classes=classes)
+    cuts, shared = cuts_of(x), b.Settings(rounds=2, depth=3, row_share=0.6, column_share=0.7)
+    wanted = [b.Model(replace(s, min_gain=s.min_gain or 1e-9), f) for s in (*SETTINGS.values(), shared) for f in (-1, 1)]  # no cut by rounding alone
+    whole, hits = b.fit(blocks(spark, x, y, fold), wanted, classes, cuts, 3)
+    sent, pass_of = [], b._cuts_of_pass
+
+    def spied(rows, asked, *rest):
+        found = pass_of(rows, asked, *rest)
+        leaves = sum(len(a[3]) for a in asked)
+        sent.append(sum(v.nbytes for o in found.values() for v in vars(o).values()) <= leaves * 9 * 8)
+        return found
+
+    monkeypatch.setattr(b, "_cuts_of_pass", spied)
+    monkeypatch.setattr(b, "TASK_BYTES", 0)
+    monkeypatch.setattr(b, "PASS_BYTES", 5000)
+    monkeypatch.setattr(b, "OPEN_BYTES", 100_000)
+    monkeypatch.setattr(b, "CUT_EVERY", 2)
+    passed, again = b.fit(blocks(spark, x, y, fold), wanted, classes, cuts, 3)
+    assert sent and all(sent) and (hits == again).all()
+    for one, other in zip(whole, passed):
+        for trees, others in zip(one.rounds, other.rounds, strict=True):
+            for t, o in zip(trees, others, strict=True):
+                assert (t.feature == o.feature).all() and (t.cut == o.cut).all() and (t.rows == o.rows).all()
+                np.testing.assert_allclose(t.value, o.value, atol=1e-9)

@@ -38,7 +38,7 @@ from sparktab.operators.blocks import Block, for_models, moved_on, shares, sprea
 
 BINS = 64
 #: Memory of the rows in a task that takes ensembles through all rounds; more rows are gone over in passes.
-TASK_BYTES = 64 << 20
+TASK_BYTES = 128 << 20
 #: Histogram bytes that one task chooses cuts from at once, and those of a pass; more models make more runs.
 PASS_BYTES, OPEN_BYTES = 16 << 20, 256 << 20
 #: Rounds between two cuts of the lineage.

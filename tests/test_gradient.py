@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparktab.operators import gradient as g
 from sparktab.operators import target_stats
-from sparktab.operators.blocks import blocks_of
+from sparktab.operators.blocks import Block, blocks_of
 
 
 def data(n=150, classes=3, seed=2):
@@ -48,6 +48,42 @@ def test_gradients_are_differences_of_the_loss(learner):
     assert learner.weighed(w).sum() < learner.size == len(learner.start(1)) and value > 0
 
 
+@pytest.mark.parametrize("learner", LEARNERS)
+def test_like_models_have_their_losses_in_one_go(learner, monkeypatch):
+    """Each over its own rows, in blocks and in runs of a few rows; what machines see is worked out once a run."""
+    x, y, fold = data()
+    models = [g.Model(replace(learner, **{n: v} if hasattr(learner, n) else {}), f) for n, v in (("C", 0.1), ("C", 7.0), ("max_iter", 3)) for f in (-1, 0, 4)]
+    trials = {m: np.random.default_rng(m).normal(size=learner.size) for m in range(len(models))}
+    block, calls, plain = Block(x, y, fold, np.arange(len(y), dtype=np.uint64)), [], type(learner).__dict__.get("seen")
+    if plain:
+        monkeypatch.setattr(type(learner), "seen", lambda self, x: calls.append(len(x)) or plain(self, x))
+    for numbers in (1 << 19, 200):
+        monkeypatch.setattr(g, "SCORE_NUMBERS", numbers)
+        calls.clear()
+        found = g._losses(models, trials, {})(block)
+        assert sum(calls) == (len(y) if plain else 0)
+        for m, model in enumerate(models):
+            seen = fold != model.left_out
+            value, grad = model.learner.loss(trials[m], x[seen], y[seen])
+            np.testing.assert_allclose(found[m], [value, seen.sum(), *grad], rtol=1e-9, atol=1e-9)
+
+
+def test_equal_models_are_fitted_once(blocks, monkeypatch):
+    models = [g.Model(g.PairMachine(2, 3, c, max_iter=5), f) for _ in range(2) for c in (0.1, 1) for f in (0, 1, -1)]
+    most, plain = [], g._pass
+    monkeypatch.setattr(g, "_pass", lambda rows, ms, trials, *a: most.append(len(trials)) or plain(rows, ms, trials, *a))
+    fitted, hits = g.fit(blocks, models, 5)
+    assert max(most) == 6 and len(fitted) == len(hits) == 12
+    for k in range(6):
+        assert fitted[k].learner == models[k].learner and (fitted[k].weights == fitted[k + 6].weights).all() and (hits[k] == hits[k + 6]).all()
+    most.clear()
+    asked, plain_losses = [], g._losses
+    monkeypatch.setattr(g, "_losses", lambda ms, trials, batch: asked.append(len(trials)) or plain_losses(ms, trials, batch))
+    far, near = g.fit(blocks, [g.Model(g.Logistic(2, 3, 10.0, n)) for n in (500, 6)], 5)[0]
+    assert asked[:6] == [1] * 6 and near.passes < far.passes == len(asked)  # at equal weights they share a loss
+    assert (hits[[2, 5], 0] == 0).all() and (hits[[0, 1, 3, 4], 0] == 30).all()
+
+
 def objective(learner, w, x, y):
     n = len(y)
     return learner.loss(w, x, y)[0] / n + 0.5 * learner.penalty(n) * (learner.weighed(w) * w**2).sum()

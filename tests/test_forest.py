@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from sparktab.operators import forest as f
@@ -103,6 +103,10 @@ def test_forests_are_searched_without_a_cross_validator(spark, rows, monkeypatch
     assert len(found.means) == 2 and found.best == 1 and 0.75 < found.means[1] <= 1
     many = tuning.train_many({"forest": {"trees": 20}}, folded, classes, ["a", "b", "c"], folds=3)["forest"]
     assert math.isclose(many.means[0], found.means[1])
+    trees = tuning.train_many({"forest": {"trees": 20}, "tree": {}}, folded, classes, ["a", "b", "c"], folds=3)
+    assert math.isclose(trees["forest"].means[0], found.means[1]) and 0.6 < trees["tree"].means[0] < found.means[1] + 0.1
+    own = trees["tree"].model.predict(folded).collect()  # every row once, all columns: distinct rows go to leaves of their own
+    assert sum(r["prediction"] == f"c{r['key'] % 3}" for r in own) > 290
     path = artifacts.save_model(spark, many.model, fresh_path(spark, "model"))
     loaded = artifacts.load_model(spark, path)
     trees = loaded.pipeline.stages[-2].getOrDefault("trees")
@@ -112,9 +116,10 @@ def test_forests_are_searched_without_a_cross_validator(spark, rows, monkeypatch
 
 
 def test_more_rows_than_a_task_has_room_for(rows, monkeypatch):
-    """Go to Spark's forest, in searches too."""
+    """Go to Spark's forest or tree, in searches too."""
     df, classes = rows
     monkeypatch.setattr(f, "TASK_BYTES", 600 * 115 - 1)
     fitted = models.train("forest", df, classes, ["a", "b", "c"], params={"trees": 3})
     assert isinstance(fitted.pipeline.stages[-2], RandomForestClassificationModel) and fitted.predict(df).count() == 600
-    assert not tuning._shared("forest", models.Shape(600, 3, 3)) and tuning._shared("forest", models.Shape(599, 3, 3))
+    assert isinstance(models.train("tree", df, classes, ["a", "b", "c"]).pipeline.stages[-2], DecisionTreeClassificationModel)
+    assert not tuning._shared("tree", models.Shape(600, 3, 3)) and not tuning._shared("forest", models.Shape(600, 3, 3)) and tuning._shared("forest", models.Shape(599, 3, 3))
